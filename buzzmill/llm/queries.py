@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from buzzmill.llm import ann, classifier, fingerprints, mixing, packing, pii, rules, suffix_dedup, warc
+from buzzmill.llm import ann, classifier, fingerprints, mixing, packing, pii, rules, setjoin, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.join_components(table(spark, sf_dir, "documents"), percent=85, size=4).drop("row_key")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -58,7 +62,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_neighbours, op2_quality_rules, op3_quality_classifier, op4_packing, op5_suffix_dedup, op7_warc, op8_mixing, op9_substring_dedup, op10_pii)}
+    return {f.__name__: f for f in (op1_neighbours, op2_quality_rules, op3_quality_classifier, op4_packing, op5_suffix_dedup, op6_ngram_jaccard, op7_warc, op8_mixing, op9_substring_dedup, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
