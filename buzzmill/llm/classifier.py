@@ -15,14 +15,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buzzmill.llm.shared import materialize
-from buzzmill.llm.textstats import RATIOS, labelled, with_stats
+from buzzmill.llm.textstats import labelled, with_stats
 
-FEATURES = [*RATIOS, "n_words"]
+#: Repeated lines are left out: clean documents have them too.
+FEATURES = ["mean_word", "symbols", "bangs", "capitals", "distinct_words", "n_words"]
+#: Words that pull the ratios of a text towards the corpus mean, so that a few words decide little.
+PULL = 20
 
 
 def transformed() -> list[Column]:
     """Square roots tame the ratios, a logarithm the length."""
-    return [*[F.sqrt(F.col(r)) for r in RATIOS], F.log1p(F.col("n_words").cast("double"))]
+    return [*[F.sqrt(F.col(r)) for r in FEATURES[:-1]], F.log1p(F.col("n_words").cast("double"))]
+
+
+def pulled(stats: DataFrame) -> DataFrame:
+    """x with its ratios pulled towards their mean over all rows, the more the fewer words a text has."""
+    d = len(FEATURES) - 1
+    means = stats.agg(*[F.avg(F.get("x", F.lit(i))) for i in range(d)]).first()
+    words = F.expm1(F.get("x", F.lit(d)))
+    ratios = [m + (F.get("x", F.lit(i)) - m) * words / (words + PULL) for i, m in enumerate(means)] if means[0] is not None else []
+    return stats.withColumn("x", F.array(*ratios, F.get("x", F.lit(d)))) if ratios else stats
 
 
 @dataclass
@@ -81,6 +93,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def accepted(docs: DataFrame, labels: DataFrame, kind: str = "quality") -> DataFrame:
+    """docs without the rows that classify predicts as 0, with all columns; rows are told apart by id and text's hash."""
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    rejected = _classified(texts, labels, kind).where("predicted = 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    return docs.join(rejected.hint("shuffle_hash"), same, "left_anti")
+
+
 def classify(docs: DataFrame, labels: DataFrame, kind: str = "quality") -> DataFrame:
     """One row for each row of docs: doc_id, held_out, score (0 to 1) and predicted (1 from 0.5 on).
 
@@ -88,14 +108,19 @@ def classify(docs: DataFrame, labels: DataFrame, kind: str = "quality") -> DataF
     the score of an empty text. Without rows of both classes every score is 0.5. Repeated ids are scored row by row;
     extra columns are ignored.
     """
-    stats = with_stats(docs.selectExpr("cast(doc_id as long) as doc_id", "text"))
-    stats = materialize(stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.array(*transformed()).alias("x")), "quality-stats")
+    return _classified(docs.select("doc_id", "text", F.lit(0).cast("long").alias("text_hash")), labels, kind).drop("text_hash")
+
+
+def _classified(docs: DataFrame, labels: DataFrame, kind: str) -> DataFrame:
+    stats = with_stats(docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), "text_hash").alias("doc_id"), "text"))
+    stats = stats.select(F.col("doc_id.doc_id").alias("doc_id"), F.col("doc_id.text_hash").alias("text_hash"), F.array(*transformed()).alias("x"))
+    stats = pulled(materialize(stats.withColumn("held_out", held_out(F.col("doc_id"))), "quality-stats"))
     model = fit(stats.where(~F.col("held_out")).join(labelled(labels, kind), "doc_id").select("label", "x"))
 
     def score(batches):
         for batch in batches:
-            x = np.asarray(batch.column(2).flatten(), np.float64).reshape(-1, len(FEATURES))
+            x = np.asarray(batch.column(3).flatten(), np.float64).reshape(-1, len(FEATURES))
             scores = model.scores(x) if model else np.full(len(x), 0.5)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], ["doc_id", "text_hash", "held_out", "score", "predicted"])
 
-    return stats.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+    return stats.select("doc_id", "text_hash", "held_out", "x").mapInArrow(score, "doc_id long, text_hash long, held_out boolean, score double, predicted int")

@@ -98,17 +98,48 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     short by fewer words than there are ties. Null text has size 0; null is a source of its own and comes last; an
     empty table gives an empty result. Other columns of docs are ignored. One row a source reaches the driver.
     """
-    sized = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), hash60(F.col("doc_id"), F.col("text")).alias("h"), word_count(F.col("text")).alias("size")), "mix-sizes")
-    sizes = {r["source"]: r["size"] for r in sized.groupBy("source").agg(F.sum("size").alias("size")).collect()}
+    return _with_taken(sized(docs), plan(docs, weights, share, cap)).select("doc_id", "source", "h", "size", "source_size", "target", "taken")
+
+
+def mixed(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
+    """The mix itself: docs' columns, a row for every time that a document is taken, with its first words alone at a threshold.
+
+    Where a text is cut its words are joined by one space; n_chars, if there, is counted anew. Documents of which
+    nothing is taken are not in it.
+    """
+    held = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "source", "text")
+    held = held.select("doc", F.col("source").cast("string").alias("source"), hash60(F.col("doc_id"), F.col("text")).alias("h"), word_count(F.col("text")).alias("size"))
+    taken = _with_taken(held, plan(docs, weights, share, cap)).where("taken > 0")
+    part = F.when(F.col("taken") % F.col("size") > 0, F.array(F.col("taken") % F.col("size"))).otherwise(F.array().cast("array<bigint>"))
+    rows = taken.select("doc", "size", F.explode(F.concat(F.array_repeat("size", F.expr("cast(taken div size as int)")), part)).alias("words"))
+    first = F.array_join(F.slice(F.array_remove(F.split("doc.text", r"[\x20\x09-\x0D]+"), ""), F.lit(1), F.col("words").cast("int")), " ")
+    text = F.when(F.col("words") == F.col("size"), F.col("doc.text")).otherwise(first)
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    return rows.select(*[(new[c] if c in new else F.col("doc")[c]).alias(c) for c in docs.columns])
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), hash60(F.col("doc_id"), F.col("text")).alias("h"), word_count(F.col("text")).alias("size"))
+
+
+def plan(docs: DataFrame, weights: Sequence[float], share: float, cap: float) -> list[Budget]:
+    """The budget of every source with its threshold."""
+    rows = materialize(sized(docs).drop("doc_id"), "mix-sizes")
+    sizes = {r["source"]: r["size"] for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()}
     budgets = []
     for source, target in targets(sizes, weights, share, cap).items():
         words = int(target + 0.5)
         passes = words // sizes[source] if sizes[source] else 0
         budgets.append(Budget(source, sizes[source], float(target), passes, words - passes * sizes[source]))
-    thresholds(sized, budgets)
-    joined = _per_source(sized, budgets, ["source", "source_size", "target", "passes", "threshold", "share"])
+    thresholds(rows, budgets)
+    return budgets
+
+
+def _with_taken(rows: DataFrame, budgets: list[Budget]) -> DataFrame:
+    """rows (source, h, size) with source_size, target and taken."""
+    joined = _per_source(rows, budgets, ["source", "source_size", "target", "passes", "threshold", "share"])
     last = F.when(F.col("h") < F.col("threshold"), F.col("size")).when(F.col("h") == F.col("threshold"), F.least("share", "size")).otherwise(0)
-    return joined.select("doc_id", "source", "h", "size", "source_size", "target", (F.col("passes") * F.col("size") + last).cast("long").alias("taken"))
+    return joined.withColumn("taken", (F.col("passes") * F.col("size") + last).cast("long"))
 
 
 ORACLE = r"""

@@ -219,7 +219,18 @@ def join_components(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFr
     other; equal ids are separate rows. An empty table gives no rows; other columns are ignored. Links are exact, up to
     64-bit hashes of shingles.
     """
-    docs = keyed(docs)
+    return _joined(keyed(docs), percent, size).drop("comp")
+
+
+def deduplicate(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
+    """docs without the rows that links connect to one of smaller doc_id: the first of each group stays, with all columns."""
+    whole = keyed(docs, whole=True)
+    kept = _joined(whole.select("row_key", "doc_id", "text"), percent, size).where("row_key = comp").select("row_key")
+    return whole.join(kept.hint("shuffle_hash"), "row_key", "left_semi").select(*[c for c in docs.columns if c != "row_key"])
+
+
+def _joined(docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """join_components over docs with row_key, and the least key of the component as comp."""
     counts, sizes = sketch(docs, size)
     small = boundary(counts, sizes, percent)
     sets = materialize(prefixes(docs, counts, small, percent, size), "sets")
@@ -253,9 +264,9 @@ def join_components(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFr
 
     named = classes.join(labels.withColumnRenamed("row_key", "rep"), "rep", "left").select("row_key", F.coalesce("comp", "rep").alias("comp"))
     out = sets.select("row_key", "doc_id", "n").join(named, "row_key", "left").withColumn("comp", F.coalesce("comp", "row_key"))
-    if "doc_id" in docs.columns and docs.where("not doc_id <=> row_key").limit(1).count():
+    if docs.where("not doc_id <=> row_key").limit(1).count():
         ids = sets.select(F.col("row_key").alias("comp"), F.col("doc_id").alias("component_id"))
         out = out.join(ids, "comp")
     else:
         out = out.withColumn("component_id", F.col("comp"))
-    return out.select("row_key", "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    return out.select("row_key", "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "comp")

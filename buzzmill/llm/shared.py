@@ -44,21 +44,34 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: computed once, lineage cut, safe when executors go."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.scratch_path = path
+    return stored
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns row_key, doc_id and text, where row_key is unique, never null and ascends with doc_id.
+def release(*stored: DataFrame) -> None:
+    """Delete tables of materialize that nothing reads any more, and let Spark drop the shuffle files of finished jobs."""
+    for df in stored:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        jvm.System.gc()
+
+
+def keyed(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """Columns row_key, doc_id and text, where row_key is unique, never null and ascends with doc_id; all columns if whole.
 
     Where ids are unique and not null the id itself is the key. Otherwise rows are ordered by id (null last), then
     by the text's hash, and numbered once in a stored table; equal rows get keys in any order, which changes no result.
+    A row_key among the columns of docs is replaced.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    n, full, distinct = base.agg(F.count("*"), F.count("doc_id"), F.countDistinct("doc_id")).first()
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text")
+    n, full, distinct = docs.agg(F.count("*"), F.count("doc_id"), F.countDistinct("doc_id")).first()
+    rest = [c for c in docs.columns if c not in ("row_key", "doc_id", "text")] if whole else []
     if n == full == distinct:
-        return base.select(F.col("doc_id").alias("row_key"), "doc_id", "text")
-    ordered = base.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
-    return materialize(ordered.select(F.monotonically_increasing_id().alias("row_key"), "doc_id", "text"), "keyed")
+        return docs.select(doc_id.alias("row_key"), doc_id.alias("doc_id"), text, *rest)
+    ordered = docs.orderBy(doc_id.asc_nulls_last(), F.xxhash64("text"))
+    return materialize(ordered.select(F.monotonically_increasing_id().alias("row_key"), doc_id.alias("doc_id"), text, *rest), "keyed")
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

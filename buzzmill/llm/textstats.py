@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 WINDOW_WORDS = 8
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Ratios that do not depend on a text's length; the learners use these alone.
-RATIOS = ("mean_word", "symbols", "bangs", "capitals", "digits", "distinct_words", "dup_lines", "repeats", "marks", "lone_marks")
+RATIOS = ("mean_word", "symbols", "bangs", "capitals", "distinct_words", "dup_lines", "repeats")
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -51,11 +51,8 @@ def with_stats(docs: DataFrame) -> DataFrame:
         F.when(F.size("g") == F.size(F.array_distinct("g")), F.lit(0)).otherwise(_repeat_words(F.col("w"), F.col("g"))).cast("long").alias("n_repeat_words"),
         count("!").alias("n_bangs"),
         count(r"\p{Lu}").alias("n_capitals"),
-        count("[0-9]").alias("n_digits"),
-        count(r"[.,;:?]").alias("n_marks"),
         F.size(F.array_distinct("h")).alias("n_distinct"),
         F.size("l").alias("n_lines"),
-        count(r" [^\w\s]+ ").alias("n_lone"),
     )
     ratio = lambda a, b: (F.col(a) / F.greatest(F.col(b), F.lit(1))).cast("double")
     return base.select(
@@ -65,13 +62,10 @@ def with_stats(docs: DataFrame) -> DataFrame:
         ratio("n_symbols", "n_words").alias("symbols"),
         ratio("n_bangs", "n_words").alias("bangs"),
         ratio("n_capitals", "word_chars").alias("capitals"),
-        ratio("n_digits", "word_chars").alias("digits"),
         # per root of the words: vocabularies grow more slowly than texts
         (F.col("n_distinct") / F.greatest(F.pow(F.col("n_words").cast("double"), F.lit(0.8)), F.lit(1.0))).alias("distinct_words"),
         ratio("n_dup_lines", "n_lines").alias("dup_lines"),
         ratio("n_repeat_words", "n_words").alias("repeats"),
-        ratio("n_marks", "n_words").alias("marks"),
-        ratio("n_lone", "n_words").alias("lone_marks"),
     )
 
 
