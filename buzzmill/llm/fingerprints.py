@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buzzmill.llm.shared import BASE_A, BASE_B, keyed, materialize, mix, rolling, text_chunks, words_of
+from buzzmill.llm.shared import BASE_A, BASE_B, keyed, materialize, mix, release, rolling, text_chunks, words_of
 from buzzmill.llm.windows import Shape, beside_texts, covered, in_order, key_filter, resolve, runs, scan_segments
 
 WIDTH, GRAM = 20, 6
-RUN = ["anchor", "seg", "row_key", "start", "n", "place"]
-MERGED = "dup boolean, anchor long, seg long, row_key long, start int, n int, place int, fresh boolean, first boolean, open_ boolean"
+RUN = ["anchor", "seg", "row_key", "start", "n"]
+MERGED = "dup boolean, anchor long, seg long, row_key long, start int, n int, fresh boolean, first boolean, open_ boolean"
 WINDOWS = "dup boolean, anchor long, seg long, row_key long, start int, fresh boolean"
 
 
@@ -41,20 +41,24 @@ class FingerprintIndex:
         self.runs: list[DataFrame] = []
 
     def add(self, batch: DataFrame) -> DataFrame:
-        """Spans (row_key, start, n windows) of the batch that repeat earlier ones; keys must exceed all earlier keys."""
+        """Spans (row_key, start, n windows) of the batch that repeat earlier ones; keys must exceed all earlier keys.
+
+        Leaves behind the spans and the runs alone: runs that a compaction replaced are deleted.
+        """
         rows = scan_segments(batch, symbols, self.shape).withColumn("fresh", F.lit(True))
         for run in self.runs:
-            rows = rows.unionByName(run.select(F.lit(False).alias("dup"), *RUN, F.lit(False).alias("fresh")))
+            rows = rows.unionByName(run.where("first and (fresh or whole)").select(F.lit(False).alias("dup"), *RUN, F.lit(False).alias("fresh")))
         compacts = len(self.runs) >= self.fan_in
-        merged = in_order(rows).mapInArrow(resolve, MERGED)
-        merged = materialize(merged if compacts else merged.where("fresh or open_"), "fingerprint-run")
-        run = merged.where("first") if compacts else merged.where("first and fresh")
-        self.runs = [run.select(*RUN)] if compacts else [*self.runs, run.select(*RUN)]
+        merged = in_order(rows).mapInArrow(resolve, MERGED).drop("dup")
+        merged = materialize((merged if compacts else merged.where("fresh or open_")).withColumn("whole", F.lit(compacts)), "fingerprint-run")
+        replaced, self.runs = (self.runs, [merged]) if compacts else ([], [*self.runs, merged])
         repeated = merged.where("fresh and not first").select("row_key", "start", "n")
         # anchors of which something new came; of those with old segments alone, all windows are known
         asks = merged.where("open_").groupBy("anchor").agg(F.bool_or("fresh").alias("asks")).where("asks").drop("asks")
-        unsettled = merged.where("open_").join(asks, "anchor", "left_semi").select("anchor", "row_key", "start", "n", "fresh")
-        return repeated.unionByName(self._verify(materialize(unsettled, "fingerprint-open")))
+        unsettled = materialize(merged.where("open_").join(asks, "anchor", "left_semi").select("row_key", "start", "n", "fresh"), "fingerprint-open")
+        spans = materialize(repeated.unionByName(self._verify(unsettled)), "fingerprint-spans")
+        release(unsettled, *replaced)
+        return spans
 
     def _verify(self, unsettled: DataFrame) -> DataFrame:
         """Compare the windows of segments that share no more than their anchor, by the words in the texts."""

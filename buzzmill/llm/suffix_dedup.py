@@ -149,7 +149,7 @@ def _spans(keys, starts, flags_by_row) -> pa.Table:
 def repeated_spans(docs: DataFrame, shape: Shape = Shape(WIDTH, GRAM), block_bytes: int = BLOCK_BYTES, hot_rows: int = HOT_ROWS) -> DataFrame:
     """row_key, start and n: windows start ... start + n - 1 of that row also start earlier. docs has row_key and text."""
     width = shape.width
-    settled = materialize(in_order(scan_segments(docs, symbols, shape)).mapInArrow(resolve, "dup boolean, anchor long, seg long, row_key long, start int, n int, place int, first boolean, open_ boolean").where("not first or open_").drop("dup", "place"), "suffix-settled")
+    settled = materialize(in_order(scan_segments(docs, symbols, shape)).mapInArrow(resolve, "dup boolean, anchor long, seg long, row_key long, start int, n int, first boolean, open_ boolean").where("not first or open_").drop("dup"), "suffix-settled")
     whole, unsettled = settled.where("not first").select("row_key", "start", "n"), settled.where("open_").select("anchor", "row_key", "start", "n")
     # an anchor with many segments does not fit a block: its windows are compared one by one, by a hash of their bytes
     hot = unsettled.groupBy("anchor").agg(F.count("*").alias("rows")).where(F.col("rows") > hot_rows).select("anchor", F.lit(True).alias("hot"))

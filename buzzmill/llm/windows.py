@@ -21,7 +21,7 @@ HIGH = np.uint64(0xFFFFFFFF00000000)
 LOW = np.uint64(0xFFFFFFFF)
 #: Bits of the filter of row keys: 1 MB, whatever the number of rows.
 FILTER_BITS = 23
-SEGMENTS = "dup boolean, anchor long, seg long, row_key long, start int, n int, place int"
+SEGMENTS = "dup boolean, anchor long, seg long, row_key long, start int, n int"
 
 
 @dataclass(frozen=True)
@@ -33,12 +33,12 @@ class Shape:
 
 
 def segments(symbols: np.ndarray, offsets: np.ndarray, shape: Shape) -> tuple[np.ndarray, ...]:
-    """Row, start (in its row), windows, place of the anchor after start, anchor's hash and segment's hash."""
+    """Row, start (in its row), windows, anchor's hash and segment's hash."""
     lengths = np.diff(offsets)
     windows = np.maximum(lengths - shape.width + 1, 0)
     if not windows.sum():
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
     grams = mix(rolling(symbols, shape.gram, BASE_A))
     least = sliding_min((grams & HIGH) | np.arange(len(grams), dtype=np.uint64), shape.width - shape.gram + 1)
     at = ranges(offsets[:-1], windows)
@@ -53,19 +53,19 @@ def segments(symbols: np.ndarray, offsets: np.ndarray, shape: Shape) -> tuple[np
     for shift in cover:
         seg = mix(seg * np.uint64(BASE_B) + grams[start + n - 1 + shift])
     row = np.searchsorted(offsets, start, "right") - 1
-    return row, start - offsets[row], n, anchor - start, grams[anchor], seg
+    return row, start - offsets[row], n, grams[anchor], seg
 
 
 def segment_batch(keys: np.ndarray, found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     """Rows of SEGMENTS; of segments that are equal within the batch, all but the first are marked dup."""
-    row, start, n, place, anchor, seg = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 6
+    row, start, n, anchor, seg = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 5
     key, anchor, seg = keys[row.astype(np.int64)], anchor.astype(np.uint64).view(np.int64), seg.astype(np.uint64).view(np.int64)
     order = np.lexsort((start, key, seg, anchor))
     same = np.zeros(len(order), bool)
     if len(order):
         same[1:] = (anchor[order][1:] == anchor[order][:-1]) & (seg[order][1:] == seg[order][:-1])
-    columns = [same, anchor[order], seg[order], key[order], start[order].astype(np.int32), n[order].astype(np.int32), place[order].astype(np.int32)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["dup", "anchor", "seg", "row_key", "start", "n", "place"])
+    columns = [same, anchor[order], seg[order], key[order], start[order].astype(np.int32), n[order].astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["dup", "anchor", "seg", "row_key", "start", "n"])
 
 
 def in_order(rows: DataFrame) -> DataFrame:
