@@ -210,6 +210,20 @@ def components(links: DataFrame) -> DataFrame:
         labels = after.select("row_key", "comp")
 
 
+def _stars(rows: DataFrame, percent: int) -> DataFrame:
+    """Each set with the head that it meets in most lists: one pair a set at most."""
+    met = rows.where(_fits("n", "head_n", "at", "head_at", percent)).groupBy("row_key", "head").agg(F.count("*").alias("met"))
+    best = met.groupBy("row_key").agg(F.max_by("head", F.struct("met", -F.col("head"))).alias("b"))
+    return materialize(best.select(F.col("row_key").alias("a"), "b"), "stars")
+
+
+def _mixed(listed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the lists in which more than one component is left."""
+    joined = listed.select("token", "row_key", "n", "at").join(labels, "row_key", "left").withColumn("comp", F.coalesce("comp", "row_key"))
+    mixed = joined.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
+    return materialize(joined.join(mixed, "token", "left_semi").select("token", "row_key", "n", "at", "comp"), "open-lists")
+
+
 def join_components(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
     """One row for each row of docs: row_key, doc_id, n_shingles and component_id.
 
@@ -246,14 +260,15 @@ def _joined(docs: DataFrame, percent: int, size: int) -> DataFrame:
     lows = subset.where("n = low").groupBy("low", "high", "hash").agg(F.min("row_key").alias("a"), F.count("*").alias("times"))
     small_links = subset.withColumnRenamed("row_key", "b").join(lows, ["low", "high", "hash"]).where("a <> b").select("a", "b").distinct()
 
-    stars = listed.where("row_key <> head").where(_fits("n", "head_n", "at", "head_at", percent)).groupBy("row_key", "head").agg(F.count("*").alias("met"))
-    stars = stars.groupBy("row_key").agg(F.max_by("head", F.struct("met", -F.col("head"))).alias("b")).select(F.col("row_key").alias("a"), "b")
-    links = verified(docs, materialize(stars, "stars"), percent, size).unionByName(small_links)
+    links = verified(docs, _stars(listed.where("row_key <> head"), percent), percent, size).unionByName(small_links)
     labels = components(links)
-
-    joined = listed.join(labels, "row_key", "left").select("token", "row_key", "n", "at", F.coalesce("comp", "row_key").alias("comp"))
-    mixed = joined.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    left = materialize(joined.join(mixed, "token", "left_semi"), "open-lists")
+    left = _mixed(listed, labels)
+    # a second round of stars, against the list's least component, merges most of what the first left apart
+    heads = left.groupBy("token").agg(F.min(F.struct("comp", "row_key", "n", "at")).alias("h"))
+    again = left.join(heads, "token").where("comp <> h.comp").select("row_key", "n", "at", F.col("h.row_key").alias("head"), F.col("h.n").alias("head_n"), F.col("h.at").alias("head_at"))
+    links = links.unionByName(verified(docs, _stars(again, percent), percent, size))
+    labels = components(links)
+    left = _mixed(left, labels)
     x, y = (left.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("row_key", "n", "at", "comp")]) for k in "ab")
     pairs = x.join(y, "token").where("row_key_a < row_key_b and comp_a <> comp_b").where(_fits("n_a", "n_b", "at_a", "at_b", percent))
     pairs = pairs.groupBy(F.col("row_key_a").alias("a"), F.col("row_key_b").alias("b"), "n_a", "n_b").agg(F.count("*").alias("met"))
