@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buzzmill.llm.shared import BASE_A, BASE_B, keyed, materialize, mix, rolling, text_chunks, words_of
+from buzzmill.llm.shared import BASE_A, BASE_B, batch_rows, keyed, materialize, mix, rolling, text_chunks, words_of
 from buzzmill.llm.windows import key_filter
 
 #: Counters of the sketch of shingle frequencies (4 MB), and its parts.
@@ -192,7 +192,8 @@ def verified(docs: DataFrame, pairs: DataFrame, percent: int, size: int) -> Data
 
     one, other = (known.select(F.col("row_key").alias(k), F.col("shingles").alias(f"of_{k}")) for k in "ab")
     both = pairs.select("a", "b").join(one, "a").join(other, "b").select("a", "b", "of_a", "of_b")
-    return materialize(both.mapInArrow(compare, "a long, b long"), "links")
+    with batch_rows(docs.sparkSession, 500):  # two whole sets a row
+        return materialize(both.mapInArrow(compare, "a long, b long"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:

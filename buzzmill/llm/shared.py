@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,18 @@ def release(*stored: DataFrame) -> None:
         jvm.System.gc()
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Jobs run inside send `rows` rows at a time to Python: for rows that are large each."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def keyed(docs: DataFrame, whole: bool = False) -> DataFrame:
     """Columns row_key, doc_id and text, where row_key is unique, never null and ascends with doc_id; all columns if whole.
 
