@@ -25,8 +25,8 @@ from buzzmill.llm.shared import materialize, text_buffers
 WINDOW, OPEN, END_ID = 4096, 32, 2
 #: Tasks whose leftovers are merged by one task: 8 MB of ids at most.
 MERGED_TASKS = 512
-#: Distinct words whose ids a worker remembers: some 200 MB at most, then it starts anew.
-CACHED_WORDS = 700_000
+#: Distinct words whose ids a task remembers: some 40 MB, then it starts anew; rare words seldom come twice.
+CACHED_WORDS = 200_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -168,6 +168,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = WINDOW, most_open: int = O
             yield _batch(packer.done, number)
             packer.done = []
         left = packer.drain()
+        if tokenizer in _encoders:
+            _encoders[tokenizer].known = {}  # workers live on in other stages
         yield _batch(packer.done, number, left)
 
     def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
