@@ -80,3 +80,12 @@ def first_text(*columns: Column) -> Column:
 def snippet(text: Column, n: int = 160) -> Column:
     flat = F.trim(F.regexp_replace(text, r"\s+", " "))
     return F.when(F.length(flat) > n, F.concat(F.substring(flat, 1, n - 1), F.lit("…"))).otherwise(flat)
+
+
+def squeeze(text: Column) -> Column:
+    """A key without spaces, dots, underscores and dashes."""
+    return F.regexp_replace(F.lower(text), r"[\s._-]+", "")
+
+
+def with_parameter(url: Column, name: str, value: Column) -> Column:
+    return F.concat(url, F.when(url.contains("?"), "&").otherwise("?"), F.lit(f"{name}="), value)

@@ -55,3 +55,40 @@ def ordered_values(rows: DataFrame, key: str, value: str, order: str) -> DataFra
 
 def content_key(*parts: Column, text: Column, n: int = 160) -> Column:
     return F.md5(F.concat_ws("|", *parts, F.substring(text, 1, n)))
+
+
+def merge_twins(old: DataFrame, new: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
+    """One row for each key, nulls alike: a new twin of an old row hands it its id. merged: new rows that went in."""
+    rows = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    return rows.groupBy(*keys).agg(F.max_by(id_col, F.struct("_new", id_col)).alias(id_col), F.count_if(F.col("_new") == 1).alias("merged"))
+
+
+def replace_keys(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of new, and rows of old whose keys new does not have."""
+    return old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new)
+
+
+def keep_active(rows: DataFrame, guarded: DataFrame, key: str, flag: str = "is_active") -> DataFrame:
+    """Guarded keys cannot be switched off."""
+    guard = guarded.select(key).distinct().withColumn("_kept", F.lit(True))
+    return rows.join(guard, key, "left").withColumn(flag, F.coalesce("_kept", flag)).drop("_kept")
+
+
+def mirror(target: DataFrame, source: DataFrame, key: str, column: str) -> DataFrame:
+    """target with the column of source where that has a value; changed tells where it differs."""
+    rows = target.join(source.select(key, F.col(column).alias("_to")), key, "left")
+    changed = F.col("_to").isNotNull() & ~F.col("_to").eqNullSafe(F.col(column))
+    return rows.withColumn("changed", changed).withColumn(column, F.coalesce("_to", column)).drop("_to")
+
+
+def merge_first(primary: Column, secondary: Column, field: str) -> Column:
+    """Array of structs: primary, then secondary, each value of the field once."""
+    both = F.concat(primary, secondary)
+    known = F.transform(both, lambda x: x[field])
+    return F.filter(both, lambda x, i: F.array_position(known, x[field]) == i + 1)
+
+
+def change_counts(rows: DataFrame, by: str, before: str, after: str) -> DataFrame:
+    """By group: values that became another, and values that went."""
+    differs = ~F.col(before).eqNullSafe(F.col(after))
+    return rows.groupBy(by).agg(F.count_if(differs & F.col(after).isNotNull()).alias("updated"), F.count_if(differs & F.col(after).isNull()).alias("cleared"))

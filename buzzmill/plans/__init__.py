@@ -1 +1,5 @@
 """plans of the mention engine."""
+
+from buzzmill.plans import queries, records
+
+__all__ = ["queries", "records"]

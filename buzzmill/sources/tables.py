@@ -65,3 +65,11 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conversations as grouped posts: turn 0 is the post, later turns its comments in order."""
     c = table(spark, sf_dir, "conversations")
     return c.groupBy("conv_id").agg(F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("post_text"), F.array_sort(F.collect_list(F.when(F.col("turn") > 0, F.struct("turn", "role", "text")))).alias("comments"))
+
+
+def read_rss(spark: SparkSession, path: str) -> DataFrame:
+    """Items of news feeds as posts: id from link and title, text without tags, publication time (null where unreadable)."""
+    rows = spark.read.format("xml").option("rowTag", "item").schema("title string, description string, link string, pubDate string").load(path)
+    plain = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce("description", F.lit("")), "<[^>]+>", " "), r"\s+", " "))
+    when = F.try_to_timestamp(F.regexp_replace("pubDate", "^[A-Za-z]+, *", ""), F.lit("d MMM yyyy HH:mm:ss z"))
+    return rows.select(F.substring(F.sha1(F.concat_ws("|", "link", "title")), 1, 24).alias("post_id"), "title", plain.alias("post_text"), F.col("link").alias("post_url"), when.alias("published_at"))
