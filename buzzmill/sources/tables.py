@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,16 +14,56 @@ COMMENT = T.StructType([T.StructField(c, T.StringType()) for c in ("external_id"
 POST = T.StructType([T.StructField(c, T.StringType()) for c in ("platform", "post_id", "page_name", "post_url", "post_created_at", "post_text", "search_keyword")] + [T.StructField("comments", T.ArrayType(COMMENT))])
 
 
+WRAPPERS = ("items", "mentions", "data")
+#: Names in raw crawls for fields of posts and comments.
+POST_NAMES = {"post_id": "id", "post_url": "permalink_url", "post_created_at": "created_time", "post_text": "message"}
+COMMENT_NAMES = {"external_id": "id", "text": "message", "created_at": "created_time"}
+#: A record as texts, so that no shape of a field makes it unreadable.
+RAW = T.StructType([T.StructField(c, T.StringType()) for c in (*POST.names, *POST_NAMES.values(), *WRAPPERS)])
+
+
+def flat_comments(raw: str | None) -> list[tuple] | None:
+    """Comments from an array or {data: [...]}, each before its replies, which name it as their parent; null if neither."""
+    if raw is None:
+        return None
+    listed = lambda v: v if isinstance(v, list) else (v.get("data") or []) if isinstance(v, dict) else None
+    try:
+        found = listed(json.loads(raw, parse_int=str, parse_float=str))
+    except ValueError:
+        return None
+    if not isinstance(found, list):
+        return None
+    out, left = [], [(c, None) for c in reversed(found)]
+    while left:
+        c, parent = left.pop()
+        if not isinstance(c, dict):
+            continue
+        values = {f: c.get(f) if c.get(f) is not None else c.get(COMMENT_NAMES.get(f, f)) for f in COMMENT.names}
+        values["parent_comment_id"] = values["parent_comment_id"] or parent
+        out.append(tuple(v if v is None or isinstance(v, str) else json.dumps(v, ensure_ascii=False) for v in values.values()))
+        replies = listed(c.get("comments"))
+        left += [(r, values["external_id"]) for r in reversed(replies if isinstance(replies, list) else [])]
+    return out
+
+
 def read_records(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Grouped post records from JSON arrays, {items|mentions|data: [...]} wrappers, or JSON lines; malformed lines go.
+    """Grouped post records from JSON arrays, {items|mentions|data: [...]} wrappers, or JSON lines; what is not JSON goes.
 
+    Raw crawls' names (id, message, ...) are taken too; comments are an array or {data: [...]}, replies follow theirs.
     `file` is the path that a record came from; a missing platform is taken from the folder below `processed`.
     """
-    schema = T.StructType([*POST.fields, *[T.StructField(w, T.ArrayType(POST)) for w in ("items", "mentions", "data")], T.StructField("_corrupt_record", T.StringType())])
+    objects = lambda array: F.filter(F.from_json(array, "array<string>"), lambda x: x.startswith("{"))
+    parsed = lambda texts: F.transform(texts, lambda x: F.from_json(x, RAW))
+    schema = T.StructType([*RAW.fields, T.StructField("_corrupt_record", T.StringType())])
     rows = spark.read.option("multiLine", not lines).option("recursiveFileLookup", True).schema(schema).json(path).withColumn("file", F.col("_metadata.file_path"))
-    rows = rows.where("_corrupt_record is null").withColumn("wrapped", F.coalesce("items", "mentions", "data"))
-    own = F.struct(*[F.col(f.name) for f in POST.fields])
-    rows = rows.select("file", F.explode(F.coalesce("wrapped", F.array(own))).alias("r")).select("file", "r.*")
+    # an array with an element that is no object is given as unreadable: its objects stay
+    own = F.when(F.col("_corrupt_record").isNull(), F.array(F.struct(*RAW.names))).otherwise(parsed(objects(F.col("_corrupt_record"))))
+    rows = rows.select("file", F.explode(own).alias("r")).select("file", "r.*")
+    lists = [F.from_json(w, "array<string>") for w in WRAPPERS]
+    wrapped = F.coalesce(*[F.when(F.size(x) > 0, objects(F.col(w))) for w, x in zip(WRAPPERS, lists, strict=True)], *[F.when(x.isNotNull(), F.array().cast("array<string>")) for x in lists])
+    rows = rows.select("file", F.explode(F.coalesce(parsed(wrapped), F.array(F.struct(*RAW.names)))).alias("r")).select("file", "r.*")
+    named = [F.coalesce(c, POST_NAMES[c]).alias(c) if c in POST_NAMES else F.col(c) for c in POST.names if c != "comments"]
+    rows = rows.select("file", *named, F.udf(flat_comments, POST["comments"].dataType)("comments").alias("comments"))
     place = F.nullif(F.regexp_extract("file", r"/processed/[^/]+/([^/]+)/", 1), F.lit(""))
     platform = F.coalesce(F.nullif(F.trim("platform"), F.lit("")), place)
     return rows.withColumn("platform", F.when(platform == "google_maps", "google").otherwise(platform))
