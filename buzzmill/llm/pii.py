@@ -28,9 +28,9 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 FOUR = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-URL = re.compile(r"[a-z]+://(?P<user>[^\s/?#@\"'<>]{1,256}@)?[^\s/?#@\"'<>]+(?P<rest>[^\s\"'<>]*)")
+URL = re.compile(r"[a-z]+://(?P<user>[^\s/?#@\"'<>]+@)?[^\s/?#@\"'<>]+(?P<rest>[^\s\"'<>]*)")
 ACCOUNT = re.compile(r"(?:[\s_-]?(?:no|number|nr|id|code))?\.?[\x20\t]*[:=#]?[\x20\t]*[\"']?([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{2,4}){3,8}\b|[A-Z0-9](?:[\x20-]?[A-Z0-9]){5,33}\b)")
-SECRET = re.compile(r"[\"']?[\x20\t]*[:=][\x20\t]*[\"']?([^\s\"'<>,;]{8,512})")
+SECRET = re.compile(r"[\"']?[\x20\t]*[:=][\x20\t]*[\"']?([^\s\"'<>,;]{8,})")
 PERSONAL_PART = re.compile(r"[?&](?:user|username|login|email|e-mail|token|key|password|session|sid)=[^&\s]+", re.I)
 
 
@@ -72,6 +72,7 @@ def spans_of(text: str | None) -> list[tuple[int, str, int, int]]:
         return []
     out: list[tuple[str, int, int]] = []
     past = dict.fromkeys(KINDS, 0)
+    dull = 0
     for last, (kind, size) in automaton().iter(text):
         at = last - size + 1
         if at < past[kind]:
@@ -112,11 +113,15 @@ def spans_of(text: str | None) -> list[tuple[int, str, int, int]]:
                 end = at + len(m.group().rstrip(".,;:!?)]}"))
                 out.append((kind, at, end))
                 past[kind] = end
+        elif kind == "secret" and last + 2 < dull:
+            continue  # its value would be the end of one that has too few digits
         elif (at == 0 or not text[at - 1].isalnum()) and (m := (ACCOUNT if kind == "account" else SECRET).match(text, last + 1)):
             value = m.group(1)
             if iban(value) if kind == "account" and "iban" in text[at : last + 1].lower() else sum(c in DIGITS for c in value) >= (6 if kind == "account" else 2):
                 out.append((kind, m.start(1), m.end(1)))
                 past[kind] = m.end(1)
+            elif kind == "secret":
+                dull = m.end(1)
     return sorted((KINDS.index(kind), kind, start, end) for kind, start, end in out)
 
 

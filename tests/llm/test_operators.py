@@ -199,6 +199,14 @@ def test_personal_data(docs, texts):
     assert pii.redact(docs).columns == docs.columns
 
 
+def test_long_secrets_go_whole():
+    long = "ab1-" * 500
+    assert pii.redacted(f'token = "{long}" end') == 'token = "[SECRET]" end'
+    assert pii.redacted(f"see ssh://{'u' * 300}:p1@host/x end") == "see [URL] end"
+    assert pii.spans_of("token=" * 20000 + " password=hunter22") == [(6, "secret", 120001, 120018)]
+    assert [s[2:] for s in pii.spans_of("token=abcdefgh_token= secret99 token=abcdefgh,token=secret99")] == [(22, 30), (52, 60)]
+
+
 def test_archives(spark):
     pages = [(4, "http://a b", "x"), (2, None, "x"), (9, "u", None), (1, "u", ""), (5, "u", "é" * 5000), (None, "u", "x")]
     df = spark.createDataFrame([(*p, 7) for p in pages], "page_id long, url string, html string, file int")
