@@ -3,7 +3,8 @@
 Vectors are dealt to blocks by hash. In a block every random projection has one sorted array. A query opens a window
 around its own projection in each array; virtual rehashing widens all windows by the same ratio and counts only what
 is new. A vector that lies in at least `threshold` of the windows is verified with its exact cosine. A block is done
-with a query when as many verified vectors as asked for lie within the current radius.
+with a query when as many verified vectors as asked for lie within the current radius; after the last radius, a block
+that still owes some verifies all its vectors.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ class Hashing:
 
     def radii(self) -> list[float]:
         out = [self.first_radius]
-        while self.half * out[-1] < 2:  # then the windows hold every unit vector
+        while self.half * out[-1] < 2:
             out.append(out[-1] * self.ratio)
         return out
 
@@ -86,6 +87,12 @@ class Block:
                 # on unit vectors, a distance of at most r is a cosine of at least 1 - r * r / 2
                 if len(scores) >= wanted and (scores[:wanted] >= 1 - radius * radius / 2).all():
                     break
+            if len(scores) < wanted:  # even the widest windows miss far vectors, so all that are left are verified
+                left = np.flatnonzero(open_)
+                exact = (self.vectors[left] * queries[j]).sum(axis=1) / (self.norms[left] * norms[j])
+                scores, places = np.concatenate((scores, exact)), np.concatenate((places, left))
+                best = top(scores, self.ids[places], k)
+                scores, places = scores[best], places[best]
             found += [(int(query_id), int(self.ids[p]), float(s)) for p, s in zip(places, scores, strict=True)]
         return found
 

@@ -154,6 +154,19 @@ def test_neighbours(spark):
     assert ann.search(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_far_neighbours(spark):
+    """All others are owed where there are at most k, however far."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((8, 64))
+    for v in x:
+        far = np.stack([v, *(-v + s * rng.standard_normal(64) for s in (0.01, 0.1, 0.3, 0.5, 1))])
+        got = ann.Block(np.arange(6), far, ann.Hashing()).search(np.array([0]), far[:1], 5)
+        s = far @ v / np.linalg.norm(far, axis=1)
+        assert [i for _, i, _ in got] == np.argsort(-s)[1:].tolist()
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(far)], "vec_id long, embedding array<double>")
+    assert [r["rank"] for r in ann.search(df, F.col("vec_id") == 0).orderBy("rank").collect()] == [1, 2, 3, 4, 5]
+
+
 def test_packing(docs, texts, empty):
     from tokenizers import Tokenizer
 
