@@ -276,3 +276,58 @@ def test_pipeline(spark, tmp_path, docs, texts):
     for r in kept:
         table[r["lang"]] += 1
     assert table["en"] == len(kept)
+
+
+def test_pipeline_stages(spark, tmp_path, monkeypatch):
+    """run() over a folder: what every stage keeps of the stage before it, and the pieces, against brute force."""
+    import duckdb
+    import pandas as pd
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    texts = [prose(k, 60) for k in range(150)]
+    for k in range(0, 150, 10):
+        texts[k] += f" mail a.b{k}@ex-{k}.org or 10.0.0.{k}"
+    for k in range(3, 150, 7):
+        texts[k] = texts[k - 2] + " more"
+    texts += [" ".join(f"{w}###" for w in prose(k, 60).split()) for k in range(150, 260)]
+    rows = [(k, t, "en", ["s1", "s2", "s3", None][k * k % 7 % 4], len(t)) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(k, int(k < 150), 0) for k in range(260)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    stored, store = [], corpus_pipeline.materialize
+    monkeypatch.setattr(corpus_pipeline, "materialize", lambda df, label: stored.append(store(df, label)) or stored[-1])
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    assert len(stored) == 4
+    got = [sorted(map(tuple, df.select("doc_id", "text", "lang", "source", "n_chars").collect()), key=str) for df in stored]
+
+    kept = [r for r in rows if "###" not in r[1]]
+    assert got[0] == sorted(kept, key=str) and len(kept) == 150
+    comp = brute_components([r[1] for r in kept], 5, 80)[1]
+    kept = [r for k, r in enumerate(kept) if comp[k] == k]
+    assert got[1] == sorted(kept, key=str) and len(kept) < 150
+    clean = [re.sub(r"10\.0\.0\.\d+", "[IP]", re.sub(r"\S+@\S+", "[EMAIL]", r[1])) for r in kept]
+    kept = [(r[0], t, *r[2:4], len(t)) for r, t in zip(kept, clean, strict=True)]
+    assert got[2] == sorted(kept, key=str) and sum("[EMAIL]" in t and "[IP]" in t for t in clean) > 5
+    documents = pd.DataFrame(kept, columns=["doc_id", "text", "lang", "source", "n_chars"])  # noqa: F841 - read by the SQL
+    taken = {r[0]: r[4] for r in duckdb.sql(mixing.ORACLE).fetchall()}
+    mix = []
+    for doc_id, text, lang, source, _ in kept:
+        words = WORDS.findall(text)
+        times, part = divmod(taken[doc_id], len(words))
+        mix += [(doc_id, t, lang, source, len(t)) for t in [text] * times + [" ".join(words[:part])] * (part > 0)]
+    assert got[3] == sorted(mix, key=str) and len(mix) > len(kept)
+
+    t = Tokenizer.from_file(tokenizer_path())
+    owed, ids_of = defaultdict(Counter), {}
+    for doc_id, text, *_ in mix:
+        ids = np.array([*t.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        ids_of[doc_id, len(ids)] = ids
+        owed[doc_id, len(ids)].update(range(len(ids)))
+    for p in pieces.itertuples():
+        ids = ids_of[p.doc_id, p.doc_tokens][p.start : p.start + p.length]
+        assert len(ids) == p.length and zlib.crc32(ids.tobytes()) == p.ids_crc32
+        owed[p.doc_id, p.doc_tokens].subtract(range(p.start, p.start + p.length))
+    assert not any(n for c in owed.values() for n in c.values())
+    for _, g in pieces.sort_values("offset").groupby("sequence_id"):
+        assert g.offset.tolist() == [0, *g.length.cumsum().tolist()[:-1]] and g.length.sum() <= 4096
