@@ -42,3 +42,12 @@ def keyword_filter(posts: DataFrame, terms: Sequence[str], exclude: Sequence[str
     rows = rows.withColumn("post_match", _any(F.lower(F.coalesce("post_text", F.lit(""))), terms))
     rows = rows.withColumn("comment_matches", F.size(F.filter("comments", lambda c: _any(F.lower(F.coalesce(c["text"], F.lit(""))), terms))))
     return rows.where("post_match or comment_matches > 0")
+
+
+def keyword_filter_rows(rows: DataFrame, key: str, is_post: Column, terms: Sequence[str], exclude: Sequence[str] = ()) -> DataFrame:
+    """keyword_filter where posts and comments are rows: post_text, post_match and comment_matches by key, one text held a key."""
+    text = F.lower(F.coalesce("text", F.lit("")))
+    hit = ~is_post & _any(text, terms) & ~_any(text, exclude)
+    found = rows.groupBy(key).agg(F.max(F.when(is_post, F.col("text"))).alias("post_text"), F.count_if(hit).cast("int").alias("comment_matches"))
+    post = F.lower(F.coalesce("post_text", F.lit("")))
+    return found.where(~_any(post, exclude)).withColumn("post_match", _any(post, terms)).where("post_match or comment_matches > 0")

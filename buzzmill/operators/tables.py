@@ -88,6 +88,13 @@ def merge_first(primary: Column, secondary: Column, field: str) -> Column:
     return F.filter(both, lambda x, i: F.array_position(known, x[field]) == i + 1)
 
 
+def merge_first_rows(rows: DataFrame, key: str, field: str, order: Sequence[str]) -> DataFrame:
+    """merge_first where items are rows: by key, array `items` in order, of each value of the field the first."""
+    item = F.when(F.forall(F.array(*order), lambda x: x.isNotNull()), F.struct(*order))
+    first = rows.groupBy(key, field).agg(F.min(item).alias("item"))
+    return first.groupBy(key).agg(F.array_sort(F.collect_list("item")).alias("items"))
+
+
 def change_counts(rows: DataFrame, by: str, before: str, after: str) -> DataFrame:
     """By group: values that became another, and values that went."""
     differs = ~F.col(before).eqNullSafe(F.col(after))

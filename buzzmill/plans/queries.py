@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from buzzmill.functions import text as X
 from buzzmill.functions import times as D
 from buzzmill.operators import freshness, metrics, rules, tables
-from buzzmill.sources.tables import crawl_log, links, mentions, posts, table
+from buzzmill.sources.tables import crawl_log, links, mentions, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -321,7 +321,8 @@ def replace_brand_links(spark, sf_dir):
 
 @query("WITH p AS (SELECT conv_id, max(CASE WHEN turn = 0 THEN text END) AS post_text, list(text ORDER BY turn) FILTER (WHERE turn > 0) AS comments FROM conversations GROUP BY conv_id) SELECT conv_id, contains(lower(coalesce(post_text, '')), 'the') AS post_match, len(list_filter(coalesce(comments, []), lambda c: contains(lower(c), 'the') AND NOT contains(lower(c), 'hathe')))::INT AS comment_matches FROM p WHERE NOT contains(lower(coalesce(post_text, '')), 'hathe') AND (contains(lower(coalesce(post_text, '')), 'the') OR len(list_filter(coalesce(comments, []), lambda c: contains(lower(c), 'the') AND NOT contains(lower(c), 'hathe'))) > 0)")
 def keyword_filter_nested(spark, sf_dir):
-    return rules.keyword_filter(posts(spark, sf_dir), ["the"], ["hathe"]).select("conv_id", "post_match", "comment_matches")
+    rows = table(spark, sf_dir, "conversations").where("turn >= 0")
+    return rules.keyword_filter_rows(rows, "conv_id", F.col("turn") == 0, ["the"], ["hathe"]).select("conv_id", "post_match", "comment_matches")
 
 
 @query("SELECT doc_id FROM documents WHERE NOT (length(trim(text)) < 40 OR regexp_matches(text, '^[^A-Za-z]*$'))")

@@ -58,10 +58,9 @@ def mirror_column(spark, sf_dir):
 @query("SELECT conv_id, string_agg(turn, ',' ORDER BY turn % 2, turn) AS turns FROM (SELECT * FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id, turn % 3 ORDER BY turn % 2, turn) = 1) GROUP BY conv_id")
 def merge_comments(spark, sf_dir):
     """Comments of two crawls, the first one's before the other's; each external id once."""
-    item = F.struct("turn", (F.col("turn") % 3).alias("external_id"))
-    part = lambda k: F.array_sort(F.collect_list(F.when(F.col("turn") % 2 == k, item)))
-    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(part(0).alias("a"), part(1).alias("b"))
-    return c.select("conv_id", F.array_join(F.transform(tables.merge_first(F.col("a"), F.col("b"), "external_id"), lambda x: x["turn"].cast("string")), ",").alias("turns"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.col("turn") % 2).alias("crawl"), (F.col("turn") % 3).alias("external_id"))
+    merged = tables.merge_first_rows(c, "conv_id", "external_id", ["crawl", "turn"])
+    return merged.select("conv_id", F.nullif(F.array_join(F.transform("items", lambda x: x["turn"].cast("string")), ","), F.lit("")).alias("turns"))
 
 
 @query(f"{MENTIONS}, c AS (SELECT platform_code, sentiment AS before, CASE k % 3 WHEN 0 THEN 'positive' WHEN 1 THEN NULL ELSE sentiment END AS after FROM m) SELECT platform_code, count(*) FILTER (WHERE after IS NOT NULL AND after IS DISTINCT FROM before) AS updated, count(*) FILTER (WHERE after IS NULL AND before IS NOT NULL) AS cleared FROM c GROUP BY platform_code")

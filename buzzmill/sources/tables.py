@@ -103,12 +103,6 @@ def crawl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.concat(F.lit("u"), F.col("user_id"), F.lit("/"), F.col("k")).alias("url"), F.col("event_type").alias("keyword"), F.when(F.col("k") % 11 != 0, F.col("ts")).alias("content_ts"), F.col("ts").alias("seen_at"))
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conversations as grouped posts: turn 0 is the post, later turns its comments in order."""
-    c = table(spark, sf_dir, "conversations")
-    return c.groupBy("conv_id").agg(F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("post_text"), F.array_sort(F.collect_list(F.when(F.col("turn") > 0, F.struct("turn", "role", "text")))).alias("comments"))
-
-
 def read_rss(spark: SparkSession, path: str) -> DataFrame:
     """Items of news feeds as posts: id from link and title, text without tags, publication time (null where unreadable)."""
     rows = spark.read.format("xml").option("rowTag", "item").schema("title string, description string, link string, pubDate string").load(path)
