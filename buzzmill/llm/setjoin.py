@@ -3,14 +3,18 @@
 Two sets of sizes n and m are linked when they share at least need(n, m) shingles. Small sets enumerate all their
 subsets of exactly that size for each partner size: a common subset is a link. Large sets are found by scanning the
 inverted lists of their rarest shingles (a prefix that every linked partner must meet). The boundary between both is
-the size at which enumerating costs more rows than scanning. Equal sets are one set from the start. Lists are settled
-by stars first, each set against the first of a list, so that in a group of near copies few pairs are left; the rest
-are counted, pruned by exact bounds, and verified.
+the size at which enumerating costs more rows than scanning. Equal sets are one set from the start.
+
+A long list is never squared. First every set is compared with the most central set of the lists it is in; lists that
+then hold one component need nothing more. In a longer list that is still mixed, each set is written as its difference
+from the list's head: removed and added shingles. Two sets that are not both linked to the head must share some of
+these differences, at least as many as their sizes tell, so rare differences give new and much shorter lists. This
+repeats; what remains in short lists is paired, pruned by exact bounds and verified.
 """
 
 import math
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pandas as pd
@@ -18,17 +22,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buzzmill.llm.shared import BASE_A, BASE_B, batch_rows, keyed, materialize, mix, rolling, text_chunks, words_of
-from buzzmill.llm.windows import key_filter
+from buzzmill.llm.shared import BASE_A, BASE_B, batch_rows, forget_shuffles, keyed, materialize, mix, only_keys, release, rolling, spread_join, text_chunks, words_of
 
-#: Counters of the sketch of shingle frequencies (4 MB), and its parts.
-SKETCH_BITS, SKETCH_PARTS = 20, 16
-#: Largest size whose subsets are ever enumerated; each set would make some 1,350 rows at 20.
-MOST_SMALL = 20
+#: Counters of the sketch of shingle frequencies (4 MB), its parts, and the shingles of least hash that it counts exactly.
+SKETCH_BITS, SKETCH_PARTS, EXACT = 20, 16, 4096
+#: Sizes that the cost rule looks at. A set of 64 has some 10**10 subsets, more than any scan costs.
+SIZES = 64
 MERGED_TASKS = 256
+#: Lists of up to PAIRED rows are paired; longer ones are written as differences from a head, ROUNDS times at most.
+PAIRED, ROUNDS = 16, 6
+#: Rows with a text each that go to Python at once.
+TEXT_ROWS = 1000
 
 
-def need(n: int, m: int, percent: int) -> int:
+def need(n, m, percent: int):
     """Least number of common elements with which sets of sizes n and m are linked."""
     return -(-percent * (n + m) // (100 + percent))
 
@@ -62,25 +69,43 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def sketch(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sets by hash bucket of their shingles, and by their size up to MOST_SMALL. 4 MB, whatever the size of docs."""
+def _least(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The EXACT least distinct tokens with the sums of their counts."""
+    distinct, at = np.unique(tokens, return_inverse=True)
+    return distinct[:EXACT], np.bincount(at, counts, len(distinct)).astype(np.uint64)[:EXACT]
+
+
+def sketch(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Sets by hash bucket of their shingles, by their size up to SIZES, and the mean number of sets of a shingle.
+
+    The last is exact over the EXACT shingles of least hash, which every task knows. 4 MB, whatever the size of docs.
+    """
     cells = (1 << SKETCH_BITS) // SKETCH_PARTS
 
     def count(batches):
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        counts, sizes = np.zeros(1 << SKETCH_BITS, np.int64), np.zeros(MOST_SMALL + 1, np.int64)
+        counts, sizes = np.zeros(1 << SKETCH_BITS, np.int64), np.zeros(SIZES + 1, np.int64)
+        least = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         for batch in batches:
-            found = list(shingle_sets(batch.column(0), size))
-            counts += np.bincount((np.concatenate(found) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts)) if found else 0
-            sizes += np.bincount([len(s) for s in found if 0 < len(s) <= MOST_SMALL], minlength=MOST_SMALL + 1)
-        parts = [counts[k * cells : (k + 1) * cells].astype(np.uint32).tobytes() for k in range(SKETCH_PARTS)] + [sizes.astype(np.uint32).tobytes()]
+            sets = shingle_sets(batch.column(0), size)
+            while found := list(islice(sets, 1000)):
+                tokens = np.concatenate(found)
+                counts += np.bincount((tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
+                sizes += np.bincount([len(s) for s in found if 0 < len(s) <= SIZES], minlength=SIZES + 1)
+                tokens = tokens[tokens <= least[0][-1]] if len(least[0]) == EXACT else tokens
+                least = _least(np.concatenate((least[0], tokens)), np.concatenate((least[1], np.ones(len(tokens), np.uint64))))
+        parts = [counts[k * cells : (k + 1) * cells].astype(np.uint32).tobytes() for k in range(SKETCH_PARTS)] + [sizes.astype(np.uint32).tobytes(), np.concatenate(least).tobytes()]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([task] * len(parts), pa.int32()), pa.array(parts, pa.binary())], ["part", "task", "counts"])
 
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, np.uint32).astype(np.uint64) for c in rows["counts"])
-        return pd.DataFrame({"part": [key[0]], "task": [key[1]], "counts": [np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()]})
+        if key[0] == SKETCH_PARTS + 1:
+            halves = [np.frombuffer(c, np.uint64).reshape(2, -1) for c in rows["counts"]]
+            made = np.concatenate(_least(np.concatenate([h[0] for h in halves]), np.concatenate([h[1] for h in halves])))
+        else:
+            made = np.minimum(sum(np.frombuffer(c, np.uint32).astype(np.uint64) for c in rows["counts"]), 2**32 - 1).astype(np.uint32)
+        return pd.DataFrame({"part": [key[0]], "task": [key[1]], "counts": [made.tobytes()]})
 
     kind = "part int, task int, counts binary"
     rows = materialize(docs.select("text").mapInArrow(count, kind), "sketch")
@@ -88,25 +113,33 @@ def sketch(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     while tasks > 1:  # a group holds MERGED_TASKS parts of 256 kB at most
         rows = rows.groupBy("part", F.floor(F.col("task") / MERGED_TASKS).cast("int").alias("task")).applyInPandas(add, kind)
         tasks = -(-tasks // MERGED_TASKS)
-    found = {r["part"]: np.frombuffer(r["counts"], np.uint32).astype(np.int64) for r in rows.collect()}
-    empty = np.zeros(cells, np.int64)
-    return np.concatenate([found.get(k, empty) for k in range(SKETCH_PARTS)]), found.get(SKETCH_PARTS, np.zeros(MOST_SMALL + 1, np.int64))
+    found = {r["part"]: bytes(r["counts"]) for r in rows.collect()}
+    of = lambda k, n: np.frombuffer(found[k], np.uint32).astype(np.int64) if k in found else np.zeros(n, np.int64)
+    times = np.frombuffer(found.get(SKETCH_PARTS + 1, b""), np.uint64).reshape(2, -1)[1]
+    return np.concatenate([of(k, cells) for k in range(SKETCH_PARTS)]), of(SKETCH_PARTS, SIZES + 1), float(times.mean()) if len(times) else 0.0
 
 
-def boundary(counts: np.ndarray, sizes: np.ndarray, percent: int) -> int:
-    """The size up to which sets enumerate subsets, with least rows in all: subsets against prefixes times list lengths."""
-    length = 1 + counts.sum() / len(counts)
-    scan = [sizes[n] * prefix(n, percent) * length for n in range(MOST_SMALL + 1)]
-    subsets = [sizes[n] * subset_rows(n, percent) for n in range(MOST_SMALL + 1)]
-    return min(range(MOST_SMALL + 1), key=lambda x: (sum(subsets[: x + 1]) + sum(scan[x + 1 :]), x))
+def boundary(sizes: np.ndarray, length: float, percent: int) -> int:
+    """The size up to which sets enumerate subsets, with least rows in all: subsets against prefixes times lists of mean length."""
+    scan = [float(sizes[n]) * prefix(n, percent) * (1 + length) for n in range(len(sizes))]
+    subsets = [float(sizes[n]) * subset_rows(n, percent) for n in range(len(sizes))]
+    return min(range(len(sizes)), key=lambda x: (sum(subsets[: x + 1]) + sum(scan[x + 1 :]), x))
 
 
 SETS = "row_key long, doc_id long, n int, sig_a long, sig_b long, tokens array<long>, subsets array<struct<low int, high int, hash long>>"
 
 
-def prefixes(docs: DataFrame, counts: np.ndarray, small: int, percent: int, size: int) -> DataFrame:
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    """16 times the logarithm of the counters: 2 MB."""
+    return np.minimum(16 * np.log2(counts + 1.0), 65535).astype(np.uint16)
+
+
+def _level(levels: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    return levels[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+
+
+def prefixes(docs: DataFrame, levels, small: int, percent: int, size: int) -> DataFrame:
     """Size, signature, prefix (rarest shingles first, by the sketch; ties by hash) or subsets of every text's set."""
-    levels = docs.sparkSession.sparkContext.broadcast(np.minimum(16 * np.log2(counts + 1.0), 65535).astype(np.uint16))
 
     def task(batches):
         for batch in batches:
@@ -117,8 +150,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray, small: int, percent: int, size
                 sig_b.append(int((s * np.uint64(BASE_A)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
                 # lists hold every set that a large one may be linked to
                 if len(s) and 100 * len(s) >= percent * (small + 1):
-                    level = levels.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                    tokens.append(s[np.argsort(level, kind="stable")[: prefix(len(s), percent)]].view(np.int64))
+                    tokens.append(s[np.argsort(_level(levels.value, s), kind="stable")[: prefix(len(s), percent)]].view(np.int64))
                 else:
                     tokens.append(np.zeros(0, np.int64))
                 subsets.append(list(_subsets(s.tolist(), percent)) if 0 < len(s) <= small else [])
@@ -133,96 +165,157 @@ def _subsets(s: list[int], percent: int) -> Iterator[dict]:
     for m in partners(n, percent):
         k = need(n, m, percent)
         if k <= min(n, m):
-            chosen = np.array(list(combinations(s, k)), np.uint64)
-            hashes = mix((mix(chosen) * np.uint64(BASE_B)).sum(axis=1, dtype=np.uint64) + np.uint64(k)).view(np.int64)
-            yield from ({"low": min(n, m), "high": max(n, m), "hash": h} for h in hashes.tolist())
-
-
-LISTED = "token long, row_key long, n int, at int, head long, head_n int, head_at int"
-
-
-def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token: those of lists of two or more, with the list's first row. Only one row is held back."""
-    names = ["token", "row_key", "n", "at"]
-    head, alone = None, False  # the current list's first row, and whether nothing has followed it yet
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-        if head is not None:
-            columns = [np.concatenate(([h], c)) for h, c in zip(head, columns, strict=True)]
-        token = columns[0]
-        new = np.concatenate(([True], token[1:] != token[:-1]))
-        place = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        listed = np.concatenate((~new[1:], [False])) | ~new
-        out = np.flatnonzero(listed)
-        if head is not None and not alone and len(out) and out[0] == 0:
-            out = out[1:]  # it went out before
-        head, alone = [c[place[-1]] for c in columns], not listed[place[-1]] and (alone or place[-1] > 0 or head is None)
-        arrays = [pa.array(c[out]) for c in columns] + [pa.array(c[place[out]]) for c in columns[1:]]
-        yield pa.RecordBatch.from_arrays([a.cast(t) for a, t in zip(arrays, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()), strict=True)], [*names, "head", "head_n", "head_at"])
-
-
-def _fits(n: str, m: str, i: str, j: str, percent: int) -> str:
-    """SQL: sizes n and m may be linked, and so may sets whose common shingle is at places i and j."""
-    wanted = f"ceil({percent} * ({n} + {m}) / {100.0 + percent} - 1e-9)"
-    return f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m}) and least({i}, {j}) + least({n} - {i}, {m} - {j}) >= {wanted}"
-
-
-def verified(docs: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:
-    """Of pairs (a, b) of row keys those whose shingle sets are linked; only texts that pairs name are read in full."""
-    keys = materialize(pairs.select(F.col("a").alias("row_key")).union(pairs.select("b")).distinct(), "pair-keys")
-
-    def sets(batches):
-        for batch in batches:
-            made = [s.astype("<u8").tobytes() for s in shingle_sets(batch.column(1), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["row_key", "shingles"])
+            chosen = combinations(s, k)
+            while some := list(islice(chosen, 4096)):
+                hashes = mix((mix(np.array(some, np.uint64)) * np.uint64(BASE_B)).sum(axis=1, dtype=np.uint64) + np.uint64(k)).view(np.int64)
+                yield from ({"low": min(n, m), "high": max(n, m), "hash": h} for h in hashes.tolist())
+
+
+def _common(n: int, h: int, removed: int, percent: int) -> int:
+    """Least number of differences from a head of size h that a set (size n, lacking `removed` of the head) shares with a linked one.
+
+    A partner of size m that lacks r of the head shares need(n, m) - h + removed + r of them, and has m - h + 2 * r itself.
+    """
+    m = np.arange(-(-percent * n // 100), 100 * n // percent + 1)
+    wanted = need(n, m, percent) + removed
+    return max(1, int((wanted - h + np.maximum(np.maximum(0, h - m), wanted - m)).min()))
+
 
-    known = docs.where(key_filter(keys)).select("row_key", "text").mapInArrow(sets, "row_key long, shingles binary")
-    known = materialize(known.join(keys, "row_key", "left_semi"), "pair-sets")
+DELTA = "head long, row_key long, linked boolean, n int, adj int, rest int, d int, tokens array<long>"
+
+
+def against_heads(docs: DataFrame, pairs: DataFrame, percent: int, size: int, levels=None) -> DataFrame:
+    """For stored pairs (head, row_key): whether both sets are linked; with levels also the differences from the head.
+
+    Texts are sent once for each pair, and a head's text once for each 1,000 of its pairs (or 10,000th part of all),
+    ahead of them, so a task holds one head's set and a batch. tokens is the prefix of the differences, rarest first:
+    a set y that is linked to x, though not both are linked to the head, shares at least
+    need(n_x, n_y) + adj_x + adj_y of all d differences, and one of tokens. rest is the number of differences beyond.
+    """
+    spark, n = docs.sparkSession, pairs.count()
+    limit = max(1000, n // 10_000)
+    hot = pairs.groupBy("head").agg(F.count("*").alias("times")).where(F.col("times") > limit)  # 10,000 rows at most
+    parted = pairs.join(F.broadcast(hot), "head", "left").select("head", F.coalesce(F.pmod(F.xxhash64("row_key"), F.ceil(F.col("times") / limit)), F.lit(0)).alias("part"), "row_key", F.lit(True).alias("member"))
+    wanted = materialize(parted.unionByName(parted.select("head", "part", F.col("head").alias("row_key"), F.lit(False).alias("member")).distinct()), "wanted")
+    beside = only_keys(docs.select("row_key", "text"), wanted.select("row_key").distinct(), "row_key").join(wanted.hint("shuffle_hash"), "row_key")
+    ordered = beside.repartition("head", "part").sortWithinPartitions("head", "part", "member").select("head", "row_key", "member", "text")
 
     def compare(batches):
+        base = np.zeros(0, np.uint64)
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
-
-    one, other = (known.select(F.col("row_key").alias(k), F.col("shingles").alias(f"of_{k}")) for k in "ab")
-    both = pairs.select("a", "b").join(one, "a").join(other, "b").select("a", "b", "of_a", "of_b")
-    with batch_rows(docs.sparkSession, 500):  # two whole sets a row
-        return materialize(both.mapInArrow(compare, "a long, b long"), "links")
+            heads, keys, members = (batch.column(k).to_pylist() for k in range(3))
+            out = []
+            for head, key, member, s in zip(heads, keys, members, shingle_sets(batch.column(3), size), strict=True):
+                if not member:
+                    base = s
+                    continue
+                inside = np.zeros(len(s), bool)
+                if len(base):
+                    inside = base[np.minimum(np.searchsorted(base, s), len(base) - 1)] == s
+                both, h, n = int(inside.sum()), len(base), len(s)
+                removed = h - both
+                linked = 100 * both >= percent * (n + h - both)
+                if levels is None:
+                    out.append((head, key, linked, n, 0, 0, 0, None))
+                    continue
+                gone = np.ones(h, bool)
+                gone[np.searchsorted(base, s[inside])] = False
+                added, lost = s[~inside], base[gone]
+                often = np.exp2(_level(levels.value, added) / 16.0), np.exp2(_level(levels.value, lost) / 16.0)
+                most = float(np.exp2(_level(levels.value, base).max(initial=0) / 16.0))
+                # a lost shingle is rare if all but a few sets have it
+                rarity = np.concatenate((np.minimum(often[0], most), np.maximum(most - often[1], most / 8)))
+                signed = np.concatenate((mix(added), mix(lost + np.uint64(BASE_B))))
+                d, common = len(signed), _common(n, h, removed, percent)
+                chosen = signed[np.lexsort((signed, rarity))[: max(0, d - common + 1)]]
+                # |x & y| = |h| - removed_x - removed_y + common differences; |h| is split between both, halves doubled
+                out.append((head, key, linked, n, 2 * removed - h, d - len(chosen), d, chosen.view(np.int64)))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 8
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in DELTA.split(", ")])
+
+    with batch_rows(spark, TEXT_ROWS):
+        made = materialize(ordered.mapInArrow(compare, DELTA), "against-heads")
+    release(wanted)
+    return made
 
 
 def components(links: DataFrame) -> DataFrame:
     """row_key and comp, the least key of its component, for every key in links (a, b); minima travel, then labels are followed."""
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a")).distinct()
     edges = materialize(edges, "edges")
-    labels = materialize(edges.groupBy(F.col("u").alias("row_key")).agg(F.least(F.min("u"), F.min("v")).alias("comp")), "labels")
+    degrees = materialize(edges.groupBy(F.col("u").alias("row_key")).agg(F.least(F.min("u"), F.min("v")).alias("comp"), F.count("*").alias("times")), "degrees")
+    total, labels = edges.count(), degrees
     while True:
-        near = edges.join(labels.select(F.col("row_key").alias("v"), "comp"), "v").groupBy(F.col("u").alias("row_key")).agg(F.min("comp").alias("near"))
-        stepped = labels.join(near, "row_key").select("row_key", F.least("comp", "near").alias("to"), F.col("comp").alias("old"))
-        further = stepped.join(labels.select(F.col("row_key").alias("to"), F.col("comp").alias("next")), "to", "left")
-        after = materialize(further.select("row_key", F.least("to", F.coalesce("next", "to")).alias("comp"), "old"), "labels")
+        theirs = labels.select(F.col("row_key").alias("v"), "comp", "times")
+        near = spread_join(edges, theirs, ["v"], "times", total).groupBy(F.col("u").alias("row_key")).agg(F.min("comp").alias("near"))
+        stepped = materialize(labels.join(near, "row_key").select("row_key", "times", F.least("comp", "near").alias("to"), F.col("comp").alias("old")), "steps")
+        # most rows of a component point to the same row: each such row is looked up once
+        aims = stepped.groupBy("to").agg(F.count("*").alias("aimed"))
+        aims = materialize(aims.join(labels.select(F.col("row_key").alias("to"), F.col("comp").alias("next")), "to"), "aims")
+        after = materialize(spread_join(stepped, aims, ["to"], "aimed", total).select("row_key", "times", F.least("to", "next").alias("comp"), "old"), "labels")
+        release(labels, stepped, aims)
         if not after.where("comp < old").limit(1).count():
+            release(edges)
             return after.select("row_key", "comp")
-        labels = after.select("row_key", "comp")
+        labels = after
 
 
-def _stars(rows: DataFrame, percent: int) -> DataFrame:
-    """Each set with the head that it meets in most lists: one pair a set at most."""
-    met = rows.where(_fits("n", "head_n", "at", "head_at", percent)).groupBy("row_key", "head").agg(F.count("*").alias("met"))
-    best = met.groupBy("row_key").agg(F.max_by("head", F.struct("met", -F.col("head"))).alias("b"))
-    return materialize(best.select(F.col("row_key").alias("a"), "b"), "stars")
+def _bounds(percent: int) -> tuple[str, str]:
+    """SQL over two rows of one list: whether the set sizes and the places in it allow a link; and whether `met` lists do."""
+    wanted = f"ceil({percent} * (n_a + n_b) / {100.0 + percent} - 1e-9) + (adj_a + adj_b) / 2"
+    sizes = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    return f"{sizes} and least(at_a, at_b) + least(d_a - at_a, d_b - at_b) >= {wanted}", f"met + greatest(rest_a, rest_b) >= {wanted}"
+
 
+LIST = ["space", "token", "row_key", "n", "at", "d", "rest", "adj"]
 
-def _mixed(listed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the lists in which more than one component is left."""
-    joined = listed.select("token", "row_key", "n", "at").join(labels, "row_key", "left").withColumn("comp", F.coalesce("comp", "row_key"))
-    mixed = joined.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    return materialize(joined.join(mixed, "token", "left_semi").select("token", "row_key", "n", "at", "comp"), "open-lists")
+
+def _of(rows: DataFrame, side: str) -> list:
+    return [F.col(c).alias(f"{c}_{side}") for c in ("row_key", "n", "at", "d", "rest", "adj")]
+
+
+def _stars(rows: DataFrame, percent: int) -> DataFrame:
+    """Each set with the head that it meets in most lists: one pair a set at most. rows have a struct `top` for the head."""
+    fits, enough = _bounds(percent)
+    both = rows.select(*_of(rows, "a"), *[F.col(f"top.{c}").alias(f"{c}_b") for c in ("row_key", "n", "at", "d", "rest", "adj")]).where("row_key_a <> row_key_b").where(fits)
+    met = both.groupBy("row_key_a", "row_key_b", "n_a", "n_b", "rest_a", "rest_b", "adj_a", "adj_b").agg(F.count("*").alias("met")).where(enough)
+    return met.groupBy(F.col("row_key_a").alias("row_key")).agg(F.max_by("row_key_b", F.struct("met", -F.col("row_key_b"))).alias("head")).select("head", "row_key")
+
+
+def _open(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
+    """Rows of the lists in which more than one component is left, with the list's length as `times`; and the pairs in them."""
+    labelled = rows.join(labels, "row_key", "left").withColumn("comp", F.coalesce("comp", "row_key"))
+    mixed = labelled.groupBy("space", "token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("times")).where("low < high")
+    mixed = materialize(mixed.drop("low", "high"), "mixed")
+    total, work = mixed.agg(F.sum("times"), F.sum(F.col("times") * F.col("times").cast("double"))).first()
+    left = materialize(spread_join(labelled, mixed, ["space", "token"], "times", total or 0).select(*LIST, "times"), "open-lists")
+    release(mixed)
+    return left, work or 0
+
+
+def _heads(rows: DataFrame) -> DataFrame:
+    """Pairs (head, row_key) of long lists. Heads are central (few rarer shingles), and few: lists agree on those with most votes."""
+    first = rows.groupBy("space", "token").agg(F.min(F.struct("at", "row_key")).alias("h"), F.first("times").alias("times"))
+    votes = first.groupBy(F.col("h.row_key").alias("row_key")).agg(F.sum("times").alias("votes"))
+    voted = rows.join(votes, "row_key", "left").withColumn("votes", F.coalesce("votes", F.lit(0)))
+    chosen = voted.groupBy("space", "token").agg(F.max(F.struct("votes", (-F.col("row_key")).alias("k"))).alias("h"), F.first("times").alias("times"))
+    chosen = materialize(chosen.select("space", "token", "times", (-F.col("h.k")).alias("head")), "heads")
+    total = chosen.agg(F.sum("times")).first()[0] or 0
+    members = spread_join(rows.select("space", "token", "row_key"), chosen, ["space", "token"], "times", total)
+    pairs = materialize(members.where("row_key <> head").select("head", "row_key").distinct(), "head-pairs")
+    release(chosen)
+    return pairs
+
+
+def _pairs(rows: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (head, row_key) of different components that a list and the exact bounds allow to be linked."""
+    fits, enough = _bounds(percent)
+    rows = rows.join(labels, "row_key", "left").withColumn("comp", F.coalesce("comp", "row_key"))
+    x, y = rows.select("space", "token", *_of(rows, "a"), F.col("comp").alias("comp_a")), rows.select("space", "token", *_of(rows, "b"), F.col("comp").alias("comp_b"))
+    both = x.join(y, ["space", "token"]).where("row_key_a < row_key_b and comp_a <> comp_b").where(fits)
+    met = both.groupBy("space", "row_key_a", "row_key_b", "n_a", "n_b", "rest_a", "rest_b", "adj_a", "adj_b").agg(F.count("*").alias("met")).where(enough)
+    return materialize(met.select(F.col("row_key_a").alias("head"), F.col("row_key_b").alias("row_key")).distinct(), "pairs")
 
 
 def join_components(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
@@ -230,59 +323,87 @@ def join_components(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFr
 
     Texts are lower-cased in A-Z; a set holds the distinct runs of `size` words, or all words of a shorter text as one.
     Rows are linked when 100 * common >= percent * united. component_id is the least doc_id that links reach. Null and
-    empty texts have no shingles and are linked with nothing. Rows with a null id come last and are reached like any
-    other; equal ids are separate rows. An empty table gives no rows; other columns are ignored. Links are exact, up to
-    64-bit hashes of shingles.
+    empty texts have no shingles and are linked with nothing; texts of any length are read whole, a task holding a
+    batch of TEXT_ROWS of them. Rows with a null id come last and are reached like any other; equal ids are separate
+    rows. An empty table gives no rows; other columns are ignored. Links are exact, up to 64-bit hashes of shingles.
     """
     return _joined(keyed(docs), percent, size).drop("comp")
 
 
 def deduplicate(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
     """docs without the rows that links connect to one of smaller doc_id: the first of each group stays, with all columns."""
-    whole = keyed(docs, whole=True)
+    whole = keyed(docs.withColumnRenamed("row_key", "_row_key"), whole=True)
     kept = _joined(whole.select("row_key", "doc_id", "text"), percent, size).where("row_key = comp").select("row_key")
-    return whole.join(kept.hint("shuffle_hash"), "row_key", "left_semi").select(*[c for c in docs.columns if c != "row_key"])
+    out = whole.join(kept.hint("shuffle_hash"), "row_key", "left_semi").drop("row_key")
+    return out.withColumnRenamed("_row_key", "row_key").select(*docs.columns)
 
 
 def _joined(docs: DataFrame, percent: int, size: int) -> DataFrame:
     """join_components over docs with row_key, and the least key of the component as comp."""
-    counts, sizes = sketch(docs, size)
-    small = boundary(counts, sizes, percent)
-    sets = materialize(prefixes(docs, counts, small, percent, size), "sets")
+    spark = docs.sparkSession
+    with batch_rows(spark, TEXT_ROWS):
+        counts, sizes, length = sketch(docs, size)
+        small = boundary(sizes, length, percent)
+        levels = spark.sparkContext.broadcast(levels_of(counts))
+        sets = materialize(prefixes(docs, levels, small, percent, size), "sets")
     signature = ["sig_a", "sig_b", "n"]
-    full = sets.where("n > 0")
-    kinds = full.groupBy(*signature).agg(F.min("row_key").alias("rep"))
-    classes = materialize(full.select("row_key", *signature).join(kinds, signature).select("row_key", "rep"), "classes")
-    reps = full.join(classes.where("row_key = rep").select("row_key"), "row_key", "left_semi")
-
-    listed = reps.select("row_key", "n", F.posexplode("tokens").alias("at", "token")).select("token", "row_key", "n", "at")
-    listed = materialize(listed.repartition("token").sortWithinPartitions("token", "row_key").mapInArrow(_heads, LISTED), "lists")
-    subset = reps.select("row_key", "n", F.inline("subsets"))
-    lows = subset.where("n = low").groupBy("low", "high", "hash").agg(F.min("row_key").alias("a"), F.count("*").alias("times"))
-    small_links = subset.withColumnRenamed("row_key", "b").join(lows, ["low", "high", "hash"]).where("a <> b").select("a", "b").distinct()
-
-    links = verified(docs, _stars(listed.where("row_key <> head"), percent), percent, size).unionByName(small_links)
+    full, total = sets.where("n > 0"), sets.count()
+    kinds = materialize(full.groupBy(*signature).agg(F.min("row_key").alias("rep"), F.count("*").alias("times")).where("times > 1"), "kinds")
+    copies = materialize(spread_join(full.select("row_key", *signature), kinds, signature, "times", total).where("row_key <> rep").select("row_key", "rep"), "copies")
+    sources = materialize(full.join(copies, "row_key", "left_anti").select("row_key", "n", "tokens", "subsets"), "sources")
+    named = materialize(sets.select("row_key", "doc_id", "n"), "sizes")
+    release(sets, kinds)
+
+    subset = sources.select("row_key", "n", F.inline("subsets"))
+    lows = subset.where("n = low").groupBy("low", "high", "hash").agg(F.min("row_key").alias("a"))
+    links = materialize(subset.withColumnRenamed("row_key", "b").join(lows, ["low", "high", "hash"]).where("a <> b").select("a", "b").distinct(), "subset-links")
+
+    listed = sources.select(F.lit(0).cast("long").alias("space"), F.posexplode("tokens").alias("at", "token"), "row_key", "n", F.col("n").alias("d"), (F.col("n") - F.size("tokens")).alias("rest"), F.lit(0).alias("adj")).select(*LIST)
+    repeated = materialize(listed.groupBy("token").agg(F.count("*").alias("times")).where("times > 1"), "repeated")
+    entries = repeated.agg(F.sum("times")).first()[0] or 0
+    forget_shuffles(spark)
+    lists = materialize(spread_join(only_keys(listed, repeated, "token"), repeated, ["token"], "times", entries), "lists")
+    release(repeated, sources)
+    tops = materialize(lists.groupBy("token").agg(F.min(F.struct("at", "row_key", "n", "d", "rest", "adj")).alias("top"), F.count("*").alias("times")), "tops")
+    stars = materialize(_stars(spread_join(lists.drop("times"), tops, ["token"], "times", entries), percent), "stars")
+    links = links.unionByName(_linked(against_heads(docs, stars, percent, size)))
     labels = components(links)
-    left = _mixed(listed, labels)
-    # a second round of stars, against the list's least component, merges most of what the first left apart
-    heads = left.groupBy("token").agg(F.min(F.struct("comp", "row_key", "n", "at")).alias("h"))
-    again = left.join(heads, "token").where("comp <> h.comp").select("row_key", "n", "at", F.col("h.row_key").alias("head"), F.col("h.n").alias("head_n"), F.col("h.at").alias("head_at"))
-    links = links.unionByName(verified(docs, _stars(again, percent), percent, size))
+    left, work = _open(lists.select(*LIST), labels)
+    release(lists, tops, stars)
+    forget_shuffles(spark)
+    for _ in range(ROUNDS):
+        long_ones = left.where(F.col("times") > PAIRED)
+        if not long_ones.limit(1).count():
+            break
+        pairs = _heads(long_ones)
+        deltas = against_heads(docs, pairs, percent, size, levels)
+        links = links.unionByName(_linked(deltas))
+        labels = components(links)
+        fresh = deltas.select(F.col("head").alias("space"), F.posexplode("tokens").alias("at", "token"), "row_key", "n", "d", "rest", "adj")
+        further, before = _open(left.where(F.col("times") <= PAIRED).select(*LIST).unionByName(fresh.select(*LIST)), labels), work
+        (further, work), smaller = further, further[1] < before
+        release(pairs, *([left] if smaller else [further]))
+        left = further if smaller else left
+        forget_shuffles(spark)
+        if work > 0.8 * before:  # differences are no rarer than what they replace
+            break
+    pairs = _pairs(left, labels, percent)
+    links = links.unionByName(_linked(against_heads(docs, pairs, percent, size)))
     labels = components(links)
-    left = _mixed(left, labels)
-    x, y = (left.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("row_key", "n", "at", "comp")]) for k in "ab")
-    pairs = x.join(y, "token").where("row_key_a < row_key_b and comp_a <> comp_b").where(_fits("n_a", "n_b", "at_a", "at_b", percent))
-    pairs = pairs.groupBy(F.col("row_key_a").alias("a"), F.col("row_key_b").alias("b"), "n_a", "n_b").agg(F.count("*").alias("met"))
-    rest = lambda n: f"{n} - ({n} - ceil({percent} * {n} / 100.0 - 1e-9) + 1)"  # noqa: E731  beyond the prefix
-    enough = f"met + greatest({rest('n_a')}, {rest('n_b')}) >= ceil({percent} * (n_a + n_b) / {100.0 + percent} - 1e-9)"
-    more = verified(docs, materialize(pairs.where(enough).select("a", "b"), "pairs"), percent, size)
-    labels = components(links.unionByName(more)) if more.limit(1).count() else labels
-
-    named = classes.join(labels.withColumnRenamed("row_key", "rep"), "rep", "left").select("row_key", F.coalesce("comp", "rep").alias("comp"))
-    out = sets.select("row_key", "doc_id", "n").join(named, "row_key", "left").withColumn("comp", F.coalesce("comp", "row_key"))
+    release(left, pairs)
+
+    labels = labels.withColumnRenamed("row_key", "rep")
+    aims = materialize(copies.groupBy("rep").agg(F.count("*").alias("times")).join(labels, "rep", "left").select("rep", "times", F.coalesce("comp", "rep").alias("comp")), "aims")
+    of_copies = spread_join(copies, aims, ["rep"], "times", total).select("row_key", "comp")
+    labelled = of_copies.unionByName(labels.select(F.col("rep").alias("row_key"), "comp"))
+    out = named.join(labelled, "row_key", "left").withColumn("comp", F.coalesce("comp", "row_key"))
     if docs.where("not doc_id <=> row_key").limit(1).count():
-        ids = sets.select(F.col("row_key").alias("comp"), F.col("doc_id").alias("component_id"))
+        ids = named.select(F.col("row_key").alias("comp"), F.col("doc_id").alias("component_id"))
         out = out.join(ids, "comp")
     else:
         out = out.withColumn("component_id", F.col("comp"))
     return out.select("row_key", "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "comp")
+
+
+def _linked(made: DataFrame) -> DataFrame:
+    return made.where("linked").select(F.col("head").alias("a"), F.col("row_key").alias("b"))

@@ -17,6 +17,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Bytes of text that the numpy kernels take at once.
 CHUNK_BYTES = 1 << 20
+#: Most bits of a broadcast filter of keys: 4 MB of words.
+FILTER_BITS = 24
 _own: dict[str, str] = {}
 
 
@@ -51,12 +53,45 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def release(*stored: DataFrame) -> None:
-    """Delete tables of materialize that nothing reads any more, and let Spark drop the shuffle files of finished jobs."""
+    """Delete tables of materialize that nothing reads any more."""
     for df in stored:
-        jvm = df.sparkSession.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        jvm.System.gc()
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Spark drops the shuffle files of finished jobs when the driver collects garbage; ask for it between long steps."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def only_keys(df: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """Rows of df whose key (a long) is among those of rows, and a few others, to spare a shuffle; df itself where that would not pay.
+
+    A bit set with eight bits a key is broadcast as a table of words: at most 2**FILTER_BITS bits, 4 MB, which its size
+    proves. Beyond 2**FILTER_BITS / 8 keys nothing is filtered here; the join that follows decides alone in any case.
+    """
+    size = max(12, (8 * rows.count()).bit_length())
+    if size > FILTER_BITS:
+        return df
+    bit = lambda: F.pmod(F.xxhash64(key), F.lit(1 << size))
+    words = rows.select(bit().alias("_bit")).groupBy(F.shiftright("_bit", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_bit & 63 AS int))")).alias("_bits"))
+    marked = df.withColumn("_bit", bit()).join(F.broadcast(words), F.shiftright("_bit", 6) == F.col("_word"))
+    return marked.where("shiftright(_bits, cast(_bit & 63 AS int)) & 1 = 1").drop("_bit", "_word", "_bits")
+
+
+def spread_join(rows: DataFrame, table: DataFrame, on: list[str], times: str, total: int) -> DataFrame:
+    """rows joined with table, whose keys are unique and whose column `times` counts the rows of each key.
+
+    Keys with more than one of 10,000 of all rows (and 1,000 at least) are at most 10,000: their part of table is
+    broadcast, so that no task gets all rows of such a key. The other keys are joined as Spark sees fit.
+    """
+    much = F.col(times) > max(1000, total // 10_000)
+    hot = table.where(much)
+    if not hot.limit(1).count():
+        return rows.join(table, on)
+    apart = rows.join(F.broadcast(hot), on)
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(table.where(~much), on)
+    return apart.unionByName(rest)
 
 
 @contextmanager
