@@ -1,10 +1,10 @@
 """Approximate nearest neighbours by collision counting.
 
-Vectors are dealt to blocks by hash. In a block every random projection has one sorted array. A query opens a window
-around its own projection in each array; virtual rehashing widens all windows by the same ratio and counts only what
-is new. A vector that lies in at least `threshold` of the windows is verified with its exact cosine. A block is done
-with a query when as many verified vectors as asked for lie within the current radius; after the last radius, a block
-that still owes some verifies all its vectors.
+Vectors are dealt to blocks by hash. In a block every random projection has one sorted array, built once; all queries
+are then streamed past it. A query opens a window around its own projection in each array; virtual rehashing widens
+all windows by the same ratio and counts only what is new. A vector that lies in at least `threshold` of the windows
+is verified with its exact cosine. A block is done with a query when as many verified vectors as asked for lie well
+within the current radius; after the last radius, a block that still owes some verifies all its vectors.
 """
 
 from __future__ import annotations
@@ -21,13 +21,19 @@ HITS = "query_id long, vec_id long, score double"
 
 @dataclass(frozen=True)
 class Hashing:
-    """projections and seed; half-width of a window at radius 1; share of windows that a candidate must be in; radii."""
+    """projections and seed; half-width of a window at radius 1; share of windows that a candidate must be in; radii.
 
-    projections: int = 48
+    A vector at the radius is in 0.84 of the windows on average, one at 0.95 of it in 0.86. The search goes on until the
+    radius is `margin` times the distance of the last of the k found. Of independent directions, at distance 1.41,
+    some 5 of 100 are verified when the k nearest are at 1.05.
+    """
+
+    projections: int = 96
     half: float = 1.4
-    threshold: float = 0.72
-    first_radius: float = 0.3
-    ratio: float = 1.2
+    threshold: float = 0.8
+    margin: float = 1.05
+    first_radius: float = 0.6
+    ratio: float = 1.06
     seed: int = 42
 
     def radii(self) -> list[float]:
@@ -53,7 +59,7 @@ class Block:
         self.ids, self.vectors, self.how = ids, vectors, how
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
         axes = np.random.default_rng(how.seed).standard_normal((vectors.shape[1], how.projections))
-        self.axes = axes
+        self.axes, self.verified = axes, 0
         projected = (vectors / self.norms[:, None]) @ axes
         order = np.argsort(projected, axis=0, kind="stable")
         self.sorted = np.ascontiguousarray(np.take_along_axis(projected, order, axis=0).T)
@@ -80,12 +86,13 @@ class Block:
                 fresh = np.flatnonzero((counts >= need) & open_)
                 if len(fresh):
                     open_[fresh] = False
+                    self.verified += len(fresh)
                     exact = (self.vectors[fresh] * queries[j]).sum(axis=1) / (self.norms[fresh] * norms[j])
                     scores, places = np.concatenate((scores, exact)), np.concatenate((places, fresh))
                     best = top(scores, self.ids[places], k)
                     scores, places = scores[best], places[best]
                 # on unit vectors, a distance of at most r is a cosine of at least 1 - r * r / 2
-                if len(scores) >= wanted and (scores[:wanted] >= 1 - radius * radius / 2).all():
+                if len(scores) >= wanted and (scores[:wanted] >= 1 - (radius / how.margin) ** 2 / 2).all():
                     break
             if len(scores) < wanted:  # even the widest windows miss far vectors, so all that are left are verified
                 left = np.flatnonzero(open_)
@@ -97,46 +104,61 @@ class Block:
         return found
 
 
-def _matrix(table: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    ids, vectors = table.column("vec_id").combine_chunks(), table.column("vec").combine_chunks()
-    if isinstance(vectors, pa.ChunkedArray):
-        vectors = pa.concat_arrays(vectors.chunks)
-    return np.asarray(ids), np.asarray(vectors.flatten(), np.float64).reshape(-1, dim)
+def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
+    return np.asarray(vectors.flatten(), np.float64).reshape(-1, dim)
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", how: Hashing = Hashing(), block_bytes: int = 4 << 20, query_rows: int = 4096) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", how: Hashing = Hashing(), block_bytes: int = 32 << 20) -> DataFrame:
     """The k nearest by cosine of each row that is_query holds for, among all other rows: query_id, rank, vec_id, score.
 
-    Every pair of a block of vectors (block_bytes) and a block of query_rows queries is one group, so no task holds
-    more than that, whatever the table's size. Vectors that are null, zero, of another length than most, or that hold
-    a null or a non-finite component take no part, nor do rows with a null id. Rows with equal id and vector count
-    once; with equal ids and different vectors, the best score of each pair of ids counts. Ties go to the smaller id.
-    A table without valid vectors or queries gives no rows. Other columns are ignored.
+    Each row is shuffled once, to its block; each query goes to every block, behind the block's rows. A task holds one
+    block (block_bytes of vectors and three times that of arrays) and a batch of queries, whatever the table's size.
+    Vectors that are null, zero, of another length than most, or that hold a null or a non-finite component take no
+    part, nor do rows with a null id. Rows with equal id and vector count once; with equal ids and different vectors,
+    the best score of each pair of ids counts. Ties go to the smaller id. Where fewer than k other vectors exist, all
+    are returned. A table without valid vectors or queries gives no rows. Other columns are ignored.
     """
+    spark = vectors.sparkSession
     base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"), is_query.alias("asks"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     base = base.where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0))
-    dims = base.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n"), F.countDistinct("vec_id").alias("ids"), F.count_if("asks").alias("queries")).orderBy(F.desc("n"), F.desc("dim")).first()
+    dims = base.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n"), F.countDistinct("vec_id").alias("ids")).orderBy(F.desc("n"), F.desc("dim")).first()
     if dims is None:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, n, ids, n_queries = dims["dim"], dims["n"], dims["ids"], dims["queries"]
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    dim, n, ids = dims["dim"], dims["n"], dims["ids"]
     base = base.where(F.size("vec") == dim)
     base = base.dropDuplicates(["vec_id", "vec"]) if ids < n else base
-    blocks = -(-n // max(64, block_bytes // (8 * dim)))
-    query_blocks = max(1, -(-n_queries // query_rows))
-    place = F.xxhash64("vec_id", "vec")
-    left = base.select("vec_id", "vec", F.pmod(place, F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("query_block"))
-    right = base.where("asks").select("vec_id", "vec", F.pmod(place, F.lit(query_blocks)).alias("query_block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-
-    def cell(data: pa.Table, queries: pa.Table) -> pa.Table:
-        rows = []
-        if data.num_rows and queries.num_rows:
-            rows = Block(*_matrix(data, dim), how).search(*_matrix(queries, dim), k)
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
-
-    keys = ("block", "query_block")
-    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, HITS)
+    # few blocks, but work for every core where there are vectors enough
+    blocks = max(-(-8 * dim * n // block_bytes), min(2 * spark.sparkContext.defaultParallelism, -(-n // 16384)))
+    place = F.pmod(F.xxhash64("vec_id", "vec"), F.lit(blocks)).cast("int")
+    rows = base.select(place.alias("block"), F.lit(False).alias("query"), "vec_id", "vec")
+    asked = base.where("asks").select(F.explode(F.sequence(F.lit(0), F.lit(int(blocks) - 1))).alias("block"), F.lit(True).alias("query"), "vec_id", "vec")
+    ordered = rows.unionByName(asked).repartition(int(blocks), "block").sortWithinPartitions("block", "query")
+
+    def cells(batches):
+        number, ids, parts, block = None, [], [], None
+        for batch in batches:
+            places, queries, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            matrix = _matrix(batch.column(3), dim)
+            edges = np.flatnonzero((places[1:] != places[:-1]) | (queries[1:] != queries[:-1])) + 1
+            found = []
+            for low, high in zip([0, *edges], [*edges, len(places)], strict=True):
+                if low == high:
+                    continue
+                if places[low] != number:
+                    number, ids, parts, block = places[low], [], [], None
+                if not queries[low]:
+                    ids.append(keys[low:high])
+                    parts.append(matrix[low:high].copy())
+                elif ids:
+                    if block is None:
+                        block = Block(np.concatenate(ids), np.concatenate(parts), how)
+                        parts = []
+                    found += block.search(keys[low:high], matrix[low:high], k)
+            columns = list(zip(*found, strict=True)) if found else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
+
+    hits = ordered.mapInArrow(cells, HITS)
     hits = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

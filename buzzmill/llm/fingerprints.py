@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buzzmill.llm.shared import BASE_A, BASE_B, keyed, materialize, mix, release, rolling, text_chunks, words_of
-from buzzmill.llm.windows import Shape, beside_texts, covered, in_order, key_filter, resolve, runs, scan_segments
+from buzzmill.llm.shared import BASE_A, BASE_B, forget_shuffles, keyed, materialize, mix, only_keys, release, rolling, text_chunks, words_of
+from buzzmill.llm.windows import Shape, beside_texts, covered, in_order, resolve, runs, scan_segments
 
 WIDTH, GRAM = 20, 6
 RUN = ["anchor", "seg", "row_key", "start", "n"]
@@ -58,6 +58,7 @@ class FingerprintIndex:
         unsettled = materialize(merged.where("open_").join(asks, "anchor", "left_semi").select("row_key", "start", "n", "fresh"), "fingerprint-open")
         spans = materialize(repeated.unionByName(self._verify(unsettled)), "fingerprint-spans")
         release(unsettled, *replaced)
+        forget_shuffles(batch.sparkSession)
         return spans
 
     def _verify(self, unsettled: DataFrame) -> DataFrame:
@@ -71,7 +72,8 @@ class FingerprintIndex:
                 out = []
                 for at, end, data, offsets in text_chunks(batch.column(1)):
                     _, _, words, before = words_of(data, offsets)
-                    a, b = mix(rolling(words, width, BASE_A)).view(np.int64), mix(rolling(words, width, BASE_B)).view(np.int64)
+                    others = words_of(data, offsets, BASE_B)[2]  # another hash of each word, so that no collision fools both
+                    a, b = mix(rolling(words, width, BASE_A)).view(np.int64), mix(rolling(others, width, BASE_B)).view(np.int64)
                     for k in range(at, end):
                         base = int(before[k - at])
                         for r in found[k]:
@@ -81,7 +83,7 @@ class FingerprintIndex:
                 arrays = [np.zeros(len(one), bool), one, two, key.astype(np.int64), start.astype(np.int32), fresh.astype(bool)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["dup", "anchor", "seg", "row_key", "start", "fresh"])
 
-        texts = self.corpus.where(key_filter(unsettled))
+        texts = only_keys(self.corpus, unsettled, "row_key")
         beside = beside_texts(texts, unsettled, ["start", "n", "fresh"]).select("row_key", "text", "found")
         windows = in_order(beside.mapInArrow(hashes, WINDOWS)).mapInArrow(resolve, f"{WINDOWS}, first boolean, open_ boolean")
         return windows.where("fresh and not first").select("row_key", "start", F.lit(1).alias("n"))

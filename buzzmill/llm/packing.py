@@ -9,6 +9,7 @@ padding either.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -26,45 +27,62 @@ from buzzmill.llm.shared import materialize, text_buffers
 WINDOW, OPEN, END_ID = 4096, 32, 2
 #: Tasks whose leftovers are merged by one task: 8 MB of ids at most.
 MERGED_TASKS = 512
-#: Distinct words whose ids a task remembers: some 80 MB, then it starts anew.
-CACHED_WORDS = 400_000
-ENDED = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D])")
+#: Distinct words that a worker remembers in each of two generations: some 60 MB each. Frequent words pass on to the next.
+CACHED_WORDS = 300_000
+#: A mark that ends a word but belongs to what stands before it: after neither letter, digit nor white space.
+BOUND = re.compile(rb"(?<![a-z0-9\x20\x09-\x0D])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,][\x20\n]")
 #: A word that is one id and part of no other.
 MARK = b"|"
+#: Rules of tokenizers that treat each word apart and in lower case. Fixed values, as such a tokenizer's file states them.
+LOWERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class WordIds:
-    """Ids of texts, word by word: no rule of the tokenizer reaches across ASCII white space, so each word is encoded once."""
+    """Ids of texts. If no rule of the tokenizer reaches across white space each word is encoded once; else whole texts are encoded."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
+        rules = json.loads(self.tokenizer.to_str())
+        parts = (rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        self.by_word = (rules["normalizer"] or {}).get("normalizers") == LOWERS and parts[0].get("pattern") == {"Regex": PARTS} and parts[0].get("behavior") == "Removed" and parts[0].get("invert") is True and rules["post_processor"] is None
+        mark = self._encode([MARK.decode()])[0]
+        self.by_word, self.mark = self.by_word and len(mark) == 1, mark[:1]
 
-    def __call__(self, words: list[bytes]) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        return b"".join(map(self.known.__getitem__, words))
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: set[bytes]) -> None:
+    def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        if not self.by_word:
+            yield from (e.tobytes() for e in self._encode([t.decode() for t in texts]))
+            return
+        split = [plain(t).split() for t in texts]
+        self._learn(set().union(*split))
+        for words in split:
+            yield b"".join(map(self.known.__getitem__, words))
+
+    def _learn(self, words: set[bytes]) -> None:
         """Encode unknown words, many in one text (each text costs some 20 microseconds), parted by a mark of one id of its own."""
         new = words.difference(self.known)
         if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
+            self.older, self.known = self.known, {}
             new = words
+        self.known.update((w, self.older[w]) for w in new & self.older.keys())
+        new = new.difference(self.known)
         odd = [w for w in new if MARK in w or b"<|" in w]
         new = list(new.difference(odd))
         parts = [new[at : at + 1000] for at in range(0, len(new), 1000)]
-        mark = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
-        assert len(mark) == 1
-        for part, e in zip(parts, self.tokenizer.encode_batch_fast([(b" " + MARK + b" ").join(p).decode() for p in parts], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            raw, edges = ids.tobytes(), np.concatenate(([-1], np.flatnonzero(ids == mark[0]), [len(ids)])).tolist()
+        for part, ids in zip(parts, self._encode([(b" " + MARK + b" ").join(p).decode() for p in parts]), strict=True):
+            raw, edges = ids.tobytes(), np.concatenate(([-1], np.flatnonzero(ids == self.mark), [len(ids)])).tolist()
             for word, low, high in zip(part, edges[:-1], edges[1:], strict=True):
                 self.known[word] = raw[4 * low + 4 : 4 * high]
-        for word, e in zip(odd, self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False), strict=True):
-            self.known[word] = np.array(e.ids, "<u4").tobytes()
+        for word, ids in zip(odd, self._encode([w.decode() for w in odd]), strict=True):
+            self.known[word] = ids.tobytes()
 
 
 _encoders: dict[str, WordIds] = {}
@@ -72,21 +90,25 @@ _encoders: dict[str, WordIds] = {}
 
 def plain(text: bytes) -> bytes:
     """Fewer distinct words with the same ids: the tokenizer lower-cases, and parts a word from the mark that ends it."""
-    return text if b"<|" in text else ENDED.sub(rb" \1", text.lower())
+    if b"<|" in text:
+        return text
+    text = text.lower()
+    if BOUND.search(text):
+        return text
+    return text.replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" .\n").replace(b",\n", b" ,\n")
 
 
 def encoded(texts: pa.Array, path: str) -> Iterator[bytes]:
     """Ids of each text with the closing id, about 4 MB of text at a time."""
-    ids = _encoders.setdefault(path, WordIds(path)) if path not in _encoders else _encoders[path]
+    if path not in _encoders:
+        _encoders[path] = WordIds(path)
     data, offsets = text_buffers(texts)
     raw, end = data.tobytes(), END_ID.to_bytes(4, "little")
     at = 0
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (4 << 20), "right")) - 1)
-        split = [plain(raw[offsets[k] : offsets[k + 1]]).split() for k in range(at, to)]
-        ids.learn(set().union(*split))
-        for words in split:
-            yield ids(words) + end
+        for ids in _encoders[path]([raw[offsets[k] : offsets[k + 1]] for k in range(at, to)]):
+            yield ids + end
         at = to
 
 
@@ -164,7 +186,7 @@ class Packer:
 
 
 def _batch(done: list[tuple], task: int, left: list = ()) -> pa.RecordBatch:
-    rows = [(*d, None, None) for d in done] + [(doc_id, start, len(ids) // 4, None, doc_tokens, None, None, ids, task) for doc_id, start, ids, doc_tokens in left]
+    rows = [(*d, None, None) for d in done] + [(doc_id, start, len(ids) // 4, None, doc_tokens, None, place, ids, task) for place, (doc_id, start, ids, doc_tokens) in enumerate(left)]
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 9
     kinds = [pa.int64()] * 7 + [pa.binary(), pa.int64()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids", "task"])
@@ -175,7 +197,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = WINDOW, most_open: int = O
 
     A null or empty text is the closing id alone. Every id is in one piece, so no row is dropped; equal and null ids of
     documents are carried as they are. An empty table gives no pieces. Other columns of docs are ignored.
-    tokenizer is a path that every executor can read. A task holds most_open windows, whatever the size of its input.
+    Very long texts are cut like others. A piece left over at a task's end carries its place there, so a rerun of the
+    same partitions merges leftovers in the same order. tokenizer is a path of any tokenizer file that every executor can read. A task holds most_open windows, whatever the size of its input.
     """
 
     def task(batches):
@@ -187,13 +210,11 @@ def pack(docs: DataFrame, tokenizer: str, size: int = WINDOW, most_open: int = O
             yield _batch(packer.done, number)
             packer.done = []
         left = packer.drain()
-        if tokenizer in _encoders:
-            _encoders[tokenizer].known = {}  # workers live on in other stages
         yield _batch(packer.done, number, left)
 
     def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         packer = Packer((1 << 62) + (int(key[0]) << 24), size, most_open)
-        rows = rows.sort_values(["task", "place"])
+        rows = rows.sort_values(["task", "offset"])
         for r in rows.itertuples():
             packer.add(None if pd.isna(r.doc_id) else int(r.doc_id), int(r.start), bytes(r.ids), int(r.doc_tokens))
         packer.close()
@@ -203,6 +224,5 @@ def pack(docs: DataFrame, tokenizer: str, size: int = WINDOW, most_open: int = O
     packed = docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(task, f"{PIECES}, ids binary, task long")
     packed = materialize(packed, "packed")
     names = [c.split()[0] for c in PIECES.split(", ")]
-    left = packed.where("ids is not null").withColumn("place", F.col("start"))
-    merged = left.groupBy(F.floor(F.col("task") / MERGED_TASKS).alias("part")).applyInPandas(merge, PIECES)
+    merged = packed.where("ids is not null").groupBy(F.floor(F.col("task") / MERGED_TASKS).alias("part")).applyInPandas(merge, PIECES)
     return packed.where("ids is null").select(*names).unionByName(merged)

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buzzmill.llm.shared import keyed, materialize, mix, text_chunks
-from buzzmill.llm.windows import Shape, beside_texts, covered, in_order, key_filter, resolve, runs, scan_segments
+from buzzmill.llm.shared import keyed, materialize, only_keys, text_chunks
+from buzzmill.llm.windows import Shape, beside_texts, covered, in_order, resolve, runs, scan_segments
 
 WIDTH, GRAM = 100, 32
 #: Bytes of the texts of one block, and rows of an anchor from which its windows are compared by hash instead.
@@ -166,7 +166,7 @@ def repeated_spans(docs: DataFrame, shape: Shape = Shape(WIDTH, GRAM), block_byt
             kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["anchor", "hot", "row_key", "start", "bytes"])
 
-    beside = beside_texts(docs.where(key_filter(unsettled)), rows, ["anchor", "start", "n", "hot"]).select("row_key", "text", "found")
+    beside = beside_texts(only_keys(docs, unsettled, "row_key"), rows, ["anchor", "start", "n", "hot"]).select("row_key", "text", "found")
     pieces = materialize(beside.mapInArrow(cut, "anchor long, hot boolean, row_key long, start int, bytes binary"), "suffix-segments")
 
     def block(table: pa.Table) -> pa.Table:
