@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import cache
 
 from pyspark.sql import Column
@@ -43,7 +43,7 @@ def term_in(folded: Column, term: str) -> Column:
     """Whether a folded term is in folded text: #tags as tag or bare, phrases as substrings, words at boundaries."""
     if term.startswith("#"):
         return folded.contains(term) | folded.contains(term[1:])
-    return folded.contains(term) if " " in term else folded.rlike(rf"(?<![a-z0-9]){term}(?![a-z0-9])")
+    return folded.contains(term) if " " in term else folded.rlike(rf"(?<![a-z0-9#]){term}(?![a-z0-9])")
 
 
 def any_term(folded: Column, terms: Sequence[str]) -> Column:
@@ -52,7 +52,7 @@ def any_term(folded: Column, terms: Sequence[str]) -> Column:
     out = F.lit(False)
     for t in terms:
         out = out if t in words else out | term_in(folded, t)
-    return out | folded.rlike(rf"(?<![a-z0-9])(?:{'|'.join(words)})(?![a-z0-9])") if words else out
+    return out | folded.rlike(rf"(?<![a-z0-9#])(?:{'|'.join(words)})(?![a-z0-9])") if words else out
 
 
 def clauses(text: Column, contrast: Sequence[str] = ("but", "however", "nhưng", "tuy nhiên")) -> Column:
@@ -89,3 +89,23 @@ def squeeze(text: Column) -> Column:
 
 def with_parameter(url: Column, name: str, value: Column) -> Column:
     return F.concat(url, F.when(url.contains("?"), "&").otherwise("?"), F.lit(f"{name}="), value)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def plain_form(term: str) -> str:
+    """A literal without accents, đ as d."""
+    return "".join(c for c in unicodedata.normalize("NFD", term.replace("đ", "d").replace("Đ", "D")) if unicodedata.category(c) != "Mn")
+
+
+def fold_literal(term: str) -> str:
+    """What fold does, for a literal."""
+    return " ".join("".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789#" else " " for c in plain_form(term.lower())).split())
+
+
+def any_phrase(folded: Column, phrases: Sequence[str]) -> Column:
+    """Whether a phrase is in folded text: as a substring from four letters on or with a space or #, else as a word."""
+    return folded.rlike("|".join(p if " " in p or len(p) >= 4 or p.startswith("#") else rf"(?<![a-z0-9#]){p}(?![a-z0-9])" for p in dict.fromkeys(map(fold_literal, phrases))))

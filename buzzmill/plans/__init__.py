@@ -1,5 +1,5 @@
 """plans of the mention engine."""
 
-from buzzmill.plans import queries, records
+from buzzmill.plans import queries, records, texts
 
-__all__ = ["queries", "records"]
+__all__ = ["queries", "records", "texts"]
