@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from buzzmill.functions.times import business_day, percent
-
+from buzzmill.functions.times import ZONE, business_day, percent
 
 
 def measures() -> dict[str, Column]:
@@ -23,18 +22,32 @@ def measures() -> dict[str, Column]:
         "owned_count": one("media_type", "owned"),
         "paid_count": one("media_type", "paid"),
         "earned_count": one("media_type", "earned"),
+        "intent_want_count": one("intent", "want_to_see"),
+        "intent_total": F.count("intent"),
     }
 
 
-def daily_metrics(mentions: DataFrame, links: DataFrame, keys: Sequence[str], names: Sequence[str] | None = None, authors: bool = True, share: bool = True) -> DataFrame:
+INTENTS = ("intent_want_count", "intent_total")
+
+
+def on_days(mentions: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Mentions of the business days from first to last, both included and both optional, by a range of occurred_at that scans can use."""
+    if first and last and first > last:
+        raise ValueError(f"the first day, {first}, is after the last, {last}")
+    midnight = lambda day, more: F.to_utc_timestamp(F.date_add(F.lit(day).cast("date"), more).cast("timestamp_ntz").cast("timestamp"), ZONE)
+    rows = mentions.where(F.col("occurred_at") >= midnight(first, 0).cast(mentions.schema["occurred_at"].dataType)) if first else mentions
+    return rows.where(F.col("occurred_at") < midnight(last, 1).cast(mentions.schema["occurred_at"].dataType)) if last else rows
+
+
+def daily_metrics(mentions: DataFrame, links: DataFrame, keys: Sequence[str], names: Sequence[str] | None = None, authors: bool = True, share: bool = True, first: str | None = None, last: str | None = None) -> DataFrame:
     """Counts by (business day, keys, platform) and over platforms ('all'); spam is left out.
 
     A mention linked to several entities counts for each. Distinct authors: a blank author is one, null none. Counts are
     first summed to (day, keys, platform, author), so a hot entity is spread over its authors and nothing is expanded
-    per distinct value. share: percent of all counts of the same day and platform, over entities.
+    per distinct value. share: percent of all counts of the same day and platform, over entities. first and last: days.
     """
-    wanted = {k: v for k, v in measures().items() if names is None or k in names}
-    rows = mentions.where("not is_spam").withColumn("metric_date", business_day(F.col("occurred_at"))).join(links, "mention_id")
+    wanted = {k: v for k, v in measures().items() if (k not in INTENTS if names is None else k in names)}
+    rows = on_days(mentions, first, last).where("not is_spam").withColumn("metric_date", business_day(F.col("occurred_at"))).join(links, "mention_id")
     partial = rows.groupBy("metric_date", *keys, "platform_code", "author_key").agg(*[v.alias(k) for k, v in wanted.items()])
     level = F.grouping("platform_code")
     out = partial.groupingSets([["metric_date", *keys, "platform_code"], ["metric_date", *keys]], "metric_date", *keys, "platform_code")
@@ -46,9 +59,9 @@ def daily_metrics(mentions: DataFrame, links: DataFrame, keys: Sequence[str], na
     return out
 
 
-def post_views(mentions: DataFrame, links: DataFrame, views: DataFrame, key: str) -> DataFrame:
+def post_views(mentions: DataFrame, links: DataFrame, views: DataFrame, key: str, first: str | None = None, last: str | None = None) -> DataFrame:
     """Views of distinct posts by (day, key, platform) and over platforms; views has post_id and view_count."""
-    rows = mentions.where("not is_spam").select("mention_id", business_day(F.col("occurred_at")).alias("metric_date"), "platform_code").join(links, "mention_id")
+    rows = on_days(mentions, first, last).where("not is_spam").select("mention_id", business_day(F.col("occurred_at")).alias("metric_date"), "platform_code").join(links, "mention_id")
     rows = rows.join(views.withColumnRenamed("post_id", "mention_id"), "mention_id").distinct()
     out = rows.groupingSets([["metric_date", key, "platform_code"], ["metric_date", key]], "metric_date", key, "platform_code")
     out = out.agg(F.sum("view_count").alias("view_count"), F.grouping("platform_code").alias("_all"))

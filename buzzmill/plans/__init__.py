@@ -1,5 +1,5 @@
 """plans of the mention engine."""
 
-from buzzmill.plans import queries, records, texts
+from buzzmill.plans import labels, queries, records, texts
 
-__all__ = ["queries", "records", "texts"]
+__all__ = ["labels", "queries", "records", "texts"]

@@ -20,6 +20,7 @@ m AS (SELECT event_id AS mention_id, ts AS occurred_at, CASE event_id % 5 WHEN 0
   CASE WHEN event_type IN ('view', 'click') THEN 'post' ELSE 'comment' END AS mention_kind,
   CASE event_type WHEN 'purchase' THEN 'positive' WHEN 'error' THEN 'negative' ELSE 'neutral' END AS sentiment,
   CASE WHEN k < 10 THEN 'owned' WHEN k < 25 THEN 'paid' ELSE 'earned' END AS media_type, k >= 95 AS is_spam,
+  CASE WHEN k % 10 < 2 THEN 'want_to_see' WHEN k % 10 = 2 THEN 'not_interested' END AS intent,
   CASE WHEN user_id % 10 = 0 THEN NULL WHEN user_id % 10 = 1 THEN '' ELSE user_id::VARCHAR END AS author_key, user_id, k,
   (ts + INTERVAL 7 HOUR)::DATE AS day FROM e)"""
 
@@ -34,10 +35,13 @@ COUNTS = {
 }
 
 
+INTENT_COUNTS = {"intent_want_count": "count(*) FILTER (WHERE intent = 'want_to_see')", "intent_total": "count(intent)"}
+
+
 def daily_sql(bridge: tuple, names: list[str] | None = None, authors: bool = True, share: bool = True) -> str:
     """As WITH ..., d AS (...): the daily table of an entity."""
     key = bridge[0]
-    parts = [f"{COUNTS[n]} AS {n}" for n in (names or COUNTS)] + (["count(DISTINCT author_key) AS unique_authors"] if authors else [])
+    parts = [f"{(COUNTS | INTENT_COUNTS)[n]} AS {n}" for n in (names or COUNTS)] + (["count(DISTINCT author_key) AS unique_authors"] if authors else [])
     sov = ", round(100.0::DOUBLE * buzz_count / sum(buzz_count) OVER (PARTITION BY metric_date, platform_code), 3) AS sov_pct" if share else ""
     return f"""{MENTIONS}, {links_sql(*bridge)},
 a AS (SELECT day AS metric_date, {key}, coalesce(platform_code, 'all') AS platform_code, {", ".join(parts)}
@@ -59,7 +63,7 @@ def query(sql: str | None = None):
 
 BRANDS, TOPICS, CAMPAIGNS, FILMS = ("brand_id", 7, 3, 3), ("topic_id", 8, 5, 4), ("campaign_id", 12, 7, 5), ("film_id", 9, 4, 3)
 TOPIC_COUNTS = ["buzz_count", "positive_count", "negative_count", "neutral_count"]
-AS_OF = "2024-01-28"
+AS_OF, WEEK_BEFORE = "2024-01-28", "2024-01-21"
 
 
 @query(daily_sql(BRANDS) + " SELECT * FROM d")
@@ -86,8 +90,9 @@ def daily_campaign_metrics(spark, sf_dir):
     return metrics.daily_metrics(m, links(m, *CAMPAIGNS), ["campaign_id"], TOPIC_COUNTS)
 
 
+FILM_COUNTS = ["buzz_count", "post_count", "comment_count", "positive_count", "negative_count", "neutral_count", "intent_want_count", "intent_total"]
 FILM_SQL = (
-    daily_sql(FILMS)
+    daily_sql(FILMS, FILM_COUNTS)
     + """, v AS (SELECT day AS metric_date, film_id, coalesce(platform_code, 'all') AS platform_code, sum(view_count)::BIGINT AS view_count
   FROM (SELECT DISTINCT day, film_id, platform_code, mention_id, floor(o_totalprice)::BIGINT AS view_count FROM m JOIN b USING (mention_id) JOIN orders ON o_orderkey = mention_id WHERE NOT is_spam)
   GROUP BY GROUPING SETS ((day, film_id, platform_code), (day, film_id)))
@@ -97,11 +102,15 @@ SELECT d.*, coalesce(view_count, 0) AS view_count FROM d LEFT JOIN v USING (metr
 
 @query(FILM_SQL)
 def daily_film_metrics(spark, sf_dir):
+    return film_metrics(spark, sf_dir)
+
+
+def film_metrics(spark, sf_dir, first=None, last=None):
     m = mentions(spark, sf_dir)
     bridge = links(m, *FILMS)
     views = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("post_id"), F.floor("o_totalprice").cast("long").alias("view_count"))
-    seen = metrics.post_views(m, bridge, views, "film_id")
-    out = metrics.daily_metrics(m, bridge, ["film_id"]).join(seen, ["metric_date", "film_id", "platform_code"], "left")
+    seen = metrics.post_views(m, bridge, views, "film_id", first, last)
+    out = metrics.daily_metrics(m, bridge, ["film_id"], FILM_COUNTS, first=first, last=last).join(seen, ["metric_date", "film_id", "platform_code"], "left")
     return out.withColumn("view_count", F.coalesce("view_count", F.lit(0)))
 
 
@@ -114,12 +123,14 @@ FROM d WHERE platform_code = 'all' AND metric_date BETWEEN DATE '{AS_OF}' - 7 AN
 
 @query(daily_sql(BRANDS) + health_sql("brand_id"))
 def brand_health_7d(spark, sf_dir):
-    return metrics.health(daily_brand_metrics(spark, sf_dir), "brand_id", AS_OF)
+    m = mentions(spark, sf_dir)
+    daily = metrics.daily_metrics(m, links(m, *BRANDS), ["brand_id"], TOPIC_COUNTS, authors=False, share=False, first=WEEK_BEFORE, last=AS_OF)
+    return metrics.health(daily, "brand_id", AS_OF)
 
 
 @query(daily_sql(FILMS) + health_sql("film_id"))
 def film_health_7d(spark, sf_dir):
-    return metrics.health(daily_film_metrics(spark, sf_dir), "film_id", AS_OF)
+    return metrics.health(film_metrics(spark, sf_dir, WEEK_BEFORE, AS_OF), "film_id", AS_OF)
 
 
 @query(f"{MENTIONS}, {links_sql(*FILMS)} SELECT film_id, platform_code, mention_kind, count(*) AS n, count(DISTINCT mention_id) AS mentions FROM m JOIN b USING (mention_id) GROUP BY ALL")
@@ -170,13 +181,13 @@ def milestone_mode(spark, sf_dir):
     return c.groupBy("o_custkey").agg(F.max_by(F.struct("d", "n"), F.struct("n", -F.col("first_at"))).alias("r")).select("o_custkey", F.col("r.d").alias("premiere"), "r.n")
 
 
-@query("SELECT r_name AS region, count(c_custkey) AS n FROM region LEFT JOIN nation ON n_regionkey = r_regionkey AND n_name < 'M' LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY r_name")
+@query("SELECT region, count(c_custkey) AS n FROM (SELECT r_name AS region, r_regionkey FROM region UNION ALL VALUES ('ANTARCTICA', -1)) LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY region")
 def region_distribution(spark, sf_dir):
-    """Counts over a fixed list of regions, zero-filled."""
-    nations = table(spark, sf_dir, "nation").where("n_name < 'M'")
-    found = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("k")).join(nations, "n_nationkey")
+    """Counts over a fixed list of regions, zero-filled: one of them has no nation."""
+    found = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("k")).join(table(spark, sf_dir, "nation"), "n_nationkey")
     counts = found.groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(F.sum("k").alias("k"))
-    return table(spark, sf_dir, "region").join(counts, "r_regionkey", "left").select(F.col("r_name").alias("region"), F.coalesce("k", F.lit(0)).alias("n"))
+    fixed = table(spark, sf_dir, "region").select("r_name", "r_regionkey").union(spark.createDataFrame([("ANTARCTICA", -1)], "r_name string, r_regionkey int"))
+    return fixed.join(counts, "r_regionkey", "left").select(F.col("r_name").alias("region"), F.coalesce("k", F.lit(0)).alias("n"))
 
 
 STALE = "CASE WHEN content_ts IS NULL THEN 'unknown' WHEN content_ts < TIMESTAMP '2024-01-28' - INTERVAL 14 DAY THEN 'stale' ELSE 'fresh' END AS freshness"
@@ -216,10 +227,10 @@ def select_newest(spark, sf_dir):
     return crawl_log(spark, sf_dir).select("event_id", "url", "content_ts").orderBy(F.col("content_ts").desc_nulls_last(), "event_id").limit(100)
 
 
-@query(f"{LOG}, seen AS (SELECT DISTINCT url FROM l WHERE event_id % 3 = 0) SELECT DISTINCT url FROM l WHERE event_id % 3 = 1 AND url NOT IN (SELECT url FROM seen)")
+@query(f"{LOG}, seen AS (SELECT DISTINCT url FROM l WHERE event_id % 3 = 0) SELECT DISTINCT url FROM l WHERE event_id % 3 <> 0 AND url NOT IN (SELECT url FROM seen)")
 def incremental_new_urls(spark, sf_dir):
     log = crawl_log(spark, sf_dir)
-    return log.where("event_id % 3 = 1").select("url").distinct().join(log.where("event_id % 3 = 0").select("url"), "url", "left_anti")
+    return log.where("event_id % 3 <> 0").select("url").distinct().join(log.where("event_id % 3 = 0").select("url"), "url", "left_anti")
 
 
 @query(f"{LOG} SELECT url, keyword, content_ts, event_id FROM l QUALIFY row_number() OVER (PARTITION BY url ORDER BY event_id DESC) = 1")
@@ -331,9 +342,9 @@ def noise_filter(spark, sf_dir):
     return d.where(~((F.length(F.trim("text")) < 40) | F.col("text").rlike("^[^A-Za-z]*$"))).select("doc_id")
 
 
-@query("SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(lower(text)), '[^a-z0-9#]+', ' ', 'g'), ' +', ' ', 'g')) AS folded FROM documents WHERE lang <> 'de'")
+@query("SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(lower(text)), '[^a-z0-9#]+', ' ', 'g'), ' +', ' ', 'g')) AS folded FROM documents")
 def fold_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where("lang <> 'de'").select("doc_id", X.fold(F.col("text")).alias("folded"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.fold(F.col("text")).alias("folded"))
 
 
 TOPIC_PACK = {"service": ["the ", "and "], "price": ["que ", "des "], "place": ["und ", "der "], "film": ["los ", "con "]}
@@ -349,10 +360,10 @@ def app_topic(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", rules.first_label(F.lower("text"), TOPIC_PACK, "other").alias("topic"))
 
 
-@query("WITH c AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(lower(text), '[.!?;,\n]+'), lambda p: CASE WHEN contains(p, 'der') OR contains(p, 'ing') THEN 'negative' WHEN contains(p, 'que') OR contains(p, 'and') THEN 'positive' END), lambda x: x IS NOT NULL) AS s FROM documents) SELECT doc_id, coalesce(s[-1], 'neutral') AS sentiment FROM c")
+@query("WITH c AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(' ' || replace(lower(text), ' ', '  '), '[.!?;,\n]+|[^\\p{L}\\p{N}_](?:but|however|nhưng|tuy  nhiên)(?:[^\\p{L}\\p{N}_]|$)'), lambda p: CASE WHEN contains(p, 'der') OR contains(p, 'ing') THEN 'negative' WHEN contains(p, 'que') OR contains(p, 'and') THEN 'positive' END), lambda x: x IS NOT NULL) AS s FROM documents) SELECT doc_id, coalesce(s[-1], 'neutral') AS sentiment FROM c")
 def clause_sentiment(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", rules.clause_sentiment(F.regexp_replace("text", "(?i)but|however", "b_t"), ["que", "and"], ["der", "ing"]).alias("sentiment"))
+    return d.select("doc_id", rules.clause_sentiment(F.col("text"), ["que", "and"], ["der", "ing"]).alias("sentiment"))
 
 
 @query("SELECT page_id, rtrim(regexp_replace(url, '[?#].*$', ''), '/') AS url FROM pages")

@@ -84,6 +84,7 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "purchase", "positive").when(F.col("event_type") == "error", "negative").otherwise("neutral").alias("sentiment"),
         F.when(F.col("k") < 10, "owned").when(F.col("k") < 25, "paid").otherwise("earned").alias("media_type"),
         (F.col("k") >= 95).alias("is_spam"),
+        F.when(F.col("k") % 10 < 2, "want_to_see").when(F.col("k") % 10 == 2, "not_interested").alias("intent"),
         F.when(F.col("user_id") % 10 == 0, F.lit(None)).when(F.col("user_id") % 10 == 1, "").otherwise(F.col("user_id").cast("string")).alias("author_key"),
         "user_id",
         "k",
@@ -92,9 +93,9 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def links(rows: DataFrame, entity: str, n: int, shift: int, every: int) -> DataFrame:
     """A bridge: each mention to user_id % n, and each mention_id divisible by `every` to a second entity."""
-    first = rows.select("mention_id", (F.col("user_id") % n).alias(entity))
-    second = rows.where(F.col("mention_id") % every == 0).select("mention_id", ((F.col("user_id") + shift) % n).alias(entity))
-    return first.union(second).distinct()
+    first, second = F.col("user_id") % n, (F.col("user_id") + shift) % n
+    both = F.when(F.col("mention_id") % every == 0, F.array_distinct(F.array(first, second))).otherwise(F.array(first))
+    return rows.select("mention_id", F.explode(both).alias(entity))
 
 
 def crawl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
