@@ -58,7 +58,7 @@ def any_term(folded: Column, terms: Sequence[str]) -> Column:
 def clauses(text: Column, contrast: Sequence[str] = ("but", "however", "nhưng", "tuy nhiên")) -> Column:
     """Parts of a text between punctuation, line ends and contrasting words."""
     parts = F.split(F.lower(text), rf"(?U)[.!?;,\n]+|\b(?:{'|'.join(contrast)})\b")
-    return F.filter(F.transform(parts, F.trim), lambda p: p != "")
+    return F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
 
 
 def slug(text: Column) -> Column:

@@ -1,5 +1,5 @@
 """plans of the mention engine."""
 
-from buzzmill.plans import crawl, labels, queries, records, texts
+from buzzmill.plans import crawl, labels, pages, queries, records, texts
 
-__all__ = ["crawl", "labels", "queries", "records", "texts"]
+__all__ = ["crawl", "labels", "pages", "queries", "records", "texts"]
