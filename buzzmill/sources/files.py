@@ -50,8 +50,8 @@ REVIEWS = "array<struct<reviewId:string,id:string,score:int,rating:int,at:string
 def store_reviews(spark: SparkSession, path: str) -> DataFrame:
     """Reviews of both stores of a live.json as rows: app, review_id, author, stars, sentiment, text, at (UTC), version, reply; newest first."""
     raw = spark.read.option("multiLine", True).schema(f"galaxy_google_play_reviews {REVIEWS}, galaxy_app_store_reviews {REVIEWS}").json(path)
-    both = F.concat(*[F.transform(F.coalesce(F.col(c), F.array().cast(REVIEWS)), lambda r, app=app: F.struct(F.lit(app).alias("app"), r.alias("r"))) for c, app in (("galaxy_google_play_reviews", "google_play"), ("galaxy_app_store_reviews", "app_store"))])
-    rows = raw.select(F.explode(both).alias("x")).select("x.app", "x.r.*")
+    of = lambda c, app: raw.select(F.lit(app).alias("app"), F.explode(c).alias("r"))
+    rows = of("galaxy_google_play_reviews", "google_play").unionByName(of("galaxy_app_store_reviews", "app_store")).select("app", "r.*")
     stars, author = F.coalesce("score", "rating"), F.coalesce("userName", "author")
     text = F.coalesce("content", F.concat_ws(". ", F.nullif(F.trim("title"), F.lit("")), "review"))
     at = F.coalesce("at", "updated").try_cast("timestamp")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,3 +26,45 @@ def daily_counts(events: DataFrame, late: str = "14 days") -> DataFrame:
 def upsert_batches(events: DataFrame, checkpoint: str, apply: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """Every available file once, each micro-batch given to apply with its number; the checkpoint remembers what was seen."""
     return events.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(apply).start()
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that all executors share; a local one only where none is set and Spark is one process."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{shared or 'file://' + tempfile.mkdtemp(prefix='spark-buzzmill-')}/{label}-{uuid.uuid4().hex}"
+
+
+def counted_by_day(spark: SparkSession, folder: str, schema: str, files_at_once: int = 1) -> DataFrame:
+    """daily_counts over all files of a folder, files_at_once in a micro-batch: the totals after the last one."""
+    path = scratch(spark, "daily-counts")
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(folder)
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/totals")
+
+    stream = daily_counts(events).writeStream.outputMode("complete").option("checkpointLocation", f"{path}/checkpoint")
+    stream.trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    return spark.read.parquet(f"{path}/totals").select(F.to_date("day.start").alias("day"), "event_type", "n", "users")
+
+
+def seen(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """State of a stream of discoveries (url, seen_at, content_ts) after all files: first and last seen, times, last known content time by url.
+
+    Each micro-batch is merged with the table of the batch before, which is written anew under the batch's number, so a
+    batch that is run again gives the same table.
+    """
+    path = scratch(spark, "seen-urls")
+    last: list[str] = []
+
+    def merge(batch: DataFrame, number: int) -> None:
+        new = batch.select("url", F.col("seen_at").alias("first_seen"), F.col("seen_at").alias("last_seen"), F.lit(1).cast("long").alias("times"), "content_ts")
+        rows = new.unionByName(spark.read.parquet(last[-1])) if last else new
+        known = F.max_by("content_ts", F.when(F.col("content_ts").isNotNull(), F.col("last_seen")))
+        merged = rows.groupBy("url").agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.sum("times").alias("times"), known.alias("content_ts"))
+        merged.write.mode("overwrite").parquet(f"{path}/state-{number}")
+        last.append(f"{path}/state-{number}")
+
+    upsert_batches(events, f"{path}/checkpoint", merge).awaitTermination()
+    return spark.read.parquet(last[-1])
