@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from buzzmill.functions import records as R
 from buzzmill.operators import crawl, exports, imports, tables
-from buzzmill.plans.labels import NOW
+from buzzmill.plans.labels import now
 from buzzmill.plans.queries import LOG, MENTIONS, query
 from buzzmill.plans.texts import pick, quoted, values
 from buzzmill.sources import config
@@ -31,7 +31,7 @@ def _posts(spark, sf_dir):
 FROM events JOIN {values([c[2:] for c in POSTS], "sentiment", "brands", "source")} ON k = event_id % {len(POSTS)} WHERE brands IS NOT NULL AND event_id % 10 <> 9"""
 )
 def import_posts(spark, sf_dir):
-    m = imports.post_mentions(_posts(spark, sf_dir), NOW)
+    m = imports.post_mentions(_posts(spark, sf_dir), now())
     return m.select("post_id", "sentiment", F.array_join("brands", ",").alias("brands"), F.col("occurred_at").cast("timestamp_ntz").alias("occurred_at"), F.try_element_at("metadata", F.lit("date_source")).alias("date_source"), F.try_element_at("metadata", F.lit("like_count")).alias("likes"), "verified")
 
 
@@ -51,7 +51,7 @@ def import_comments(spark, sf_dir):
         pick(COMMENTS, 0, "event_id").alias("platform"), F.lit("p").alias("post_id"), F.col("event_id").cast("string").alias("external_id"), F.col("user_id").cast("string").alias("author"), pick(COMMENTS, 1, "event_id").alias("text"),
         F.when(F.col("event_id") % 2 == 0, "2026-09-02").otherwise("").alias("created_at"), F.lit("2026-09-01").alias("post_created_at"), F.lit("quote").alias("post_text"), pick(COMMENTS, 2, "event_id").alias("place"),
     )
-    m = imports.comment_mentions(rows, NOW)
+    m = imports.comment_mentions(rows, now())
     return m.select("external_id", "sentiment", F.array_join("brands", ",").alias("brands"), F.try_element_at("metadata", F.lit("date_source")).alias("date_source"))
 
 

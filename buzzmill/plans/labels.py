@@ -10,7 +10,13 @@ from buzzmill.plans.queries import query
 from buzzmill.plans.texts import documents, expected, pick, values
 from buzzmill.sources.tables import table
 
-NOW = F.lit("2026-09-10 12:00:00").cast("timestamp")
+
+
+def now():
+    """The reference time of all cases."""
+    return F.lit("2026-09-10 12:00:00").cast("timestamp")
+
+
 TIME_CASES = [
     ("2026-09-01T10:00:00Z", "2026-09-01 10:00:00"), ("2026-09-01T10:00:00+07:00", "2026-09-01 10:00:00"), ("2026-08-05", "2026-08-05 00:00:00"), ("07/31/26", "2026-07-31 00:00:00"), ("31/07/2026", "2026-07-31 00:00:00"),
     ("05/08/26", "2026-05-08 00:00:00"), ("Aug 5, 2026", "2026-08-05 00:00:00"), ("5 Aug 2026", "2026-08-05 00:00:00"), ("posted 07/31/2026 by x", "2026-07-31 00:00:00"), ("13h", "2026-09-09 23:00:00"),
@@ -22,7 +28,7 @@ TIME_CASES = [
 
 @query(expected(TIME_CASES, "told").replace("label AS", "CAST(label AS TIMESTAMP) AS"))
 def label_times(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", D.parse_time(pick(TIME_CASES, 0), NOW).cast("timestamp_ntz").alias("told"))
+    return documents(spark, sf_dir).select("doc_id", D.parse_time(pick(TIME_CASES, 0), now()).cast("timestamp_ntz").alias("told"))
 
 
 RELATIVE_CASES = [("13h", True), ("2 d", True), ("5W", True), ("13 hours", False), ("3 giờ trước", False), ("", False), ("12", False)]
@@ -38,7 +44,7 @@ MEDIA_CASES = [("8 giờ trước", "2026-09-10 11:00:00"), ("August 5, 2026", "
 
 @query(expected(MEDIA_CASES, "told").replace("label AS", "CAST(label AS TIMESTAMP) AS"))
 def media_dates(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", D.media_date(pick(MEDIA_CASES, 0), NOW).cast("timestamp_ntz").alias("told"))
+    return documents(spark, sf_dir).select("doc_id", D.media_date(pick(MEDIA_CASES, 0), now()).cast("timestamp_ntz").alias("told"))
 
 
 OCCURRED_CASES = [
@@ -49,7 +55,7 @@ OCCURRED_CASES = [
 
 @query(f"SELECT doc_id, CAST(told AS TIMESTAMP) AS occurred_at, date_source FROM documents JOIN {values([c[3:] for c in OCCURRED_CASES], 'told', 'date_source')} ON k = doc_id % {len(OCCURRED_CASES)}")
 def post_occurred_at(spark, sf_dir):
-    o = D.occurred_at([pick(OCCURRED_CASES, 0), pick(OCCURRED_CASES, 1)], pick(OCCURRED_CASES, 2), NOW)
+    o = D.occurred_at([pick(OCCURRED_CASES, 0), pick(OCCURRED_CASES, 1)], pick(OCCURRED_CASES, 2), now())
     return documents(spark, sf_dir).withColumn("o", o).select("doc_id", F.col("o.at").cast("timestamp_ntz").alias("occurred_at"), "o.date_source")
 
 
@@ -58,7 +64,7 @@ COMMENT_CASES = [("2d", "2026-09-01", "x", "2026-09-08 12:00:00", "parsed"), (""
 
 @query(f"SELECT doc_id, CAST(told AS TIMESTAMP) AS occurred_at, date_source FROM documents JOIN {values([c[3:] for c in COMMENT_CASES], 'told', 'date_source')} ON k = doc_id % {len(COMMENT_CASES)}")
 def comment_occurred_at(spark, sf_dir):
-    o = D.comment_occurred_at(*[pick(COMMENT_CASES, k).cast("string") for k in range(3)], NOW)
+    o = D.comment_occurred_at(*[pick(COMMENT_CASES, k).cast("string") for k in range(3)], now())
     return documents(spark, sf_dir).withColumn("o", o).select("doc_id", F.col("o.at").cast("timestamp_ntz").alias("occurred_at"), "o.date_source")
 
 
