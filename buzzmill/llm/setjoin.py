@@ -9,7 +9,7 @@ A long list is never squared. First every set is compared with the most central
 then hold one component need nothing more. In a longer list that is still mixed, each set is written as its difference
 from the list's head: removed and added shingles. Two sets that are not both linked to the head must share some of
 these differences, at least as many as their sizes tell, so rare differences give new and much shorter lists. This
-repeats; what remains in short lists is paired, pruned by exact bounds and verified.
+repeats while reading the sets costs less than pairing the rows; what remains is paired, pruned by exact bounds and verified.
 """
 
 import math
@@ -29,7 +29,7 @@ SKETCH_BITS, SKETCH_PARTS, EXACT = 20, 16, 4096
 #: Sizes that the cost rule looks at. A set of 64 has some 10**10 subsets, more than any scan costs.
 SIZES = 64
 MERGED_TASKS = 256
-#: Lists of up to PAIRED rows are paired; longer ones are written as differences from a head, ROUNDS times at most.
+#: Lists of up to PAIRED rows are always paired; longer ones are written as differences from a head, ROUNDS times at most.
 PAIRED, ROUNDS = 16, 6
 #: Rows with a text each that go to Python at once.
 TEXT_ROWS = 1000
@@ -295,15 +295,15 @@ def _open(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _heads(rows: DataFrame) -> DataFrame:
-    """Pairs (head, row_key) of long lists. Heads are central (few rarer shingles), and few: lists agree on those with most votes."""
+    """Pairs (head, row_key) of long lists, with the row's size n. Heads are central (few rarer shingles), and few: lists agree on those with most votes."""
     first = rows.groupBy("space", "token").agg(F.min(F.struct("at", "row_key")).alias("h"), F.first("times").alias("times"))
     votes = first.groupBy(F.col("h.row_key").alias("row_key")).agg(F.sum("times").alias("votes"))
     voted = rows.join(votes, "row_key", "left").withColumn("votes", F.coalesce("votes", F.lit(0)))
     chosen = voted.groupBy("space", "token").agg(F.max(F.struct("votes", (-F.col("row_key")).alias("k"))).alias("h"), F.first("times").alias("times"))
     chosen = materialize(chosen.select("space", "token", "times", (-F.col("h.k")).alias("head")), "heads")
     total = chosen.agg(F.sum("times")).first()[0] or 0
-    members = spread_join(rows.select("space", "token", "row_key"), chosen, ["space", "token"], "times", total)
-    pairs = materialize(members.where("row_key <> head").select("head", "row_key").distinct(), "head-pairs")
+    members = spread_join(rows.select("space", "token", "row_key", "n"), chosen, ["space", "token"], "times", total)
+    pairs = materialize(members.where("row_key <> head").select("head", "row_key", "n").distinct(), "head-pairs")
     release(chosen)
     return pairs
 
@@ -373,9 +373,13 @@ def _joined(docs: DataFrame, percent: int, size: int) -> DataFrame:
     forget_shuffles(spark)
     for _ in range(ROUNDS):
         long_ones = left.where(F.col("times") > PAIRED)
-        if not long_ones.limit(1).count():
+        squared = long_ones.agg(F.sum("times")).first()[0] or 0
+        if not squared:
             break
         pairs = _heads(long_ones)
+        if 2 * pairs.agg(F.sum("n")).first()[0] > squared:  # reading the sets once more costs more than pairing the rows
+            release(pairs)
+            break
         deltas = against_heads(docs, pairs, percent, size, levels)
         links = links.unionByName(_linked(deltas))
         labels = components(links)
@@ -407,3 +411,16 @@ def _joined(docs: DataFrame, percent: int, size: int) -> DataFrame:
 
 def _linked(made: DataFrame) -> DataFrame:
     return made.where("linked").select(F.col("head").alias("a"), F.col("row_key").alias("b"))
+
+
+#: Every pair with a common shingle is counted: for small tables.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+link AS MATERIALIZED (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+reach(doc_id, other) AS (SELECT a, a FROM link UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other)
+SELECT s.doc_id, len(s)::BIGINT AS n_shingles, coalesce(min(other), s.doc_id) AS component_id FROM s LEFT JOIN reach USING (doc_id) GROUP BY s.doc_id, s.s
+"""
