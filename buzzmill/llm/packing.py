@@ -27,10 +27,10 @@ from buzzmill.llm.shared import materialize, text_buffers
 WINDOW, OPEN, END_ID = 4096, 32, 2
 #: Tasks whose leftovers are merged by one task: 8 MB of ids at most.
 MERGED_TASKS = 512
-#: Distinct words that a worker remembers in each of two generations: some 60 MB each. Frequent words pass on to the next.
-CACHED_WORDS = 300_000
+#: Distinct words that a worker remembers in each of two generations: some 70 MB each. Frequent words pass on to the next.
+CACHED_WORDS = 500_000
 #: A mark that ends a word but belongs to what stands before it: after neither letter, digit nor white space.
-BOUND = re.compile(rb"(?<![a-z0-9\x20\x09-\x0D])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,][\x20\n]")
+BOUND = re.compile(rb"[.,](?<=[^a-z0-9\x20\x09-\x0D].)(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].)[\x20\n]", re.S)
 #: A word that is one id and part of no other.
 MARK = b"|"
 #: Rules of tokenizers that treat each word apart and in lower case. Fixed values, as such a tokenizer's file states them.
@@ -74,7 +74,7 @@ class WordIds:
             new = words
         self.known.update((w, self.older[w]) for w in new & self.older.keys())
         new = new.difference(self.known)
-        odd = [w for w in new if MARK in w or b"<|" in w]
+        odd = [w for w in new if MARK in w]
         new = list(new.difference(odd))
         parts = [new[at : at + 1000] for at in range(0, len(new), 1000)]
         for part, ids in zip(parts, self._encode([(b" " + MARK + b" ").join(p).decode() for p in parts]), strict=True):
