@@ -23,15 +23,15 @@ HITS = "query_id long, vec_id long, score double"
 class Hashing:
     """projections and seed; half-width of a window at radius 1; share of windows that a candidate must be in; radii.
 
-    A vector at the radius is in 0.84 of the windows on average, one at 0.95 of it in 0.86. The search goes on until the
-    radius is `margin` times the distance of the last of the k found. Of independent directions, at distance 1.41,
-    some 5 of 100 are verified when the k nearest are at 1.05.
+    A vector at the radius is in 0.84 of the windows on average. The search goes on until the
+    radius is `margin` times the distance of the last of the k found. Of 51,282 independent directions in 64 dimensions
+    13 of 100 are verified for a query, and 0.98 of the five nearest are found; a larger margin finds and verifies more.
     """
 
     projections: int = 96
     half: float = 1.4
     threshold: float = 0.8
-    margin: float = 1.05
+    margin: float = 1.0
     first_radius: float = 0.6
     ratio: float = 1.06
     seed: int = 42

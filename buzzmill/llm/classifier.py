@@ -7,6 +7,7 @@ turns the difference of two Mahalanobis log-densities into a probability.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -96,8 +97,9 @@ def held_out(doc_id: Column) -> Column:
 def accepted(docs: DataFrame, labels: DataFrame, kind: str = "quality") -> DataFrame:
     """docs without the rows that classify predicts as 0, with all columns; rows are told apart by id and text's hash."""
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    rejected = _classified(texts, labels, kind).where("predicted = 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    id_, hash_ = (f"_{c}_{uuid.uuid4().hex}" for c in ("id", "hash"))  # docs may have columns of any name
+    rejected = _classified(texts, labels, kind).where("predicted = 0").select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_))
     return docs.join(rejected.hint("shuffle_hash"), same, "left_anti")
 
 

@@ -127,3 +127,14 @@ def dedup(docs: DataFrame, batches: int = 3, shape: Shape = Shape(WIDTH, GRAM),
     beside = beside_texts(docs, reduce(DataFrame.unionByName, spans), ["start", "n"], "left").select("doc_id", "text", "found")
     out = beside.mapInArrow(strip, f"{RESULT}, text string")
     return out if with_text else out.drop("text")
+
+
+#: Every window as text: for small tables.
+ORACLE = r"""
+WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM w)),
+later AS (SELECT doc_id, i FROM x QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM later, (SELECT unnest(range(0, 20)) AS k)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM w) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)
+"""

@@ -144,8 +144,8 @@ SPANS = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_s
 def find_spans(docs: DataFrame) -> DataFrame:
     """One row for each row of docs: counts of the base kinds, sha256 of the base spans, and all spans as text.
 
-    Null and empty texts have no spans. Rows with equal or null doc_id each get their own row. Texts are read whole;
-    other columns of docs are ignored. Of candidates for one kind that overlap, the leftmost counts.
+    Null and empty texts have no spans. Rows with equal or null doc_id each get their own row. Texts of any length are
+    read whole, in time that grows with their length; other columns of docs are ignored. Of candidates for one kind that overlap, the leftmost counts.
     """
 
     def scan(batches):

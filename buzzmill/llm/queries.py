@@ -66,4 +66,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_warc": warc.ORACLE, "op8_mixing": mixing.ORACLE}
+    return {"op5_suffix_dedup": suffix_dedup.ORACLE, "op6_ngram_jaccard": setjoin.ORACLE, "op7_warc": warc.ORACLE, "op8_mixing": mixing.ORACLE, "op9_substring_dedup": fingerprints.ORACLE}

@@ -216,3 +216,22 @@ def dedup(docs: DataFrame, shape: Shape = Shape(WIDTH, GRAM), with_text: bool =
     beside = beside_texts(docs, spans, ["start", "n"], "left").select("doc_id", "text", "found")
     out = beside.mapInArrow(strip, f"{RESULT}, text string")
     return out if with_text else out.drop("text")
+
+
+#: Every window as bytes: for small tables.
+ORACLE = r"""
+WITH b AS MATERIALIZED (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+x AS (SELECT doc_id, i, b[i:i + 99] AS g FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 98)) AS i FROM b)),
+later AS (SELECT doc_id, i FROM x QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM later),
+numbered AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked),
+spans AS MATERIALIZED (SELECT doc_id, k, min(i) AS s, max(i) + 99 AS e FROM numbered GROUP BY doc_id, k),
+pieces AS (
+  SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) + 1 AS s, s - 1 AS e FROM spans
+  UNION ALL SELECT doc_id, max(spans.e) + 1, octet_length(any_value(b)) FROM spans JOIN b USING (doc_id) GROUP BY doc_id),
+kept AS (SELECT doc_id, unhex(string_agg(hex(b[s:e]), '' ORDER BY s)) AS kept FROM pieces JOIN b USING (doc_id) WHERE e >= s GROUP BY doc_id),
+removed AS (SELECT doc_id, sum(e - s + 1) AS n, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(CASE WHEN n IS NULL THEN b ELSE coalesce(kept, ''::BLOB) END) AS kept_sha256
+FROM b LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

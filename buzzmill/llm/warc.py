@@ -2,7 +2,8 @@
 
 The writer makes WARC files that are each one gzip stream. The normaliser inflates such a file once from end to end,
 rewrites every record as a gzip member of its own, and writes a sidecar index of offsets. The reader seeks with the
-index. Files live in a folder that all executors share; a retried task writes the same bytes under the same name.
+index. Files live in a folder that all executors share. Each attempt of a task writes under names of its own, and only
+those that the attempt that counts has returned are read on.
 """
 
 from __future__ import annotations
@@ -70,7 +71,7 @@ def write_archives(marked: DataFrame, folder: str, level: int = 1) -> DataFrame:
     def task(batches):
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root)
-        number, part, out, done = TaskContext.get().partitionId(), 0, None, []
+        number, attempt, part, out, done = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, None, []
 
         def close():
             out[1].write(out[2].flush())
@@ -80,7 +81,7 @@ def write_archives(marked: DataFrame, folder: str, level: int = 1) -> DataFrame:
         for batch in batches:
             for page_id, url, html, revisits_id in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if out is None:
-                    name = f"part-{number:06d}-{part:04d}.warc.gz"
+                    name = f"part-{number:06d}-{part:04d}-{attempt}.warc.gz"
                     out, part = [name, store.open_output_stream(f"{root}/{name}", compression=None), zlib.compressobj(level, zlib.DEFLATED, GZIP), 0, 0], part + 1
                 record = record_of(page_id, url, html.encode(), revisits_id)
                 out[1].write(out[2].compress(record))
@@ -150,7 +151,9 @@ def headers_of(head: bytes) -> dict[str, str]:
 
 
 def normalise(spark: SparkSession, files: DataFrame, folder: str, target: str, level: int = 4) -> DataFrame:
-    """Rewrite each file of folder in target, a gzip member for each record, with a .idx sidecar; returns (file, records).
+    """Rewrite each file of folder in target, a gzip member for each record, with a .idx sidecar; returns the new (file, records).
+
+    A file that ends within a record fails the task.
 
     A line of the sidecar is a JSON object: id, type, offset and length of the record's member.
     """
@@ -158,11 +161,12 @@ def normalise(spark: SparkSession, files: DataFrame, folder: str, target: str, l
     def task(batches):
         (store, root), (made, out_root) = fs.FileSystem.from_uri(folder), fs.FileSystem.from_uri(target)
         made.create_dir(out_root)
+        attempt = TaskContext.get().taskAttemptId()
         for batch in batches:
-            counts = []
+            names, counts = [], []
             for name in batch.column(0).to_pylist():
-                offset, n = 0, 0
-                with store.open_input_stream(f"{root}/{name}", compression=None) as raw, made.open_output_stream(f"{out_root}/{name}", compression=None) as out, made.open_output_stream(f"{out_root}/{name}.idx", compression=None) as index:
+                offset, n, new = 0, 0, name.replace(".warc.gz", f"-{attempt}.warc.gz")
+                with store.open_input_stream(f"{root}/{name}", compression=None) as raw, made.open_output_stream(f"{out_root}/{new}", compression=None) as out, made.open_output_stream(f"{out_root}/{new}.idx", compression=None) as index:
                     source = Inflated(raw)
                     while head := source.until(b"\r\n\r\n"):
                         head = head.lstrip(b"\r\n")
@@ -173,8 +177,9 @@ def normalise(spark: SparkSession, files: DataFrame, folder: str, target: str, l
                         length += out.write(member.flush())
                         index.write(json.dumps({"id": fields["warc-record-id"], "type": fields["warc-type"], "offset": offset, "length": length}).encode() + b"\n")
                         offset, n = offset + length, n + 1
+                names.append(new)
                 counts.append(n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["file", "records"])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], ["file", "records"])
 
     return materialize(_one_a_task(files).mapInArrow(task, "file string, records long"), "warc-normal")
 
