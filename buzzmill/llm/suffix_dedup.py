@@ -1,8 +1,8 @@
 """Removal of repeated long byte strings with a run-length index.
 
 Segments around content-chosen anchors bring equal windows together; segments that are equal as a whole are settled by
-their hash. For the rest, segments with a common anchor meet in blocks of bounded size. A block's texts get a
-run-compressed Burrows-Wheeler transform with the suffix positions at run starts and their predecessors sampled. From
+their hash. For the rest, segments with a common anchor meet in blocks of bounded size; an anchor that has more is dealt
+to several blocks, whose first occurrences are then compared with each other. A block's texts get a run-compressed Burrows-Wheeler transform with the suffix positions at run starts and their predecessors sampled. From
 these samples alone the positions are streamed: each gets its preceding suffix and the length that it shares with it
 (its matching statistic), and windows whose match is long enough are chained to their first occurrence.
 """
@@ -20,8 +20,8 @@ from buzzmill.llm.shared import keyed, materialize, only_keys, text_chunks
 from buzzmill.llm.windows import Shape, beside_texts, covered, in_order, resolve, runs, scan_segments
 
 WIDTH, GRAM = 100, 32
-#: Bytes of the texts of one block, and rows of an anchor from which its windows are compared by hash instead.
-BLOCK_BYTES, HOT_ROWS = 2 << 20, 10_000
+#: Bytes of the texts of one block.
+BLOCK_BYTES = 2 << 20
 SPANS = "row_key long, start int, n int"
 PACKED = 7
 
@@ -146,44 +146,50 @@ def _spans(keys, starts, flags_by_row) -> pa.Table:
     return pa.table([pa.array(rows, pa.int64()), pa.array(at, pa.int32()), pa.array(n, pa.int32())], names=["row_key", "start", "n"])
 
 
-def repeated_spans(docs: DataFrame, shape: Shape = Shape(WIDTH, GRAM), block_bytes: int = BLOCK_BYTES, hot_rows: int = HOT_ROWS) -> DataFrame:
+def repeated_spans(docs: DataFrame, shape: Shape = Shape(WIDTH, GRAM), block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """row_key, start and n: windows start ... start + n - 1 of that row also start earlier. docs has row_key and text."""
     width = shape.width
     settled = materialize(in_order(scan_segments(docs, symbols, shape)).mapInArrow(resolve, "dup boolean, anchor long, seg long, row_key long, start int, n int, first boolean, open_ boolean").where("not first or open_").drop("dup"), "suffix-settled")
     whole, unsettled = settled.where("not first").select("row_key", "start", "n"), settled.where("open_").select("anchor", "row_key", "start", "n")
-    # an anchor with many segments does not fit a block: its windows are compared one by one, by a hash of their bytes
-    hot = unsettled.groupBy("anchor").agg(F.count("*").alias("rows")).where(F.col("rows") > hot_rows).select("anchor", F.lit(True).alias("hot"))
-    size = unsettled.agg(F.sum(F.col("n") + (width - 1))).first()[0] or 0
-    rows = unsettled.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    size = F.sum(F.col("n") + (width - 1))
+    blocks = max(1, -(-(unsettled.agg(size).first()[0] or 0) // block_bytes))
+    # an anchor of more bytes than a block holds is dealt to several
+    much = unsettled.groupBy("anchor").agg(F.ceil(size / block_bytes).alias("parts")).where("parts > 1")
+    rows = unsettled.join(much, "anchor", "left")
+    part = F.xxhash64("anchor", F.pmod(F.xxhash64("row_key", "start"), "parts"))
+    rows = rows.select("row_key", "start", "n", F.coalesce(part, F.pmod(F.xxhash64("anchor"), F.lit(blocks))).alias("block"), F.col("parts").isNotNull().alias("shared"))
 
     def cut(batches):
         for batch in batches:
             out = []
             for key, text, found in zip(*(batch.column(c).to_pylist() for c in ("row_key", "text", "found")), strict=True):
                 raw = text.encode()
-                out += [(r["anchor"], r["hot"], key, r["start"], raw[r["start"] : r["start"] + r["n"] - 1 + width]) for r in found]
+                out += [(r["block"], r["shared"], key, r["start"], raw[r["start"] : r["start"] + r["n"] - 1 + width]) for r in found]
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
             kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["anchor", "hot", "row_key", "start", "bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["block", "shared", "row_key", "start", "bytes"])
 
-    beside = beside_texts(only_keys(docs, unsettled, "row_key"), rows, ["anchor", "start", "n", "hot"]).select("row_key", "text", "found")
-    pieces = materialize(beside.mapInArrow(cut, "anchor long, hot boolean, row_key long, start int, bytes binary"), "suffix-segments")
+    beside = beside_texts(only_keys(docs, unsettled, "row_key"), rows, ["block", "shared", "start", "n"]).select("row_key", "text", "found")
+    pieces = beside.mapInArrow(cut, "block long, shared boolean, row_key long, start int, bytes binary")
 
     def block(table: pa.Table) -> pa.Table:
+        """Spans of repeated windows; and, of anchors with several blocks, each first window with its hash."""
         table = table.sort_by([("row_key", "ascending"), ("start", "ascending")])
-        texts = table.column("bytes").to_pylist()
+        texts, keys, starts = (table.column(c).to_pylist() for c in ("bytes", "row_key", "start"))
         repeated = RunIndex(texts).repeats(width)
         edges = np.cumsum([0, *map(len, texts)])
         flags = [repeated[a : b - width + 1] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        return _spans(table.column("row_key").to_pylist(), table.column("start").to_pylist(), flags)
-
-    blocks = max(1, -(-size // block_bytes))
-    indexed = pieces.where("not hot").groupBy(F.pmod(F.xxhash64("anchor"), F.lit(blocks)).alias("block")).applyInArrow(block, SPANS)
-
-    each = pieces.where("hot").select("row_key", "start", "bytes", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - width)).alias("k"))
-    each = each.select("row_key", (F.col("start") + F.col("k")).alias("start"), F.sha2(F.substring("bytes", F.col("k") + 1, F.lit(width)), 256).alias("window"))
+        spans = _spans(keys, starts, flags)
+        firsts = [(key, start + k, 1, hashlib.sha256(text[k : k + width]).digest()) for key, start, text, shared, gone in zip(keys, starts, texts, table.column("shared").to_pylist(), flags, strict=True) if shared for k in np.flatnonzero(~gone).tolist()]
+        columns = list(zip(*firsts, strict=True)) if firsts else [[]] * 4
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        more = pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["row_key", "start", "n", "window"])
+        return pa.concat_tables([spans.append_column("window", pa.nulls(len(spans), pa.binary())), more])
+
+    found = materialize(pieces.groupBy("block").applyInArrow(block, f"{SPANS}, window binary"), "suffix-found")
+    indexed, each = found.where("window is null").select("row_key", "start", "n"), found.where("window is not null")
     firsts = each.groupBy("window").agg(F.min(F.struct("row_key", "start")).alias("least"), F.count("*").alias("times")).where("times > 1")
-    later = each.join(firsts, "window").where(F.struct("row_key", "start") != F.col("least")).select("row_key", "start", F.lit(1).alias("n"))
+    later = each.join(firsts, "window").where(F.struct("row_key", "start") != F.col("least")).select("row_key", "start", "n")
     return whole.unionByName(indexed).unionByName(later)
 
 

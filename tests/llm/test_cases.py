@@ -149,7 +149,7 @@ def test_verdict_of_the_list(spark):
         assert r["kept"] == (not r["base_failed"] and not hit)
 
 
-@pytest.mark.parametrize("how", [{}, {"hot_rows": 1}, {"block_bytes": 2000}])
+@pytest.mark.parametrize("how", [{}, {"block_bytes": 2000}, {"block_bytes": 300}])
 def test_spans_are_maximal_runs(spark, how):
     rng = np.random.default_rng(9)
     shared_part = "".join(map(chr, rng.integers(97, 123, 130)))

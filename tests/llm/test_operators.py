@@ -56,7 +56,7 @@ def brute_windows(units, width):
     return out
 
 
-@pytest.mark.parametrize("how", [{}, {"hot_rows": 1}])
+@pytest.mark.parametrize("how", [{}, {"block_bytes": 300}])
 def test_suffix_dedup(docs, texts, how):
     raw = [(t or "").encode() for t in texts]
     got = {r["doc_id"]: r for r in suffix_dedup.dedup(docs, **how).collect()}
