@@ -1,5 +1,5 @@
 """plans of the mention engine."""
 
-from buzzmill.plans import crawl, labels, pages, queries, records, streams, texts
+from buzzmill.plans import crawl, labels, pages, queries, records, reports, streams, texts
 
-__all__ = ["crawl", "labels", "pages", "queries", "records", "streams", "texts"]
+__all__ = ["crawl", "labels", "pages", "queries", "records", "reports", "streams", "texts"]
