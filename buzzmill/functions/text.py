@@ -6,6 +6,7 @@ import unicodedata
 from collections.abc import Callable, Sequence
 from functools import cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -109,3 +110,12 @@ def fold_literal(term: str) -> str:
 def any_phrase(folded: Column, phrases: Sequence[str]) -> Column:
     """Whether a phrase is in folded text: as a substring from four letters on or with a space or #, else as a word."""
     return folded.rlike("|".join(p if " " in p or len(p) >= 4 or p.startswith("#") else rf"(?<![a-z0-9#]){p}(?![a-z0-9])" for p in dict.fromkeys(map(fold_literal, phrases))))
+
+
+def normal(text: Column) -> Column:
+    """Composed letters (NFC), case folded, runs of white space as one space, trimmed; null is empty. Arrow batches: Spark has no NFC."""
+    @F.pandas_udf("string")
+    def composed(texts: pd.Series) -> pd.Series:
+        return texts.fillna("").map(lambda t: " ".join(unicodedata.normalize("NFC", t).casefold().split()))
+
+    return composed(text)

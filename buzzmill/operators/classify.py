@@ -382,3 +382,26 @@ def rebuild_category(before: Column, after: Column) -> Column:
         .when(new > 0, "adding")
         .otherwise("unchanged")
     )
+
+
+def rebuild_example(before: Column, after: Column, text: Column, permalink: Column) -> Column:
+    """The kind of example that a rebuilt mention is for a report, the first that fits; null for none."""
+    blob = F.lower(_joined(text, permalink))
+    gone, lost = F.array_except(before, after), (F.size(before) > 0) & (F.size(after) == 0)
+    changed = (F.size(gone) > 0) | (F.size(F.array_except(after, before)) > 0)
+    has = lambda b: F.array_contains(after, b)
+    home = ["việt nam", "viet nam", "vietnam", "hà nội", "ha noi"]
+    kinds = {
+        "stale_cgv_korea_foreign_removed": lost & F.array_contains(gone, "cgv") & holds_any(blob, ["korea", "seoul", "hàn quốc", "han quoc", ".co.kr", "starnewskorea"]),
+        "keyword_only_false_positive_removed": lost & ~holds_any(blob, ["cgv", "lotte cinema", "galaxy cinema", "galaxy cine", "rạp galaxy"]),
+        "unrelated_or_stale_untagged": lost,
+        "valid_cgv_menas_mall_remains": has("cgv") & blob.contains("menas"),
+        "valid_cgv_liberty_citypoint_remains": has("cgv") & blob.contains("liberty") & blob.contains("citypoint"),
+        "valid_cgv_vietnam_remains": has("cgv") & holds_any(blob, [*home, "tp.hcm"]),
+        "valid_lotte_vietnam_remains": has("lotte") & holds_any(blob, home),
+        "valid_galaxy_vietnam_remains": has("glx") & holds_any(blob, ["galaxy cinema", "galaxy cine", "rạp galaxy"]),
+        "stale_tag_removed": changed & (F.size(gone) > 0) & (F.size(after) == 0),
+        "brand_replacement": (F.size(gone) > 0) & (F.size(F.array_except(after, before)) > 0),
+        "unchanged_tagged": ~changed & (F.size(before) > 0),
+    }
+    return reduce(lambda out, kv: out.when(kv[1], F.lit(kv[0])), kinds.items(), F)
