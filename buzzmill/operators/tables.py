@@ -30,11 +30,9 @@ def replace_links(old: DataFrame, new: DataFrame, touched: DataFrame, key: str)
     return old.join(touched.select(key).distinct(), key, "left_anti").unionByName(new.join(touched.select(key).distinct(), key, "left_semi")).distinct()
 
 
-def first_rows(rows: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column], n: int = 1, blank_kept: Column | None = None) -> DataFrame:
-    """The first n rows of each key; rows for which blank_kept holds are all kept."""
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    keep = F.col("_rank") <= n
-    return ranked.where(keep if blank_kept is None else keep | blank_kept).drop("_rank")
+def first_rows(rows: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column], n: int = 1) -> DataFrame:
+    """The first n rows of each key."""
+    return rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_rank") <= n).drop("_rank")
 
 
 def latest_rows(rows: DataFrame, key: str, seq: str) -> DataFrame:
