@@ -133,7 +133,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     place = F.pmod(F.xxhash64("vec_id", "vec"), F.lit(blocks)).cast("int")
     rows = base.select(place.alias("block"), F.lit(False).alias("query"), "vec_id", "vec")
     asked = base.where("asks").select(F.explode(F.sequence(F.lit(0), F.lit(int(blocks) - 1))).alias("block"), F.lit(True).alias("query"), "vec_id", "vec")
-    ordered = rows.unionByName(asked).repartition(int(blocks), "block").sortWithinPartitions("block", "query")
+    ordered = rows.unionByName(asked).repartitionByRange(int(blocks), "block").sortWithinPartitions("block", "query")
 
     def cells(batches):
         number, ids, parts, block = None, [], [], None
