@@ -1,10 +1,9 @@
 """The set join's long lists: groups of near copies whose members are not all linked to one of them."""
 
 import numpy as np
-import pytest
+from test_operators import brute_components
 
 from buzzmill.llm import setjoin
-from test_operators import brute_components
 
 
 def near_copies(n, words, most_edits, seed=5):
@@ -18,14 +17,17 @@ def near_copies(n, words, most_edits, seed=5):
     return out
 
 
-@pytest.mark.parametrize("paired", [4, 16])
-def test_group_of_near_copies(spark, monkeypatch, paired):
-    monkeypatch.setattr(setjoin, "PAIRED", paired)
-    texts = near_copies(200, 60, 7) + near_copies(60, 90, 9, 6)[:30] + ["b1 b2 b3 b4 b5", None, ""]
+def test_group_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(setjoin, "PAIRED", 4)
+    made = []
+    against = setjoin.against_heads
+    monkeypatch.setattr(setjoin, "against_heads", lambda *a: made.append(len(a) > 4) or against(*a))
+    texts = near_copies(600, 40, 5) + near_copies(60, 90, 9, 6)[:30] + ["b1 b2 b3 b4 b5", None, ""]
     sizes, comp = brute_components(texts, 4, 85)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in setjoin.join_components(df).collect()}
     assert got == {k: (sizes[k], comp[k]) for k in range(len(texts))}
+    assert any(made)  # differences were read
     assert len(set(comp)) > 20  # many are linked to nothing though they share most of their shingles
 
 
