@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from buzzmill.functions.text import collapse
+from buzzmill.operators.freshness import Limits, stopped_rows
 
 
 def search_filter(results: DataFrame, title: str, terms: Sequence[str]) -> DataFrame:
@@ -49,13 +50,32 @@ def dedupe_records(records: DataFrame, url: str, seq: str) -> DataFrame:
 
 def stop_details(rows: DataFrame, key: str, order: str, state: str, most_stale: int = 25, most: int | None = None) -> DataFrame:
     """Rows of each key until most_stale of them were stale, at most `most`, with stop_reason on the last: stale_limit, max_items or exhausted."""
-    w = Window.partitionBy(key).orderBy(order)
-    counted = rows.withColumn("_stale", F.sum((F.col(state) == "stale").cast("int")).over(w)).withColumn("_at", F.row_number().over(w))
-    before = F.col("_stale") - (F.col(state) == "stale").cast("int")
-    kept = counted.where((before < most_stale) & (F.lit(most is None) | (F.col("_at") <= (most or 0))))
-    last = F.col("_at") == F.max("_at").over(Window.partitionBy(key))
-    reason = F.when(F.col("_stale") >= most_stale, "stale_limit").when(F.col("_at") == (most or -1), "max_items").otherwise("exhausted")
-    return kept.withColumn("stop_reason", F.when(last, reason)).drop("_stale", "_at")
+    return stopped_rows(rows, key, order, state, Limits(0, most_stale, most or 0))
+
+
+#: Why a search is left, in the order in which a round asks.
+ROUND_REASONS = ("keyword_runtime_limit", "runtime_limit", "max_items", "idle_limit", "empty_limit")
+
+
+def stopped_rounds(log: DataFrame, key: str, number: str, most: int, idle: int, empty: int, key_seconds: float, seconds: float) -> DataFrame:
+    """Rounds of a search (key, number, elapsed seconds at its start, found: new items, known: items seen before) up to the one that ends it.
+
+    Adds `total` (new items so far, at most `most`) and stop_reason on the last round: the key's time or all time is over at its start
+    (such a round finds nothing), `most` items are found, `idle` rounds in a row found nothing new, or `empty` rounds in a row had found nothing at
+    all, new or known; else scroll_exhausted. A key's rounds are few (a search scrolls a few hundred times).
+    """
+    along = Window.partitionBy(key).orderBy(number)
+    late = F.when(F.col("elapsed") >= key_seconds, "keyword_runtime_limit").when(F.col("elapsed") >= seconds, "runtime_limit")
+    rounds = log.withColumn("_late", late).withColumn("total", F.sum("found").over(along)).withColumn("_any", F.sum(F.col("found") + F.col("known")).over(along))
+    rounds = rounds.withColumn("_at", F.row_number().over(along))
+    rounds = rounds.withColumn("_idle", F.col("_at") - F.coalesce(F.max(F.when(F.col("found") > 0, F.col("_at"))).over(along), F.lit(0)))
+    rounds = rounds.withColumn("_empty", F.when(F.col("_any") == 0, F.col("_at")).otherwise(0))
+    reason = F.coalesce("_late", F.when(F.col("total") >= most, "max_items").when(F.col("_idle") >= idle, "idle_limit").when(F.col("_empty") >= empty, "empty_limit"))
+    rounds = rounds.withColumn("stop_reason", reason).withColumn("_stops", F.count("stop_reason").over(along))
+    kept = rounds.where((F.col("_stops") == 0) | ((F.col("_stops") == 1) & F.col("stop_reason").isNotNull()))
+    last = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(number))) == 1
+    total = F.least(F.when(F.col("_late").isNotNull(), F.col("total") - F.col("found")).otherwise(F.col("total")), F.lit(most))
+    return kept.withColumn("stop_reason", F.when(last & F.col("stop_reason").isNull(), "scroll_exhausted").otherwise(F.col("stop_reason"))).withColumn("total", total).drop("_late", "_any", "_at", "_idle", "_empty", "_stops")
 
 
 def without_stale(records: DataFrame) -> DataFrame:

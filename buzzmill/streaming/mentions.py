@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from buzzmill.functions.times import ZONE
+from buzzmill.sources.scratch import scratch_path
 
 
 def read_events(spark: SparkSession, folder: str, schema: str) -> DataFrame:
@@ -28,43 +27,50 @@ def upsert_batches(events: DataFrame, checkpoint: str, apply: Callable[[DataFram
     return events.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(apply).start()
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that all executors share; a local one only where none is set and Spark is one process."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{shared or 'file://' + tempfile.mkdtemp(prefix='spark-buzzmill-')}/{label}-{uuid.uuid4().hex}"
-
-
 def counted_by_day(spark: SparkSession, folder: str, schema: str, files_at_once: int = 1) -> DataFrame:
-    """daily_counts over all files of a folder, files_at_once in a micro-batch: the totals after the last one."""
-    path = scratch(spark, "daily-counts")
-    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(folder)
+    """daily_counts over all files of a folder, files_at_once in a micro-batch: of each day and type the totals that came last.
+
+    A batch writes the totals that it changed, under its number. Rows that come after their day's state has gone are passed over;
+    late.part_late keeps those. An empty folder gives no rows.
+    """
+    path = scratch_path(spark, "daily-counts")
+    stream = daily_counts(spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(folder))
+    stream.sparkSession.createDataFrame([], stream.schema).write.parquet(f"{path}/changes/batch=-1")
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/totals")
+        batch.write.mode("overwrite").parquet(f"{path}/changes/batch={number}")
+
+    query = stream.writeStream.outputMode("update").option("checkpointLocation", f"{path}/checkpoint")
+    query.trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    changes = spark.read.parquet(f"{path}/changes")
+    last = changes.groupBy("day", "event_type").agg(F.max_by(F.struct("n", "users"), "batch").alias("t"))
+    return last.select(F.to_date("day.start").alias("day"), "event_type", "t.n", "t.users")
+
 
-    stream = daily_counts(events).writeStream.outputMode("complete").option("checkpointLocation", f"{path}/checkpoint")
-    stream.trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
-    return spark.read.parquet(f"{path}/totals").select(F.to_date("day.start").alias("day"), "event_type", "n", "users")
+SEEN = "url {url}, first_seen timestamp, last_seen timestamp, times long, content_ts timestamp"
 
 
-def seen(spark: SparkSession, events: DataFrame) -> DataFrame:
+def seen(spark: SparkSession, events: DataFrame, path: str | None = None) -> DataFrame:
     """State of a stream of discoveries (url, seen_at, content_ts) after all files: first and last seen, times, last known content time by url.
 
-    Each micro-batch is merged with the table of the batch before, which is written anew under the batch's number, so a
-    batch that is run again gives the same table.
+    Each micro-batch is merged with the table of the batch before, which is found by its number and written anew under the
+    batch's own. So a batch that is run again gives the same table, and a later call with the same path goes on where the last
+    one ended. No discoveries give an empty table.
     """
-    path = scratch(spark, "seen-urls")
-    last: list[str] = []
+    path = path or scratch_path(spark, "seen-urls")
+    schema = SEEN.format(url=events.schema["url"].dataType.simpleString())
 
     def merge(batch: DataFrame, number: int) -> None:
-        new = batch.select("url", F.col("seen_at").alias("first_seen"), F.col("seen_at").alias("last_seen"), F.lit(1).cast("long").alias("times"), "content_ts")
-        rows = new.unionByName(spark.read.parquet(last[-1])) if last else new
+        at = F.col("seen_at").cast("timestamp")
+        new = batch.select("url", at.alias("first_seen"), at.alias("last_seen"), F.lit(1).cast("long").alias("times"), F.col("content_ts").cast("timestamp").alias("content_ts"))
+        rows = new.unionByName(spark.read.schema(schema).parquet(f"{path}/state-{number - 1}"))
         known = F.max_by("content_ts", F.when(F.col("content_ts").isNotNull(), F.col("last_seen")))
         merged = rows.groupBy("url").agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.sum("times").alias("times"), known.alias("content_ts"))
         merged.write.mode("overwrite").parquet(f"{path}/state-{number}")
-        last.append(f"{path}/state-{number}")
+        spark.createDataFrame([(number,)], "batch long").coalesce(1).write.mode("append").parquet(f"{path}/done")
 
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/state--1")
+    spark.createDataFrame([(-1,)], "batch long").write.mode("ignore").parquet(f"{path}/done")
     upsert_batches(events, f"{path}/checkpoint", merge).awaitTermination()
-    return spark.read.parquet(last[-1])
+    last = spark.read.schema("batch long").parquet(f"{path}/done").agg(F.max("batch")).first()[0]
+    return spark.read.schema(schema).parquet(f"{path}/state-{last}")
