@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from buzzmill.functions.text import let
+from buzzmill.functions import scans
 from buzzmill.functions.times import compact_count
 
 # Lines of two sites that are no text of people.
@@ -28,23 +29,7 @@ def lines_of(text: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r]"), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def _line(lines: Column, at: Column) -> Column:
-    return F.coalesce(F.get(lines, at.cast("int")), F.lit(""))
-
-
-def _segments(lines: Column, starts: Column) -> Column:
-    """Struct(at, end) from each start to the next, the last to the end of the lines."""
-    return F.transform(starts, lambda s, k: F.struct(s.alias("at"), F.coalesce(F.get(starts, k + 1), F.size(lines)).alias("end")))
-
-
-def _places(lines: Column, holds: Callable[[Column], Column]) -> Column:
-    return F.when(F.size(lines) == 0, F.array().cast("array<int>")).otherwise(F.filter(F.sequence(F.lit(0), F.size(lines) - 1), holds))
-
-
-def _apart(places: Column, least: int) -> Column:
-    """Ascending places without those less than `least` after the last that stayed."""
-    none = F.array().cast("array<int>")
-    return F.aggregate(places, none, lambda kept, p: F.when((F.size(kept) == 0) | (p >= F.coalesce(F.try_element_at(kept, F.lit(-1)), F.lit(0)) + least), F.concat(kept, F.array(p))).otherwise(kept))
+COMMENT = "external_id string, author string, {time} string, text string"
 
 
 def instagram_comments(body: Column, url: Column) -> Column:
@@ -54,29 +39,18 @@ def instagram_comments(body: Column, url: Column) -> Column:
     caption. Of comments with equal name, time and beginning the first stays. Null and short texts give none.
     """
 
-    def found(lines: Column) -> Column:
-        def begins(i: Column) -> Column:
-            label, text = _line(lines, i + 1), _line(lines, i + 2)
-            return (i + 2 < F.size(lines)) & _line(lines, i).rlike(NAME) & (label.rlike(AGO) | label.rlike(DATE)) & ~text.rlike(INSTAGRAM_SKIP)
-
-        def comment(s: Column) -> Column:
-            rest = F.slice(lines, s["at"] + 4, F.greatest(s["end"] - s["at"] - 3, F.lit(0)))
-            ends = _places(rest, lambda k: _line(rest, k).rlike(INSTAGRAM_FOOTER) | _line(rest, k).rlike(DATE))
-            told = F.filter(F.slice(rest, 1, F.coalesce(F.get(ends, F.lit(0)), F.size(rest))), lambda x: ~x.rlike(INSTAGRAM_SKIP) & ~x.rlike(r"^\d+$"))
-            text = F.array_join(F.concat(F.array(_line(lines, s["at"] + 2)), told), " ")
-            return F.struct(_line(lines, s["at"]).alias("author"), _line(lines, s["at"] + 1).alias("created_at_label"), text.alias("text"))
+    @F.pandas_udf(f"array<struct<{COMMENT.format(time='created_at_label')}, url string>>")
+    def found(bodies: pd.Series, urls: pd.Series) -> pd.Series:
+        def comments(text, link):
+            first = {}
+            for author, label, told in scans.blocks(scans.lines_of(text), NAME, [AGO, DATE], INSTAGRAM_SKIP, INSTAGRAM_FOOTER)[1:]:
+                key = "comment:" + re.sub(r"[^a-z0-9._|:-]+", "-", f"{author}|{label}|{told[:80]}".strip().lower())
+                first.setdefault(key, (author, label, told))
+            return [{"external_id": key, "author": a, "created_at_label": t, "text": x, "url": None if link is None else f"{link}#comment-{k}"} for k, (key, (a, t, x)) in enumerate(first.items(), 1)]
 
-        starts = _apart(_places(lines, begins), 3)
-        blocks = F.transform(_segments(lines, starts), comment)
-        return F.slice(blocks, 2, F.greatest(F.size(blocks) - 1, F.lit(0)))
+        return pd.Series([comments(text, link) for text, link in zip(bodies, urls, strict=True)], index=bodies.index, dtype=object)
 
-    def named(comments: Column) -> Column:
-        key = lambda c: F.concat(F.lit("comment:"), F.regexp_replace(F.lower(F.trim(F.concat_ws("|", c["author"], c["created_at_label"], F.substring(c["text"], 1, 80)))), "[^a-z0-9._|:-]+", "-"))
-        keys = F.transform(comments, key)
-        first = F.filter(comments, lambda c, k: F.array_position(keys, key(c)) == k + 1)
-        return F.transform(first, lambda c, k: F.struct(key(c).alias("external_id"), c["author"].alias("author"), c["created_at_label"].alias("created_at_label"), c["text"].alias("text"), F.concat(url, F.lit("#comment-"), (k + 1).cast("string")).alias("url")))
-
-    return let(let(lines_of(body), found), named)
+    return found(body, url)
 
 
 def threads_comments(body: Column, post_id: Column) -> Column:
@@ -85,30 +59,16 @@ def threads_comments(body: Column, post_id: Column) -> Column:
     A comment is a name, at most one line that the site did not add, a time, and lines of text up to the next one; counts alone are no text.
     Pages without a marker are read from their fifth line on.
     """
-    is_name = lambda x: x.startswith("@") & ~x.contains(" ") | x.rlike(r"^[A-Za-z0-9._]+$")
-
-    def found(lines: Column) -> Column:
-        def header(i: Column) -> Column:
-            """Place of the text after a name's time; null if none."""
-            told = lambda k: ~_line(lines, k).isin(*THREADS_NOISE)
-            after = F.when(told(i + 1), i + 1).when(told(i + 2), i + 2).when(told(i + 3), i + 3).otherwise(i + 4)
-            return F.when(is_name(_line(lines, i)), let(after, lambda p: F.when(_line(lines, p).rlike(THREADS_DATE), p + 1).when(_line(lines, p + 1).rlike(THREADS_DATE), p + 2)))
-
-        starts = _apart(_places(lines, lambda i: header(i).isNotNull()), 2)
 
-        def comment(s: Column) -> Column:
-            at = header(s["at"])
-            told = F.filter(F.slice(lines, at + 1, F.greatest(s["end"] - at, F.lit(0))), lambda x: ~x.rlike(r"(?i)^[\d./KMB]+$") & ~x.isin(*THREADS_NOISE))
-            return F.struct(_line(lines, s["at"]).alias("author"), _line(lines, at - 1).alias("created_at"), F.array_join(told, " ").alias("text"))
+    @F.pandas_udf(f"array<struct<{COMMENT.format(time='created_at')}>>")
+    def found(bodies: pd.Series, ids: pd.Series) -> pd.Series:
+        def comments(text, of):
+            told = scans.threads(scans.lines_of(text), frozenset(THREADS_NOISE), frozenset(THREADS_TOP), THREADS_DATE)
+            return [{"external_id": ":".join(p for p in ("comment", of, str(k)) if p is not None), "author": a, "created_at": t, "text": x} for k, (a, t, x) in enumerate(told, 1)]
 
-        return F.filter(F.transform(_segments(lines, starts), comment), lambda c: c["text"] != "")
+        return pd.Series([comments(text, of) for text, of in zip(bodies, ids, strict=True)], index=bodies.index, dtype=object)
 
-    def below(lines: Column) -> Column:
-        marker = F.coalesce(F.get(_places(lines, lambda k: _line(lines, k).isin(*THREADS_TOP)), F.lit(0)), F.lit(4))
-        return F.slice(lines, marker + 1, F.greatest(F.size(lines) - marker, F.lit(0)))
-
-    named = lambda cs: F.transform(cs, lambda c, k: F.struct(F.concat_ws(":", F.lit("comment"), post_id, (k + 1).cast("string")).alias("external_id"), c["author"].alias("author"), c["created_at"].alias("created_at"), c["text"].alias("text")))
-    return let(let(let(lines_of(body), below), found), named)
+    return found(body, post_id)
 
 
 def date_label(body: Column) -> Column:
@@ -134,23 +94,10 @@ def views_of(body: Column) -> Column:
 
 
 def balanced_json(source: Column, marker: str) -> Column:
-    """The JSON object that follows a marker in a page's source, up to its closing brace; braces within texts do not count. Null if it never closes.
+    """The JSON object that follows a marker in a page's source, up to its closing brace; braces within texts do not count. Null if it never closes."""
 
-    Quoted texts are blanked first, so the depth after each brace is a running sum over the braces alone.
-    """
-    tail = F.regexp_extract(source, rf"(?s)\Q{marker}\E\s*=?\s*(\{{.*)$", 1)
-
-    def cut(text: Column) -> Column:
-        blank = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*"', "")
-        # lengths of the pieces before each closing brace tell how many close before the depth is 0
-        parts = F.split(blank, r"\}")
-        opens = F.transform(parts, lambda p: F.regexp_count(p, F.lit(r"\{")))
-        state = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
-        step = lambda s, o: F.when(s["done"], s).otherwise(F.struct((s["depth"] + o - 1).alias("depth"), (s["n"] + 1).alias("n"), (s["depth"] + o - 1 == 0).alias("done")))
-        end = F.aggregate(F.slice(opens, 1, F.greatest(F.size(opens) - 1, F.lit(0))), state, step)
-        # the same closing brace in the text itself, counting those outside quotes
-        tokens = F.regexp_extract_all(text, F.lit(r'(?s)([^"}]+|"(?:[^"\\]|\\.)*"|\})'), F.lit(1))
-        closing = _places(tokens, lambda k: _line(tokens, k) == "}")
-        return let(end, lambda e: F.when(e["done"], F.array_join(F.slice(tokens, 1, F.get(closing, e["n"] - 1) + 1), "")))
-
-    return F.when(tail != "", let(tail, cut))
+    @F.pandas_udf("string")
+    def found(sources: pd.Series) -> pd.Series:
+        return sources.map(lambda text: scans.balanced(text, marker))
+
+    return found(source)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from buzzmill.functions import scans
 from buzzmill.functions.text import any_phrase, any_term, collapse, fold, fold_literal, let, strip_marks
 from buzzmill.operators import packs as P
 from buzzmill.operators.rules import first_label, labels_of
@@ -151,38 +152,10 @@ def _alternation(terms: Sequence[str]) -> str:
 def sentiment(text: Column, window: int = 6) -> Column:
     """positive, negative or neutral: each clause counts its words, an odd number of negations before a word turns it.
 
-    Negations count within `window` words before; the last clause that is not neutral decides. Null is neutral. A bad
-    word right after "sau" ("sau đó", afterwards) is none.
+    Longer phrases take their place in a clause first. Negations count within `window` words before; the last clause that is
+    not neutral decides. Null is neutral. A bad word right after "sau" ("sau đó", afterwards) is none.
     """
-    good, bad = _alternation(P.GOOD), rf"(?<!sau )(?<!sau)(?:{_alternation(P.BAD)})"
-
-    def turned(blob: Column, pattern: str) -> Column:
-        """For each hit whether it is negated: the text before a hit is what lies before and between the hits."""
-        between, hits = F.split(blob, pattern), F.regexp_extract_all(blob, F.lit(f"({pattern})"), F.lit(1))
-
-        def before(k: Column) -> Column:
-            told = F.array_join(F.zip_with(F.slice(between, 1, k), F.slice(hits, 1, k), lambda a, b: F.concat(a, b)), "")
-            last = F.get(F.slice(hits, k, 1), F.lit(0))
-            return F.substring(told, F.lit(1), F.length(told) - F.length(last))
-
-        def negated(k: Column) -> Column:
-            words = F.filter(F.split(before(k), " "), lambda w: w != "")
-            near = F.slice(words, F.greatest(F.size(words) - window + 1, F.lit(1)), F.lit(window))
-            return F.size(F.filter(near, lambda w: w.isin(*P.NEGATIONS))) % 2 == 1
-
-        return F.when(F.size(hits) == 0, F.array().cast("array<boolean>")).otherwise(F.transform(F.sequence(F.lit(1), F.size(hits)), negated))
-
-    def label(clause: Column) -> Column:
-        def score(blob: Column) -> Column:
-            ups, downs = turned(blob, good), turned(blob, bad)
-            kept = lambda a: F.size(F.filter(a, lambda x: ~x))
-            flipped = lambda a: F.size(F.filter(a, lambda x: x))
-            balance = kept(ups) + flipped(downs) - flipped(ups) - kept(downs)
-            return F.when(balance < 0, "negative").when(balance > 0, "positive").otherwise("neutral")
-
-        return let(fold(clause), score)
-
-    return _last_told(F.transform(contrast_clauses(text), label))
+    return scans.sentiment(text, P.GOOD, P.BAD, P.NEGATIONS, P.CONTRAST, window)
 
 
 def film_sentiment(text: Column) -> Column:
