@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from buzzmill.functions import scans
 from buzzmill.functions.text import any_phrase, any_term, collapse, fold, fold_literal, let, strip_marks
 from buzzmill.operators import packs as P
+from buzzmill.operators import term_index
 from buzzmill.operators.rules import first_label, labels_of
 
 
@@ -293,19 +294,30 @@ def app_topic(text: Column, other: str | None = None) -> Column:
     return let(F.lower(F.coalesce(text, F.lit(""))), told)
 
 
-def campaign_matches(mentions: DataFrame, keywords: DataFrame) -> DataFrame:
+#: Keywords that each text may meet one by one; more of them are indexed.
+LISTED_KEYWORDS = 1000
+
+
+def campaign_matches(mentions: DataFrame, keywords: DataFrame, listed: int = LISTED_KEYWORDS) -> DataFrame:
     """Pairs (mention_id, campaign_id) where a keyword (campaign_id, keyword, status, brand_slug or null) is in the text.
 
     Campaigns that run or have ended count, for mentions of their brand or, without one, for all. Keywords lose a
-    leading #; blank ones match nothing. Keywords are a small table by nature: texts meet all of them at once.
+    leading #; blank ones match nothing. Up to `listed` keywords are a list that each text goes through; more are joined by
+    an index of their rarest runs of characters, with the same rows. mention_id is unique.
     """
     needle = collapse(F.regexp_replace("keyword", "^#+", ""))
     rules = keywords.where(F.col("status").isin("running", "ended")).select("campaign_id", F.col("brand_slug").alias("scope"), needle.alias("needle")).where("needle <> ''").distinct()
-    lists = rules.groupBy("scope").agg(F.collect_list(F.struct("campaign_id", "needle")).alias("rules"))
     texts = mentions.select("mention_id", "brand_slug", collapse(F.coalesce("content_text", F.lit(""))).alias("text")).where("text <> ''")
-    own = texts.join(lists, texts["brand_slug"].eqNullSafe(lists["scope"]) | lists["scope"].isNull())
-    hits = F.array_distinct(F.transform(F.filter("rules", lambda r: F.col("text").contains(r["needle"])), lambda r: r["campaign_id"]))
-    return own.select("mention_id", F.explode(hits).alias("campaign_id")).distinct()
+    fits = lambda scope: scope.isNull() | scope.eqNullSafe(F.col("brand_slug"))
+    if rules.limit(listed + 1).count() <= listed:
+        whole = rules.agg(F.collect_list(F.struct("campaign_id", "scope", "needle")).alias("rules")).withColumn("_all", F.lit(1))
+        own = texts.withColumn("_all", F.lit(1)).join(F.broadcast(whole), "_all")
+        hits = F.array_distinct(F.transform(F.filter("rules", lambda r: fits(r["scope"]) & F.col("text").contains(r["needle"])), lambda r: r["campaign_id"]))
+        return own.select("mention_id", F.explode(hits).alias("campaign_id"))
+    needles = rules.select("needle").distinct().withColumn("term", F.col("needle"))
+    found = term_index.matches(texts, "mention_id", "text", needles, "term", "needle")
+    pairs = found.join(rules, found["term"] == rules["needle"]).join(texts.select("mention_id", "brand_slug"), "mention_id").where(fits(F.col("scope")))
+    return pairs.select("mention_id", "campaign_id").distinct()
 
 
 def region(text: Column, author: Column | None = None) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from buzzmill.functions.records import clean_place_text, merge_maps
+from buzzmill.functions.records import clean_place_text
 from buzzmill.functions.times import comment_occurred_at, compact_count, occurred_at
 from buzzmill.operators.classify import brands, market, sentiment
 
@@ -52,7 +52,8 @@ def upsert_mentions(old: DataFrame, new: DataFrame, key: str = "post_id", seq: s
     """old mentions after those of new, in the order of seq.
 
     Text is the last; sentiment, time and link the last that is known, times only where verified; metadata is merged
-    key by key. New keys appear only if one of their rows is verified. One aggregation of both tables.
+    key by key. New keys appear only if one of their rows is verified. Metadata are rows of their own until the last value of
+    each of a mention's keys is known, so a post with any number of updates is combined before it is shuffled.
     """
     rows = old.select("*", F.lit(True).alias("verified"), F.lit(0).alias("_new")).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
     at = F.struct("_new", seq)
@@ -63,8 +64,9 @@ def upsert_mentions(old: DataFrame, new: DataFrame, key: str = "post_id", seq: s
         last("occurred_at", F.col("occurred_at").isNotNull() & F.col("verified")),
         last("permalink", F.col("permalink").isNotNull()),
         F.bool_or((F.col("_new") == 0) | F.col("verified")).alias("_known"),
-        F.collect_list(F.struct(at.alias("at"), "metadata")).alias("_meta"),
     )
-    ordered = F.array_sort("_meta", lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1).otherwise(0))
-    merged = F.aggregate(ordered, F.create_map().cast("map<string,string>"), lambda m, x: merge_maps(m, x["metadata"]))
-    return keys.where("_known").withColumn("metadata", merged).drop("_known", "_meta")
+    entries = rows.select(F.col(key).alias("_key"), at.alias("_at"), F.explode("metadata").alias("name", "value"))
+    values = entries.groupBy("_key", "name").agg(F.max_by(F.struct("value"), "_at").alias("v"))
+    maps = values.groupBy("_key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "v.value")))).alias("metadata"))
+    merged = keys.where("_known").drop("_known").join(maps, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    return merged.withColumn("metadata", F.coalesce("metadata", F.create_map().cast("map<string,string>")))

@@ -74,3 +74,23 @@ def health(daily: DataFrame, key: str, as_of: str, days: int = 7) -> DataFrame:
     out = rows.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("buzz_count", "positive_count", "negative_count", "neutral_count")])
     told = F.col("positive_count") + F.col("negative_count") + F.col("neutral_count")
     return out.withColumn("positive_pct", percent(F.col("positive_count"), told)).withColumn("negative_pct", percent(F.col("negative_count"), told))
+
+
+#: Registers of a sketch of authors, as a power of two: a count is off by about 0.8 % in two of three cases.
+SKETCH_BITS = 14
+
+
+def daily_authors(mentions: DataFrame, links: DataFrame, keys: Sequence[str], first: str | None = None, last: str | None = None) -> DataFrame:
+    """By (business day, keys, platform) a sketch of the authors: a table from which other spans and groups of platforms follow without the mentions.
+
+    Spam is left out; a blank author is one, null none.
+    """
+    rows = on_days(mentions, first, last).where("not is_spam").withColumn("metric_date", business_day(F.col("occurred_at"))).join(links, "mention_id")
+    return rows.groupBy("metric_date", *keys, "platform_code").agg(F.hll_sketch_agg("author_key", SKETCH_BITS).alias("authors"))
+
+
+def authors_over(daily: DataFrame, by: Sequence[str], first: str | None = None, last: str | None = None) -> DataFrame:
+    """About how many authors each group of daily_authors' rows has, over the days from first to last, both included and both optional."""
+    rows = daily if first is None else daily.where(F.col("metric_date") >= F.lit(first).cast("date"))
+    rows = rows if last is None else rows.where(F.col("metric_date") <= F.lit(last).cast("date"))
+    return rows.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("authors")).alias("authors"))

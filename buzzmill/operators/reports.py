@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from buzzmill.functions.text import snippet
 from buzzmill.operators.classify import rebuild_category
+from buzzmill.operators.tables import first_rows
 
 
 def brand_changes(rows: DataFrame, before: Column, after: Column) -> DataFrame:
@@ -22,13 +23,13 @@ def brand_changes(rows: DataFrame, before: Column, after: Column) -> DataFrame:
 def change_examples(rows: DataFrame, before: Column, after: Column, key: str, text: str, samples: int = 50) -> DataFrame:
     """By category of change: mentions, the first one's text as a snippet, and the keys of the first `samples`.
 
-    Keys are cut to the first ones after each partial step, so a large category is no large list.
+    Each task keeps the first keys of a category alone before the shuffle, so a category's rows are never together.
     """
-    told = rows.select(rebuild_category(before, after).alias("category"), F.col(key), snippet(F.col(text)).alias("text"))
-    first = told.groupBy("category").agg(F.count("*").alias("mentions"), F.min_by("text", key).alias("example"))
-    buckets = told.groupBy("category", F.pmod(F.xxhash64(key), F.lit(64)).alias("b")).agg(F.slice(F.array_sort(F.collect_list(key)), 1, samples).alias("keys"))
-    keys = buckets.groupBy("category").agg(F.slice(F.array_sort(F.flatten(F.collect_list("keys"))), 1, samples).alias("samples"))
-    return first.join(keys, "category")
+    told = rows.select(rebuild_category(before, after).alias("category"), F.col(key).alias("_key"), snippet(F.col(text)).alias("text"))
+    first = told.groupBy("category").agg(F.count("*").alias("mentions"), F.min_by("text", "_key").alias("example"))
+    few = first_rows(told.where("_key is not null").select("category", "_key"), ["category"], ["_key"], samples)
+    keys = few.groupBy("category").agg(F.array_sort(F.collect_list("_key")).alias("samples"))
+    return first.join(keys, first["category"].eqNullSafe(keys["category"]), "left").select(first["category"], "mentions", "example", F.coalesce("samples", F.array().cast(keys.schema["samples"].dataType)).alias("samples"))
 
 
 def replacements(rows: DataFrame, before: Column, after: Column) -> DataFrame:

@@ -1,5 +1,5 @@
 """plans of the mention engine."""
 
-from buzzmill.plans import crawl, labels, pages, posts, queries, records, reports, streams, texts
+from buzzmill.plans import crawl, feeds, labels, pages, posts, queries, records, reports, streams, texts
 
-__all__ = ["crawl", "labels", "pages", "posts", "queries", "records", "reports", "streams", "texts"]
+__all__ = ["crawl", "feeds", "labels", "pages", "posts", "queries", "records", "reports", "streams", "texts"]
