@@ -13,8 +13,6 @@ from buzzmill.functions.text import canonical_url, let, strip_marks
 PLATFORMS = {"facebook": r"facebook\.com|fb\.com|fb\.watch", "tiktok": r"tiktok\.com", "youtube": r"youtube\.com|youtu\.be", "instagram": r"instagram\.com", "threads": r"threads\.(?:net|com)", "google": r"google\.[a-z.]+/maps|goo\.gl/maps"}
 # Ids within addresses.
 POST_IDS = {"tiktok": r"/(?:video|photo)/(\d+)", "youtube": r"(?:[?&]v=|youtu\.be/|/shorts/|/embed/)([A-Za-z0-9_-]{6,})", "instagram": r"/(?:p|reel|tv)/([A-Za-z0-9_-]+)", "threads": r"/post/([A-Za-z0-9_-]+)", "facebook": r"(?:/posts/|/videos/|/reel/|story_fbid=|fbid=|/permalink/)([A-Za-z0-9]+)"}
-# Words of buttons and menus that are no comment.
-BUTTONS = ("like", "reply", "share", "follow", "following", "more", "see more", "see translation", "view replies", "hide", "author", "edited", "thích", "trả lời", "chia sẻ", "theo dõi", "xem thêm", "xem bản dịch", "ẩn", "tác giả")
 
 
 def merge_maps(old: Column, new: Column) -> Column:
@@ -50,12 +48,6 @@ def record_id(record: Column, n: int = 20) -> Column:
     return F.substring(F.sha1(F.to_json(record).cast("binary")), 1, n)
 
 
-def safe_identifier(value: Column) -> Column:
-    """Digits that a double holds exactly, without leading zeros; null for others."""
-    n = F.when(F.trim(value).rlike(r"^\d{1,16}$"), F.trim(value).try_cast("long"))
-    return F.when(n <= (1 << 53) - 1, n)
-
-
 def id_and_name(stem: Column) -> Column:
     """Struct of a file's stem: what stands before its first underscore, and after; without one, both are the stem."""
     parts = F.split(stem, "_", 2)
@@ -90,42 +82,6 @@ def folder_slug(path: Column) -> Column:
     return F.nullif(F.nullif(F.regexp_extract(F.translate(path, "\\", "/"), r"/processed/([^/]+)/", 1), F.lit("")), F.lit("default_film"))
 
 
-def engagement_prefix(caption: Column) -> Column:
-    """Struct of a caption "1,234 likes, 56 comments - name on date: "text"": likes, comments, and the text."""
-    from buzzmill.functions.times import compact_count
-
-    pattern = r'(?s)^\s*([0-9.,KMBkmb]+) likes?, ([0-9.,KMBkmb]+) comments? - [^:]*?:\s*"?(.*?)"?\.?\s*$'
-    hit = caption.rlike(pattern)
-    part = lambda k: F.when(hit, F.regexp_extract(caption, pattern, k))
-    return F.struct(compact_count(part(1)).alias("likes"), compact_count(part(2)).alias("comments"), F.coalesce(part(3), caption).alias("text"))
-
-
-def is_comment_text(text: Column) -> Column:
-    """Whether a line can be a comment: not empty, no button, no time alone, with a letter or digit."""
-    flat = F.lower(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")))
-    return F.coalesce((flat != "") & ~flat.isin(*BUTTONS) & ~flat.rlike(r"^\d+\s*(?:[smhdw]|mo|y)$") & flat.rlike(r"[\p{L}\p{N}]"), F.lit(False))
-
-
-def clean_place_text(text: Column, shortest: int = 12) -> Column:
-    """A place review without notes of translation, collapsed; empty if fewer than `shortest` characters are left."""
-    bare = F.regexp_replace(text, r"(?iu)\(?(?:translated by google|đã dịch bằng google|see original|xem bản gốc)\)?", " ")
-    flat = F.trim(F.regexp_replace(bare, r"(?U)\s+", " "))
-    return F.when(F.length(flat) >= shortest, flat).otherwise(F.lit(""))
-
-
-def not_keyword(author: Column, keywords: Column) -> Column:
-    """The author's name; empty where it is one of the terms that were searched for, or a hashtag."""
-    key = lambda c: F.regexp_replace(strip_marks(c, True), r"[^a-z0-9]+", "")
-    same = F.exists(F.coalesce(keywords, F.array().cast("array<string>")), lambda k: key(k) == key(author))
-    return F.when(same | author.startswith("#"), F.lit("")).otherwise(F.coalesce(author, F.lit("")))
-
-
-def noise(text: Column, shortest: int = 3) -> Column:
-    """Too short, without letters, or a page's own words."""
-    flat = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "))
-    return (F.length(flat) < shortest) | ~flat.rlike(r"\p{L}") | flat.rlike(r"(?iu)^(?:see more|xem thêm|log in|đăng nhập|sign up|follow|theo dõi)$") | flat.rlike(r"(?iu)\d[\d.,kmb]* followers? [·•-]")
-
-
 def unescaped(text: Column) -> Column:
     """Text whose \\n, \\" and \\uXXXX escapes are resolved as in JSON; as it is where that fails."""
     quoted = F.concat(F.lit('{"t":"'), F.regexp_replace(text, r'(?<!\\)"', r'\\"'), F.lit('"}'))

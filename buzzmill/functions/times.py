@@ -128,18 +128,31 @@ def not_crawl_clock(at: Column, crawled: Column, seconds: int = 2) -> Column:
     return F.when(F.coalesce(F.abs(F.unix_timestamp(at) - F.unix_timestamp(crawled)) > seconds, F.lit(True)), at)
 
 
+# How news write dates, each kind with the order of day, month and year.
+NEWS_DATES = (
+    (r"\b\d{1,2}[/.-]\d{1,2}[/.-]20\d{2}\b", (0, 1, 2)),
+    (r"\b(?:January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec)\.?\s+\d{1,2},?\s+20\d{2}\b", (1, 0, 2)),
+    (r"\b\d{1,2}\s+th[aá]ng\s+\d{1,2},?\s+20\d{2}\b", (0, 1, 2)),
+)
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
 def dates_in(text: Column, first_year: int, last_year: int) -> Column:
-    """Valid dates d/m/yyyy, d.m.yyyy, d-m-yyyy or "ngày d tháng m năm yyyy" of a text in order, each once, of the years given."""
-    pattern = r"(?iuU)\d{1,2}[/.-]\d{1,2}[/.-]\d{4}|\d{1,2}\s*tháng\s*\d{1,2}\s*(?:,|năm)?\s*\d{4}|\b\d{4}-\d{2}-\d{2}\b"
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
+    """Valid dates of a text, of the years given, repeats kept: first those written d/m/yyyy, then "July 24, 2026", then "24 tháng 7 2026"."""
 
-    def date(x: Column) -> Column:
-        parts = F.regexp_extract_all(x, F.lit(r"\d+"), F.lit(0))
-        iso = F.length(F.get(parts, F.lit(0))) == 4
-        padded = lambda k: F.lpad(F.get(parts, F.lit(k)), 2, "0")
-        return F.when(iso, x).otherwise(F.concat_ws("-", F.get(parts, F.lit(2)), padded(1), padded(0))).try_cast("date")
+    def dates(pattern: str, order: tuple[int, int, int]) -> Column:
+        def date(x: Column) -> Column:
+            parts = F.regexp_extract_all(x, F.lit(r"\p{L}+|\d+"), F.lit(0))
+            parts = F.filter(parts, lambda p: ~F.lower(p).isin("tháng", "thang"))
+            at = [F.get(parts, F.lit(k)) for k in order]
+            named = (F.position(F.lower(F.substring(F.get(parts, F.lit(0)), 1, 3)), F.lit(MONTHS)) + 2) / 3
+            month = named.cast("int").cast("string") if order[0] == 1 else at[1]
+            return F.concat_ws("-", at[2], F.lpad(month, 2, "0"), F.lpad(at[0], 2, "0")).try_cast("date")
 
-    return F.array_distinct(F.filter(F.transform(found, date), lambda d: d.isNotNull() & F.year(d).between(first_year, last_year)))
+        found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?iuU){pattern}"), F.lit(0))
+        return F.filter(F.transform(found, date), lambda d: d.isNotNull() & F.year(d).between(first_year, last_year))
+
+    return F.concat(*[dates(p, o) for p, o in NEWS_DATES])
 
 
 # Kinds of a film's milestones in order.
@@ -163,13 +176,18 @@ def duration(seconds: Column) -> Column:
 
 
 def content_time(value: Column) -> Column:
-    """Seconds, milliseconds (above 10**12), or ISO text, as an instant; null if none."""
+    """Seconds, milliseconds (above 10**12), or ISO text, as an instant; null if none, or 0."""
     n = F.when(value.rlike(r"^\d{9,13}$"), value.try_cast("long"))
-    return F.when(n > 10**12, F.timestamp_millis(n)).when(n.isNotNull(), F.timestamp_seconds(n)).otherwise(F.when(~value.rlike(r"^\d+$"), value.try_cast("timestamp")))
+    return F.when(n == 0, None).when(n > 10**12, F.timestamp_millis(n)).when(n.isNotNull(), F.timestamp_seconds(n)).otherwise(F.when(~value.rlike(r"^\d+$"), value.try_cast("timestamp")))
+
+
+# Keys of creation times in pages, numbers first, and keys of written times.
+CREATED_KEYS, CREATED_TEXTS = ("createTime", "create_time", "taken_at_timestamp", "taken_at", "published_time"), ("datePublished", "uploadDate")
 
 
-def created_in_html(html: Column, patterns: tuple[str, ...] = (r'"createTime"\s*:\s*"?(\d{9,13})', r'"create_time"\s*:\s*"?(\d{9,13})', r'"taken_at"\s*:\s*"?(\d{9,13})', r'"datePublished"\s*:\s*"([^"]+)"')) -> Column:
-    """The first creation time that a page states, by the patterns in order."""
+def created_in_html(html: Column) -> Column:
+    """The creation time that a page states: the first of each key is read, and the first key with a readable one counts."""
+    patterns = [rf'"{k}"\s*:\s*"?(\d{{9,13}})"?' for k in CREATED_KEYS] + [rf'"{k}"\s*:\s*"([^"]+)"' for k in CREATED_TEXTS]
     return F.coalesce(*[content_time(_part(html, p)) for p in patterns])
 
 

@@ -69,26 +69,33 @@ def brands(text: Column, permalink: Column | None = None, author: Column | None
     return let(collapse(_joined(*[p for p in (text, permalink, author) if p is not None])), tags)
 
 
+#: By brand: terms of which one must be in a text, terms that must not be, and a word that is enough in a cinema's context.
+KEEP = {
+    "glx": ((*P.KEEP_GLX, *[f"galaxy {p}" for p in P.KEEP_GLX_PLACES]), P.DROP_GLX, None),
+    "cgv": (P.KEEP_CGV, (), None),
+    "lotte": (P.KEEP_LOTTE, P.DROP_LOTTE, None),
+    "beta": (P.KEEP_BETA, P.DROP_BETA, "beta"),
+    "bhd": (P.KEEP_BHD, (), "bhd"),
+    "cinestar": (P.KEEP_CINESTAR, (), None),
+}
+
+
 def brand_keyword_keep(text: Column, brand: Column) -> Column:
-    """Whether a mention linked to a brand is kept: the brand's keyword is in its text, and none that belongs to others.
+    """Whether a mention linked to a brand is kept: a keyword of the brand is in its text, and none that belongs to others.
 
     A coarser test than `brands`, made for joins: a single condition over a text and a brand.
     """
-    low = F.lower(F.coalesce(text, F.lit("")))
-    glx = ["rapgalaxy", "rvpgalaxy", "rxpgalaxy", "jaipur", "india", "ấn độ", "naroda", "avenue", "samsung", *[f"galaxy {x}" for x in ("note", "tab", "watch", "bud", "z fold", "z flip")]]
-    lotte = [f"lotte {x}" for x in ("mart", "hotel", "duty free", "department", "tower")]
-    beta = ["beta version", "beta test", "beta male", "phiên bản beta", "phien ban beta"]
-    context = matches(low, P.CINEMA_CONTEXT.replace(r"\b", ""))
-    word = lambda w: matches(low, rf"\b{w}\b") & context
-    keep = {
-        "glx": holds_any(low, P.GLX_TERMS) & ~holds_any(low, glx),
-        "cgv": low.contains("cgv"),
-        "lotte": holds_any(low, ["lotte cine", "#lottecinema"]) & ~holds_any(low, lotte),
-        "beta": (holds_any(low, ["beta cinemas", "beta cineplex", *P.both("rạp beta"), "#betacinemas", *P.BETA_BRANCHES]) | word("beta")) & ~holds_any(low, beta),
-        "bhd": holds_any(low, ["bhd star", "bhd cineplex", "#bhdstar"]) | word("bhd"),
-        "cinestar": holds_any(low, ["cinestar", "cine star"]),
-    }
-    return F.coalesce(reduce(lambda out, kv: out.when(brand == kv[0], kv[1]), list(keep.items())[1:], F.when(brand == "glx", keep["glx"])), F.lit(False))
+
+    def told(low: Column) -> Column:
+        out = F
+        for name, (wanted, unwanted, word) in KEEP.items():
+            found = holds_any(low, wanted)
+            if word:
+                found = found | matches(low, rf"\b{word}\b") & matches(low, P.KEEP_CONTEXT)
+            out = out.when(brand == name, found & ~holds_any(low, unwanted))
+        return out.otherwise(F.lit(False))
+
+    return let(F.lower(F.coalesce(text, F.lit(""))), told)
 
 
 def purge_unproved(mentions: DataFrame, bridge: DataFrame) -> DataFrame:

@@ -113,13 +113,18 @@ def galaxy_terms(terms: DataFrame, hint: str = "galaxy") -> DataFrame:
     return terms.where(F.regexp_replace(F.lower("term"), r"[\s_-]+", "").contains(hint))
 
 
-def is_place_of(url: Column, names: Sequence[str] = ("galaxy cinema", "galaxy cine", "rạp galaxy")) -> Column:
-    """Whether a map's address is the place of one of the names."""
-    plain = F.lower(F.regexp_replace(F.coalesce(F.try_url_decode(url), url), r"[+_-]+", " "))
-    out = F.lit(False)
-    for n in names:
-        out = out | plain.contains(n)
-    return plain.contains("/maps/place/") & out
+# The brand's word in a place's name, and words of other places.
+PLACE, OTHER_PLACES = "galaxy", ("tourist", "cgv", "lotte", "bhd", "cinestar")
+
+
+def is_place_of(url: Column, name: str = PLACE, others: Sequence[str] = OTHER_PLACES) -> Column:
+    """Whether a map's address is a place of the name: what stands between /maps/place/ and /data= holds it, and none of the others."""
+    plain = F.lower(F.coalesce(F.try_url_decode(url), url))
+    place = F.get(F.split(F.element_at(F.split(plain, "/maps/place/", 2), -1), "/data=", 2), F.lit(0))
+    out = plain.contains("maps/place/") & place.contains(name)
+    for other in others:
+        out = out & ~place.contains(other)
+    return F.coalesce(out, F.lit(False))
 
 
 def with_language(url: Column, language: str = "vi") -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from buzzmill.functions.records import clean_place_text
+from buzzmill.functions.cleaning import place_author, place_review
+from buzzmill.functions.records import record_id
 from buzzmill.functions.times import comment_occurred_at, compact_count, occurred_at
 from buzzmill.operators.classify import brands, market, sentiment
 
@@ -33,19 +34,34 @@ def post_mentions(items: DataFrame, now: Column) -> DataFrame:
 
 
 def comment_mentions(comments: DataFrame, now: Column) -> DataFrame:
-    """Mentions of comments (platform, post_id, external_id, author, text, created_at, post_created_at, post_text, place).
+    """Mentions of comments (platform, post_id, external_id, author, text, created_at, url; of the post: post_created_at, post_text, page_name, post_url, search_keyword).
 
-    Place reviews are cleaned and take the brands of the place's name where their own text has none; a comment that
-    repeats its post's text is a quote of the parent and goes. Comments without a brand or of other markets are none.
+    Place reviews and their authors are cleaned. On threads, another's comment that repeats the post is a quote of it and goes. A
+    comment's brands are those of its text, link (its own or the post's) and author; a place review without one takes those of the
+    place's name, text, address and search term. Comments without a brand or of other markets are none, as are those without
+    any time, but for place reviews, which get `now`. A missing external_id is made from the comment. rating is kept if there is one.
     """
-    google = F.col("platform") == "google"
-    rows = comments.withColumn("t", F.when(google, clean_place_text(F.col("text"))).otherwise(F.trim("text"))).where("t <> ''")
-    rows = rows.where(~((F.col("platform") == "threads") & F.coalesce(F.trim("post_text") == F.col("t"), F.lit(False))))
-    own, place = brands(F.col("t")), brands(F.col("place"))
-    rows = rows.withColumn("brands", F.when((F.size(own) == 0) & google, place).otherwise(own)).where(F.size("brands") > 0)
-    rows = rows.where(market(F.concat_ws(" ", "t", F.when(google, F.col("place"))), None, F.col("author"), F.col("platform")) == "vietnam")
-    rows = rows.withColumn("o", comment_occurred_at(F.col("created_at"), F.col("post_created_at"), F.col("t"), now)).where("o.at is not null")
-    return rows.select("platform", "post_id", "external_id", F.col("author").alias("author_key"), F.col("t").alias("content_text"), sentiment(F.col("t")).alias("sentiment"), F.col("o.at").alias("occurred_at"), _metadata(date_source=F.col("o.date_source")).alias("metadata"), "brands")
+    given = {"url", "external_id", "rating", "page_name", "post_url", "search_keyword"} - set(comments.columns)
+    rows = comments.withColumns({c: F.lit(None).cast("string") for c in given})
+    empty, at_all = F.lit(""), F.col("o.at").isNotNull()
+    rows = rows.withColumn("o", comment_occurred_at(F.col("created_at"), F.col("post_created_at"), F.coalesce("text", empty), now))
+    rows = rows.withColumn("link", F.coalesce(F.nullif(F.trim("url"), empty), F.nullif(F.trim("post_url"), empty)))
+    is_place = F.col("platform") == "google"
+    # cleaned twice, as a card may hold another card
+    places = rows.where(is_place).withColumn("author", place_author(F.col("author"))).withColumn("t", place_review(F.col("text"))).withColumn("t", place_review(F.col("t")))
+    name = lambda c: F.lower(F.ltrim(F.coalesce(c, empty), F.lit("@")))
+    quoted = (F.col("platform") == "threads") & (name("page_name") != "") & (name("author") != "") & (name("page_name") != name("author")) & (F.trim("post_text") == F.trim("t"))
+    others = rows.where(~F.coalesce(is_place, F.lit(False)) & at_all).withColumn("author", F.coalesce("author", empty)).withColumn("t", F.coalesce("text", empty)).where(~F.coalesce(quoted, F.lit(False)))
+    both = places.unionByName(others).where(F.trim("t") != "").withColumn("brands", brands(F.col("t"), F.col("link"), F.col("author")))
+    place = F.concat_ws(" ", *[F.coalesce(c, empty) for c in ("page_name", "post_text", "post_url", "search_keyword")])
+    unnamed = both.where(is_place & (F.size("brands") == 0)).withColumn("brands", brands(place, F.col("post_url"), F.col("page_name")))
+    found = both.where(F.size("brands") > 0).unionByName(unnamed.where(F.size("brands") > 0))
+    found = found.where(market(F.col("t"), F.col("link"), F.col("author"), F.col("platform")) == "vietnam")
+    made = record_id(F.struct("author", "created_at", "post_id", F.col("t").alias("text")))
+    return found.select(
+        "platform", "post_id", F.coalesce(F.nullif(F.trim("external_id"), empty), made).alias("external_id"), F.col("author").alias("author_key"), F.col("t").alias("content_text"),
+        sentiment(F.col("t")).alias("sentiment"), F.coalesce("o.at", now).alias("occurred_at"), F.col("link").alias("permalink"), _metadata(date_source=F.col("o.date_source"), rating=F.col("rating")).alias("metadata"), "brands",
+    )
 
 
 def upsert_mentions(old: DataFrame, new: DataFrame, key: str = "post_id", seq: str = "seq") -> DataFrame:

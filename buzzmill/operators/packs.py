@@ -129,3 +129,21 @@ REGION_CINEMA = {
     "Bình Dương": r"thuận\s*an|thủ\s*dầu\s*một",
 }
 REGION_AUTHOR = {"HCM": r"tuổi\s*trẻ|tuoitre|thanhnien|kenh14|soha|znews", "HN": r"vnexpress|dantri|vov|vietnam\.vn|cafef|baotintuc"}
+
+# What a text linked to a brand must hold to be kept in joins, and must not. Lower case.
+KEEP_GLX = ("galaxy cinema", "galaxy cine", "rạp galaxy", "rap galaxy", "#galaxycinema", "#galaxymovie")
+KEEP_GLX_PLACES = (
+    "nguyễn du", "nguyen du", "tân bình", "tan binh", "kinh dương", "kinh duong", "quang trung", "sư vạn hạnh", "su van hanh", "mipec", "hn centre", "hanoi centre", "hà nội", "ha noi",
+    "đà nẵng", "da nang", "bmt", "buôn mê", "buon me", "nha trang", "cần thơ", "can tho", "long xuyên", "long xuyen",
+)
+DROP_GLX = ("rapgalaxy", "rvpgalaxy", "rxpgalaxy", "jaipur", "india", "ấn độ", "naroda", "avenue", "samsung", "galaxy note", "galaxy tab", "galaxy watch", "galaxy bud", "galaxy z fold", "galaxy z flip")
+KEEP_CGV = ("cgv",)
+KEEP_LOTTE = ("lotte cine", "#lottecinema")
+DROP_LOTTE = ("lotte mart", "lotte hotel", "lotte duty free", "lotte department", "lotte tower")
+KEEP_BETA = (
+    "beta cinemas", "beta cineplex", "rạp beta", "rap beta", "#betacinemas", "beta xuân th", "beta xuan thuy", "beta tây sơn", "beta tay son", "beta aeon", "beta thanh xu", "beta gia lai", "beta biên hòa", "beta bien hoa",
+)
+DROP_BETA = ("beta version", "beta test", "beta male", "phiên bản beta", "phien ban beta")
+KEEP_BHD = ("bhd star", "bhd cineplex", "#bhdstar")
+KEEP_CINESTAR = ("cinestar", "cine star")
+KEEP_CONTEXT = r"r[aạ]p|xem\s*phim|v[eé]|su[aấ]t\s*chi[eế]u|ph[oò]ng\s*chi[eế]u|l[iị]ch\s*chi[eế]u|[đd][aặ]t\s*v[eé]|imax|4dx|screenx|cinema|cineplex"

@@ -35,26 +35,6 @@ def import_posts(spark, sf_dir):
     return m.select("post_id", "sentiment", F.array_join("brands", ",").alias("brands"), F.col("occurred_at").cast("timestamp_ntz").alias("occurred_at"), F.try_element_at("metadata", F.lit("date_source")).alias("date_source"), F.try_element_at("metadata", F.lit("like_count")).alias("likes"), "verified")
 
 
-COMMENTS = [
-    ("tiktok", "rạp galaxy tốt", "", "positive", "glx"), ("google", "Phòng sạch và nhân viên rất tốt", "Galaxy Cinema Nguyễn Du", "positive", "glx"), ("google", "ok", "Galaxy Cinema", None, None), ("threads", "quote", "", None, None),
-    ("facebook", "không liên quan", "", None, None),
-]
-
-
-@query(
-    f"""SELECT event_id::VARCHAR AS external_id, sentiment, brands, CASE WHEN event_id % 2 = 0 THEN 'parsed' ELSE 'post_inferred' END AS date_source
-FROM events JOIN {values([c[3:] for c in COMMENTS], "sentiment", "brands")} ON k = event_id % {len(COMMENTS)} WHERE brands IS NOT NULL"""
-)
-def import_comments(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    rows = e.select(
-        pick(COMMENTS, 0, "event_id").alias("platform"), F.lit("p").alias("post_id"), F.col("event_id").cast("string").alias("external_id"), F.col("user_id").cast("string").alias("author"), pick(COMMENTS, 1, "event_id").alias("text"),
-        F.when(F.col("event_id") % 2 == 0, "2026-09-02").otherwise("").alias("created_at"), F.lit("2026-09-01").alias("post_created_at"), F.lit("quote").alias("post_text"), pick(COMMENTS, 2, "event_id").alias("place"),
-    )
-    m = imports.comment_mentions(rows, now())
-    return m.select("external_id", "sentiment", F.array_join("brands", ",").alias("brands"), F.try_element_at("metadata", F.lit("date_source")).alias("date_source"))
-
-
 @query(
     """WITH e AS (SELECT event_id, user_id AS post_id, event_id % 3 AS k, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS s, ts, event_id % 2 = 0 AS v FROM events),
 o AS (SELECT * FROM e WHERE k = 0), n AS (SELECT * FROM e WHERE k <> 0), a AS (SELECT *, 0 AS g, true AS w FROM o UNION ALL SELECT *, 1, v FROM n)
@@ -147,13 +127,6 @@ def news_merge(spark, sf_dir):
     return crawl.news_merge(found, known, F.col("keyword") != "error", 5 * 10**9).select("post_id", "event_id")
 
 
-@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN true WHEN 1 THEN false ELSE true END AS place, CASE doc_id % 3 WHEN 0 THEN 'https://www.google.com/maps/place/Galaxy+Cinema+X?hl=vi' WHEN 1 THEN 'https://www.google.com/maps/place/CGV?z=1&hl=vi' ELSE 'https://www.google.com/maps/place/R%E1%BA%A1p+Galaxy?hl=vi' END AS url FROM documents")
-def place_urls(spark, sf_dir):
-    urls = [("https://www.google.com/maps/place/Galaxy+Cinema+X",), ("https://www.google.com/maps/place/CGV?hl=en&z=1",), ("https://www.google.com/maps/place/R%E1%BA%A1p+Galaxy?hl=en",)]
-    u = pick(urls, 0)
-    return table(spark, sf_dir, "documents").select("doc_id", crawl.is_place_of(u).alias("place"), crawl.with_language(u).alias("url"))
-
-
 @query("SELECT DISTINCT p_name AS term FROM part WHERE contains(regexp_replace(lower(p_name), '[ _-]', '', 'g'), 'red')")
 def brand_terms(spark, sf_dir):
     return crawl.galaxy_terms(table(spark, sf_dir, "part").select(F.col("p_name").alias("term")), "red").distinct()
@@ -219,13 +192,6 @@ def latest_comment(spark, sf_dir):
     return c.groupBy("conv_id").agg(F.max(at).cast("timestamp_ntz").alias("latest"))
 
 
-@query(f"SELECT doc_id, length(trim(regexp_replace(t, '\\s+', ' ', 'g'))) < 3 OR NOT regexp_matches(t, '\\p{{L}}') OR phrase = 'see more' AS noise FROM (SELECT doc_id, phrase, CASE WHEN phrase = '' THEN coalesce(text, '') ELSE phrase END AS t FROM documents JOIN {values([('',), ('see more',), ('12 !!',), ('ok',), ('phim',)], 'phrase')} ON k = doc_id % 5)")
-def noise_labels(spark, sf_dir):
-    cases = [("",), ("see more",), ("12 !!",), ("ok",), ("phim",)]
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", R.noise(F.when(pick(cases, 0) == "", F.col("text")).otherwise(pick(cases, 0))).alias("noise"))
-
-
 @query(f"{MENTIONS} SELECT mention_id FROM m QUALIFY row_number() OVER (PARTITION BY user_id, k ORDER BY occurred_at, mention_id) = 1")
 def dedupe_post_mentions(spark, sf_dir):
     """Of the mentions of a post (user and k) the earliest stays, combined before the shuffle."""
