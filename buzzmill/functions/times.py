@@ -134,7 +134,6 @@ NEWS_DATES = (
     (r"\b(?:January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec)\.?\s+\d{1,2},?\s+20\d{2}\b", (1, 0, 2)),
     (r"\b\d{1,2}\s+th[aá]ng\s+\d{1,2},?\s+20\d{2}\b", (0, 1, 2)),
 )
-MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
 def dates_in(text: Column, first_year: int, last_year: int) -> Column:
@@ -145,8 +144,8 @@ def dates_in(text: Column, first_year: int, last_year: int) -> Column:
             parts = F.regexp_extract_all(x, F.lit(r"\p{L}+|\d+"), F.lit(0))
             parts = F.filter(parts, lambda p: ~F.lower(p).isin("tháng", "thang"))
             at = [F.get(parts, F.lit(k)) for k in order]
-            named = (F.position(F.lower(F.substring(F.get(parts, F.lit(0)), 1, 3)), F.lit(MONTHS)) + 2) / 3
-            month = named.cast("int").cast("string") if order[0] == 1 else at[1]
+            named = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.substring(F.get(parts, F.lit(0)), 1, 3)))
+            month = named.cast("string") if order[0] == 1 else at[1]
             return F.concat_ws("-", at[2], F.lpad(month, 2, "0"), F.lpad(at[0], 2, "0")).try_cast("date")
 
         found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?iuU){pattern}"), F.lit(0))

@@ -55,6 +55,55 @@ def youtube_posts(spark, sf_dir):
     return _told(posts.youtube_posts(_details(spark, sf_dir, html, lambda n: F.concat(F.lit("https://youtu.be/"), video(n)))))
 
 
+@query(
+    """SELECT CASE WHEN page_id % 2 = 0 THEN 'Sc' || page_id ELSE 'Url' || page_id END AS post_id, CASE page_id % 3 WHEN 0 THEN 'alt' WHEN 1 THEN 'Og Name' ELSE 'owner_' || page_id END AS page_name, CASE page_id % 3 WHEN 0 THEN 'cap' ELSE 'og "text"' END AS post_text,
+  CASE page_id % 3 WHEN 0 THEN 7 ELSE 1234 END AS likes, CASE page_id % 3 WHEN 0 THEN 9 ELSE 56 END AS comments, CASE page_id % 3 WHEN 0 THEN '2024-09-10 10:00:00' WHEN 1 THEN '2024-09-10 10:00:01' ELSE '2026-09-08 12:00:00' END AS created,
+  CASE WHEN page_id % 4 = 3 THEN 'body: first/2026-09-10 09:00:00' ELSE 'comment:a-' || page_id || ': hay/2026-09-10 09:00:00,comment:b-' || page_id || ': hay/-' END AS told FROM pages WHERE page_id % 5 <> 0"""
+)
+def instagram_posts(spark, sf_dir):
+    """Every third page has data, one a description and times, and one the text's labels alone; every fourth has no crawled comments."""
+    k = F.col("page_id") % 3
+    data = '<script type="application/ld+json">{"caption":" cap ","author":{"alternateName":"alt"},"uploadDate":"2024-09-10T10:00:00Z","interactionStatistic":[{"interactionType":{"@type":"https://x/LikeAction"},"userInteractionCount":7},{"interactionType":{"@type":"CommentAction"},"userInteractionCount":"9"}]}</script>'
+    described = '<meta x property="og:description" content="1,234 likes, 56 comments - o on July 1: &quot;og &quot;text&quot;&quot;">'.replace("&quot;og &quot;text&quot;&quot;", "og &quot;text&quot;")
+    og = described + '<meta property="og:title" content="Og Name on Instagram"> "taken_at":1725962500,"taken_at_timestamp":1725962401,"taken_at":12345678901'
+    owner = lambda n: F.concat(F.lit(described + ' "owner":{"id":"1","username":"owner_'), n, F.lit('"'))
+    code = lambda n: F.when(F.col("page_id") % 2 == 0, F.concat(F.lit(' "shortcode":"Sc'), n, F.lit('" '))).otherwise("")
+    html = lambda n: F.concat(F.when(k == 0, F.lit(data)).when(k == 1, F.lit(og)).otherwise(owner(n)), code(n))
+    d = _details(spark, sf_dir, html, lambda n: F.concat(F.lit("https://www.instagram.com/p/Url"), n, F.lit("/?x=1")))
+    body = F.lit("owner.x\n2d\ncaption here\nanna\n3h\nfirst")
+    d = d.withColumn("body_text", body).withColumn("comment_count_observed", F.lit(99)).withColumn("crawled_comments", F.when(F.col("page_id") % 4 == 3, F.array().cast(posts.CRAWLED)).otherwise(F.col("crawled_comments")))
+    at = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("-"))
+    told = F.array_join(F.transform("comments", lambda c: F.concat(F.when(c["text"] == "first", F.lit("body: ")).otherwise(F.concat(c["external_id"], F.lit(": "))), c["text"], F.lit("/"), at(c["created_at"]))), ",")
+    return posts.instagram_posts(d).select("post_id", "page_name", "post_text", F.col("stats.like_count").alias("likes"), F.col("stats.comment_count").alias("comments"), at(F.col("post_created_at")).alias("created"), told.alias("told"))
+
+
+@query(
+    """SELECT CASE page_id % 3 WHEN 0 THEN page_id::VARCHAR WHEN 1 THEN '1a:2b' ELSE 'galaxy_cinema_' || page_id END AS post_id, CASE page_id % 3 WHEN 1 THEN 'galaxy' ELSE 'Galaxy Cinema ' || page_id END AS page_name, 4.5::DOUBLE AS rating, CASE WHEN page_id % 2 = 0 THEN '' ELSE '12 Nguyen Du' END AS address,
+  'r1/An/Phòng sạch, ghế tốt/2026-09-10 09:00:00/5.0,r2/Bình/rất hài lòng lắm/2026-09-01 00:00:00/-' AS told FROM pages"""
+)
+def place_posts(spark, sf_dir):
+    """Places by number, by code and by title; a review comes twice, one is too short, and one has no id."""
+    p, n, k = table(spark, sf_dir, "pages"), F.col("page_id").cast("string"), F.col("page_id") % 3
+    review = lambda i, a, t, at, label, stars: F.struct(F.lit(i).alias("external_id"), F.lit(a).alias("author"), F.lit(t).alias("text"), F.lit(at).alias("created_at"), F.lit(label).alias("created_at_label"), F.lit(stars).alias("rating_label"))
+    reviews = F.array(review("r1", "An Local Guide · 3 reviews", "An 3 reviews 3 hours ago Phòng sạch, ghế tốt Like Share", "", "3 hours ago", "5 stars"), review(" r2 ", "Bình", "rất hài lòng lắm …More", "2026-09-01", "", None), review("r1", "x", "another text of it", "", "", ""), review("r3", "x", "short", "", "", ""), review("", "x", "no id but long enough", "", "", ""))
+    url = F.when(k == 0, F.concat(F.lit("https://maps.google.com/?cid="), n)).when(k == 1, F.lit("https://www.google.com/maps/place/x/data=!1s0x1a:2b!2")).otherwise("https://www.google.com/maps/place/y")
+    title = F.when(k == 1, F.lit("Drag to change")).otherwise(F.concat(F.lit(" Galaxy  Cinema "), n, F.lit(" - Google Maps")))
+    title = F.when(k == 2, F.concat(F.lit("Galaxy Cinema "), n)).otherwise(title)
+    d = p.select("page_id", url.alias("url"), F.lit("").alias("current_url"), title.alias("title"), F.when(F.col("page_id") % 2 == 0, "click to remove").otherwise("12  Nguyen Du").alias("address"), F.lit("4,5 stars").alias("rating_text"), F.lit(" galaxy ").alias("search_keyword"), F.lit("2026-09-10T12:00:00Z").alias("crawled_at"), reviews.cast(posts.REVIEW).alias("crawled_reviews"))
+    at = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    told = F.array_join(F.transform("comments", lambda c: F.concat_ws("/", c["external_id"], c["author"], c["text"], at(c["created_at"]), F.coalesce(c["rating"].cast("string"), F.lit("-")))), ",")
+    return posts.place_posts(d).select("post_id", "page_name", "stats.rating", "stats.address", told.alias("told"))
+
+
+@query("SELECT CASE WHEN doc_id % 2 = 0 THEN doc_id::VARCHAR ELSE 'pf' || doc_id END AS id, coalesce(text, '')[1:20] AS first, trim(coalesce(text, '')) AS post_text, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE '2026-09-03 10:00:00' END AS latest FROM documents WHERE doc_id % 7 <> 0")
+def legacy_posts(spark, sf_dir):
+    """Documents as posts with their text; every seventh is of another site, every fourth has comments without a time."""
+    d, k = documents(spark, sf_dir), F.col("doc_id")
+    c = lambda t, at: F.struct(t.alias("text"), F.when(k % 4 != 0, at).alias("created_at"))
+    rows = d.select(F.when(k % 7 == 0, "tiktok").otherwise("facebook").alias("platform"), F.when(k % 2 == 0, F.concat(F.lit("00"), k.cast("string"))).otherwise(F.concat(F.lit("pf"), k.cast("string"))).alias("post_id"), F.lit("p").alias("page_id"), F.lit("n").alias("page_name"), F.col("text").alias("post_text"), F.array(c(F.substring("text", 1, 20), F.lit("2026-09-02")), c(F.lit("x"), F.lit("2026-09-03T10:00:00Z"))).alias("comments"))
+    return posts.legacy_posts(rows, "film").select("id", F.get("comments_", F.lit(0)).alias("first"), "post_text", F.date_format("created_at_comment", "yyyy-MM-dd HH:mm:ss").alias("latest"))
+
+
 EXAMPLES = [
     ("cgv", "", "CGV Korea", "stale_cgv_korea_foreign_removed"), ("glx", "", "hello", "keyword_only_false_positive_removed"), ("glx", "", "galaxy cinema jaipur", "unrelated_or_stale_untagged"), ("", "cgv", "CGV Menas Mall", "valid_cgv_menas_mall_remains"),
     ("cgv", "cgv", "cgv liberty citypoint", "valid_cgv_liberty_citypoint_remains"), ("cgv", "cgv", "cgv hà nội", "valid_cgv_vietnam_remains"), ("lotte", "lotte", "lotte cinema vietnam", "valid_lotte_vietnam_remains"), ("glx", "glx", "rạp galaxy", "valid_galaxy_vietnam_remains"),

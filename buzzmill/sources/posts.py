@@ -1,14 +1,15 @@
-"""Post records out of crawled detail pages of two sites, in one schema."""
+"""Post records out of crawled detail pages of four sites, in one schema; and the older record of a fifth."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from buzzmill.functions.pages import balanced_json
+from buzzmill.functions.cleaning import compact, engagement_prefix, place_author, place_chrome, place_review, place_title, safe_identifier
+from buzzmill.functions.pages import balanced_json, instagram_comments
 from buzzmill.functions.records import post_id, post_url, script_json
 from buzzmill.functions.text import first_text, let
-from buzzmill.functions.times import compact_count, content_time, relative
+from buzzmill.functions.times import ZONE, compact_count, content_time, media_date, not_crawl_clock, rating, relative
 from buzzmill.operators.crawl import without_stale
 from buzzmill.operators.tables import merge_first
 
@@ -65,3 +66,98 @@ def youtube_posts(details: DataFrame) -> DataFrame:
     comments = _crawled(F.col("crawled_comments"), F.col("_url"), content_time(F.col("crawled_at"))).cast(f"array<{COMMENT}>")
     at = content_time(F.coalesce(get(f"{micro}.publishDate"), get(f"{micro}.uploadDate")))
     return rows.where(video.isNotNull()).select(F.lit("youtube").alias("platform"), video.alias("post_id"), get("$.videoDetails.channelId").alias("page_id"), get("$.videoDetails.author").alias("page_name"), F.col("_url").alias("post_url"), at.alias("post_created_at"), F.coalesce(text, F.lit("")).alias("post_text"), counts.alias("stats"), comments.alias("comments"))
+
+
+# Where a page of the third site holds what; keys of times, of which the earliest is the post's.
+INSTAGRAM_JSON = r'(?s)<script type="application/ld\+json">(\{.*?\})</script>'
+INSTAGRAM_TIMES = (r'"taken_at_timestamp"\s*:\s*(\d{9,12})', r'"taken_at"\s*:\s*(\d{9,12})', r'"caption"\s*:\s*\{[^{}]*?"created_at"\s*:\s*(\d{9,12})', r'"date_published"\s*:\s*(\d{9,12})')
+INSTAGRAM_LD = "caption string, description string, uploadDate string, author struct<alternateName:string>, interactionStatistic array<struct<interactionType:struct<`@type`:string>,userInteractionCount:string>>"
+INSTAGRAM_DATE = r"(?i)((?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|Jun(?:e)?|Jul(?:y)?|Aug(?:ust)?|Sep(?:t(?:ember)?)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)\s+\d{1,2},?\s+\d{4})"
+INSTAGRAM_AGO = r"(?iu)\b(\d+\s*[smhdwy]|just\s+now|\d+\s*(?:second|minute|hour|day|week|month|year)s?\s*ago|\d+\s*(?:giây|phút|giờ|ngày|tuần|tháng|năm)\s*trước)\b"
+PLAUSIBLE_TIMES = (1_000_000_000, 4_000_000_000)
+HEAD_LINES = 12
+
+
+def _found(text: Column, pattern: str, group: int = 1) -> Column:
+    return F.nullif(F.regexp_extract(F.coalesce(text, F.lit("")), pattern, group), F.lit(""))
+
+
+def _meta(html: Column, name: str) -> Column:
+    return _found(html, rf'(?i)<meta[^>]+property="{name}"[^>]+content="([^"]*)"')
+
+
+def instagram_posts(details: DataFrame) -> DataFrame:
+    """Posts of details as for tiktok_posts, with body_text and comment_count_observed.
+
+    The caption is that of the page's data, else of its description, without its counts, which fill in for missing ones; then those
+    observed. The time is the data's, else the earliest plausible one of the page, else a date of the text, none of which is the
+    crawl's own clock; else a label among the text's first lines, counted from the crawl. Comments are the crawled ones, else those
+    of the text, each at its own time, else its label's, else at none.
+    """
+    url = post_url(first_text(F.col("current_url"), F.col("url")))
+    rows = without_stale(details).withColumn("_url", url).withColumn("_ld", F.from_json(_found(F.col("raw_html"), INSTAGRAM_JSON), INSTAGRAM_LD))
+    html, crawled, body = F.col("raw_html"), content_time(F.col("crawled_at")), F.coalesce("body_text", F.lit(""))
+    told = first_text(F.trim(F.coalesce("_ld.caption", "_ld.description")), F.trim(_meta(html, "og:description")))
+    rows = rows.withColumn("_e", engagement_prefix(told))
+    described = F.coalesce(_meta(html, "og:description"), told)
+    counted = lambda k: compact_count(_found(described, r"(?i)([\d.,]+)\s*likes?,\s*([\d.,]+)\s*comments?", k))
+    stated = lambda kind: F.get(F.filter(F.coalesce("_ld.interactionStatistic", F.array().cast("array<struct<interactionType:struct<`@type`:string>,userInteractionCount:string>>")), lambda x: x["interactionType"]["@type"].endswith(kind)), F.lit(0))["userInteractionCount"].try_cast("long")
+    likes = F.coalesce(stated("LikeAction"), counted(1), F.col("_e.likes"))
+    comments_count = F.coalesce(stated("CommentAction"), counted(2), F.col("_e.comments"), F.col("comment_count_observed").try_cast("long"))
+    times = F.flatten(F.array(*[F.transform(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(p), F.lit(1)), lambda x: x.try_cast("long")) for p in INSTAGRAM_TIMES]))
+    earliest = F.array_min(F.filter(times, lambda x: x.between(*PLAUSIBLE_TIMES)))
+    own = F.coalesce(content_time(F.nullif(F.trim("_ld.uploadDate"), F.lit(""))), F.timestamp_seconds(earliest))
+    written = F.to_timestamp(F.to_date(F.try_to_timestamp(F.regexp_replace(_found(body, INSTAGRAM_DATE), r"(?i)^(\w{3})\w*\s+(\d{1,2}),?\s+(\d{4})$", "$1 $2 $3"), F.lit("MMM d yyyy"))))
+    head = F.array_join(F.slice(F.split(body, "\n"), 1, HEAD_LINES), "\n")
+    label = _found(head, INSTAGRAM_AGO)
+    anchored = F.when(crawled.isNotNull(), F.coalesce(relative(label, crawled), F.to_utc_timestamp(media_date(label, crawled), ZONE)))
+    at = F.coalesce(not_crawl_clock(own, crawled), not_crawl_clock(written, crawled), anchored)
+    code = F.coalesce(_found(html, r'"shortcode":"([^"]+)"'), post_id(F.col("_url")))
+    owner = r'"owner":\{"id":"([^"]+)","username":"([^"]+)"'
+    name = first_text(F.trim("_ld.author.alternateName"), F.trim(F.substring_index(_meta(html, "og:title"), " on Instagram", 1)), _found(html, owner, 2))
+    rows = rows.withColumn("_at", at).withColumn("_own", instagram_comments(F.col("body_text"), F.col("_url")))
+    kept = lambda c: (F.coalesce(F.trim(c["external_id"]), F.lit("")) != "") & (F.coalesce(F.trim(c["text"]), F.lit("")) != "")
+    when = lambda given, told: F.coalesce(not_crawl_clock(content_time(given), crawled), relative(told, F.coalesce(crawled, F.col("_at"))))
+    address = lambda c: F.concat(F.col("_url"), F.lit("#comment-"), F.regexp_replace(c["external_id"], "^comment:", ""))
+    listed = F.filter(F.coalesce("crawled_comments", F.array().cast(CRAWLED)), kept)
+    from_list = F.transform(listed, lambda c: F.struct(c["external_id"].alias("external_id"), F.coalesce(F.trim(c["author"]), F.lit("")).alias("author"), F.trim(c["text"]).alias("text"), when(c["created_at"], c["created_at_label"]).alias("created_at"), address(c).alias("url"), F.coalesce(c["parent_comment_id"], F.lit("")).alias("parent_comment_id")))
+    from_text = F.transform(F.filter("_own", kept), lambda c: F.struct(c["external_id"].alias("external_id"), c["author"].alias("author"), c["text"].alias("text"), when(F.lit(None).cast("string"), c["created_at_label"]).alias("created_at"), c["url"].alias("url"), F.lit("").alias("parent_comment_id")))
+    comments = F.when(F.size(F.coalesce("crawled_comments", F.array().cast(CRAWLED))) > 0, from_list.cast(f"array<{COMMENT}>")).otherwise(from_text.cast(f"array<{COMMENT}>"))
+    counts = F.struct(likes.alias("like_count"), comments_count.alias("comment_count"), F.lit(None).cast("bigint").alias("view_count"), F.lit(None).cast("bigint").alias("share_count"))
+    return rows.where(code.isNotNull()).select(F.lit("instagram").alias("platform"), code.alias("post_id"), F.coalesce(_found(html, owner), F.lit("")).alias("page_id"), F.coalesce(name, F.lit("")).alias("page_name"), F.col("_url").alias("post_url"), F.col("_at").alias("post_created_at"), F.coalesce("_e.text", F.lit("")).alias("post_text"), counts.alias("stats"), comments.alias("comments"))
+
+
+# How a place's address holds its id.
+PLACE_ID = (r"(?i)[?&]cid=(\d+)", r"(?i)!1s0x([0-9a-f:]+)")
+REVIEW = "array<struct<external_id:string,author:string,text:string,created_at:string,created_at_label:string,rating_label:string>>"
+
+
+def place_posts(details: DataFrame) -> DataFrame:
+    """Places of details (url, current_url, title, address, rating_text, search_keyword, crawled_at, crawled_reviews) as posts, their reviews as comments.
+
+    A place without an id in its address has its title's slug; with neither it is none. Titles and addresses that are the page's own
+    words are empty, a title then the search term's. Reviews are cleaned; those without an id or text go, of equal ids the first
+    stays. A review's time is its own, else its label's before the crawl, else the crawl's. skip_post_mention: a place is no mention.
+    """
+    url = first_text(F.col("current_url"), F.col("url"))
+    slug = F.regexp_replace(F.regexp_replace(F.lower(compact(F.col("title"))), "[^a-z0-9]+", "_"), "^_+|_+$", "")
+    rows = details.withColumn("_url", F.coalesce(url, F.lit(""))).withColumn("_id", F.coalesce(*[_found(url, p) for p in PLACE_ID], F.nullif(slug, F.lit("")))).where("_id is not null")
+    rows = rows.withColumn("_title", F.coalesce(first_text(place_title(F.col("title")), place_title(F.col("search_keyword"))), F.lit(""))).withColumn("_crawled", content_time(F.col("crawled_at")))
+    at = lambda r: F.coalesce(content_time(F.nullif(F.trim(r["created_at"]), F.lit(""))), relative(r["created_at_label"], F.col("_crawled")), F.col("_crawled"))
+    clean = lambda r: F.struct(compact(r["external_id"]).alias("external_id"), place_author(r["author"]).alias("author"), place_review(r["text"]).alias("text"), at(r).alias("created_at"), rating(r["rating_label"]).alias("rating"), F.col("_url").alias("url"))
+    kept = F.filter(F.transform(F.coalesce("crawled_reviews", F.array().cast(REVIEW)), clean), lambda c: (c["external_id"] != "") & (c["text"] != ""))
+    ids = lambda cs: F.transform(cs, lambda c: c["external_id"])
+    first = let(kept, lambda cs: let(ids(cs), lambda known: F.filter(cs, lambda c, k: F.array_position(known, c["external_id"]) == k + 1)))
+    address = compact(F.col("address"))
+    rows = rows.withColumn("comments", first)
+    stats = F.struct(rating(F.col("rating_text")).alias("rating"), F.size("comments").alias("review_count"), F.when(place_chrome(address), F.lit("")).otherwise(address).alias("address"), F.coalesce(F.trim("search_keyword"), F.lit("")).alias("search_keyword"))
+    return rows.select(F.lit("google_maps").alias("platform"), F.col("_id").alias("post_id"), F.col("_title").alias("page_name"), F.col("_url").alias("post_url"), F.col("_crawled").alias("post_created_at"), F.col("_title").alias("post_text"), stats.alias("stats"), "comments", F.lit(True).alias("skip_post_mention"))
+
+
+def legacy_posts(posts: DataFrame, film: str) -> DataFrame:
+    """The older record of one site's posts (platform, post_id, page_id, page_name, post_text, comments): identifiers, comments as texts, and the latest time of a comment."""
+    rows = posts.where((F.col("platform") == "facebook") & (F.coalesce(F.trim("post_id"), F.lit("")) != ""))
+    texts = F.transform("comments", lambda c: F.coalesce(c["text"], F.lit("")))
+    latest = F.array_max(F.transform("comments", lambda c: content_time(c["created_at"])))
+    number = lambda c: safe_identifier(F.col(c)).alias(c)
+    return rows.select(safe_identifier(F.col("post_id")).alias("id"), "platform", number("post_id"), number("page_id"), F.trim(F.coalesce("page_name", F.lit(""))).alias("page_name"), F.trim(F.coalesce("post_text", F.lit(""))).alias("post_text"), F.coalesce(texts, F.array().cast("array<string>")).alias("comments_"), latest.alias("created_at_comment"), F.lit(film).alias("film_title"))
