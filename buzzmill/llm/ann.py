@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HITS = "query_id long, vec_id long, score double"
+#: Queries whose windows' edges, at every radius, are worked out together: some 6 MB.
+QUERIES_AT_ONCE = 256
 
 
 @dataclass(frozen=True)
@@ -154,7 +156,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
                     if block is None:
                         block = Block(np.concatenate(ids), np.concatenate(parts), how)
                         parts = []
-                    found += block.search(keys[low:high], matrix[low:high], k)
+                    for at in range(low, high, QUERIES_AT_ONCE):
+                        to = min(high, at + QUERIES_AT_ONCE)
+                        found += block.search(keys[at:to], matrix[at:to], k)
             columns = list(zip(*found, strict=True)) if found else [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
 
