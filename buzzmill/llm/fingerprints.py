@@ -1,7 +1,9 @@
 """Incremental removal of repeated word windows with a log-structured index of fingerprints.
 
 Documents come in batches of ascending keys. Each batch's fingerprints (of segments around content-chosen anchors of
-word windows) are sorted and merged with the sorted, immutable runs of all earlier batches. A segment met before is
+word windows) are sorted and merged with the sorted, immutable runs of all earlier batches. A run is a table of buckets
+of the anchor's hash, each a sorted file; only the batch is shuffled, to the same buckets, and each task merges its part of
+the batch with its file of every run. A segment met before is
 repeated as a whole. Where only the anchor was met before, the words of both places are read again and every window is
 compared by two independent hashes of its words, which verifies the match. The batch's new fingerprints become another
 run; when fan_in runs are there already, the merge writes them all as one, which replaces them.
@@ -15,15 +17,17 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buzzmill.llm.shared import BASE_A, BASE_B, forget_shuffles, keyed, materialize, mix, only_keys, release, rolling, text_chunks, words_of
-from buzzmill.llm.windows import Shape, beside_texts, covered, in_order, resolve, runs, scan_segments
+from buzzmill.llm.shared import BASE_A, BASE_B, forget_shuffles, keyed, materialize, materialize_buckets, mix, only_keys, release, rolling, settings, text_chunks, words_of
+from buzzmill.llm.windows import Shape, beside_texts, covered, dealt_by, in_order, resolve, runs, scan_segments
 
 WIDTH, GRAM = 20, 6
 RUN = ["anchor", "seg", "row_key", "start", "n"]
-MERGED = "dup boolean, anchor long, seg long, row_key long, start int, n int, fresh boolean, first boolean, open_ boolean"
+MERGED = "dup boolean, anchor long, seg long, row_key long, start int, n int, fresh boolean, deal long, first boolean, open_ boolean"
+ORDER = ["dup", "anchor", "seg", "row_key", "start"]
 WINDOWS = "dup boolean, anchor long, seg long, row_key long, start int, fresh boolean"
 
 
@@ -36,21 +40,43 @@ def symbols(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 class FingerprintIndex:
     """Sorted runs of fingerprints over `corpus` (row_key, text), which must hold every batch that is added."""
 
-    def __init__(self, corpus: DataFrame, shape: Shape = Shape(WIDTH, GRAM), fan_in: int = 2):
+    def __init__(self, corpus: DataFrame, shape: Shape = Shape(WIDTH, GRAM), fan_in: int = 2, buckets: int | None = None):
         self.corpus, self.shape, self.fan_in = corpus, shape, fan_in
+        self.buckets = buckets or int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         self.runs: list[DataFrame] = []
 
+    def merge(self, fresh: DataFrame) -> DataFrame:
+        """Rows of the batch with those of every run, in order, a task a bucket. The runs' files are read where they lie.
+
+        The union of tables of equal buckets and of rows shuffled to them has the buckets' partitions, so the last repartition
+        moves nothing; where Spark doesn't see that, it shuffles, with the same result.
+        """
+        rows = fresh.repartition(self.buckets, "deal")
+        for run in self.runs:
+            rows = rows.unionByName(run.where("first and (fresh or whole)").select(F.lit(False).alias("dup"), *RUN, F.lit(False).alias("fresh"), "deal"))
+        return rows.repartition(self.buckets, "deal").sortWithinPartitions(*ORDER)
+
+    def _resolver(self):
+        buckets = self.buckets
+
+        def rows(batches):
+            if TaskContext.get().partitionId() >= buckets:
+                raise RuntimeError("runs and batch are not merged by bucket")
+            yield from resolve(batches)
+
+        return rows
+
     def add(self, batch: DataFrame) -> DataFrame:
         """Spans (row_key, start, n windows) of the batch that repeat earlier ones; keys must exceed all earlier keys.
 
         Leaves behind the spans and the runs alone: runs that a compaction replaced are deleted.
         """
-        rows = scan_segments(batch, symbols, self.shape).withColumn("fresh", F.lit(True))
-        for run in self.runs:
-            rows = rows.unionByName(run.where("first and (fresh or whole)").select(F.lit(False).alias("dup"), *RUN, F.lit(False).alias("fresh")))
+        fresh = scan_segments(batch, symbols, self.shape).withColumn("fresh", F.lit(True)).withColumn("deal", dealt_by())
         compacts = len(self.runs) >= self.fan_in
-        merged = in_order(rows).mapInArrow(resolve, MERGED).drop("dup")
-        merged = materialize((merged if compacts else merged.where("fresh or open_")).withColumn("whole", F.lit(compacts)), "fingerprint-run")
+        with settings(batch.sparkSession, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):
+            merged = self.merge(fresh).mapInArrow(self._resolver(), MERGED)
+            merged = (merged if compacts else merged.where("fresh or open_")).withColumn("whole", F.lit(compacts))
+            merged = materialize_buckets(merged, "fingerprint-run", self.buckets, "deal", ORDER)
         replaced, self.runs = (self.runs, [merged]) if compacts else ([], [*self.runs, merged])
         repeated = merged.where("fresh and not first").select("row_key", "start", "n")
         # anchors of which something new came; of those with old segments alone, all windows are known

@@ -55,6 +55,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def release(*stored: DataFrame) -> None:
     """Delete tables of materialize that nothing reads any more."""
     for df in stored:
+        if name := getattr(df, "table_name", None):
+            df.sparkSession.sql(f"DROP TABLE {name}")
         path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -95,15 +97,34 @@ def spread_join(rows: DataFrame, table: DataFrame, on: list[str], times: str, to
 
 
 @contextmanager
-def batch_rows(spark: SparkSession, rows: int):
-    """Jobs run inside send `rows` rows at a time to Python: for rows that are large each."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def settings(spark: SparkSession, **values: str):
+    """Jobs run inside have these settings, named with two underscores for dots."""
+    named = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k) for k in named}
+    for k, v in named.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def batch_rows(spark: SparkSession, rows: int):
+    """Jobs run inside send `rows` rows at a time to Python: for rows that are large each."""
+    return settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(rows))
+
+
+def materialize_buckets(df: DataFrame, label: str, buckets: int, key: str, order: list[str]) -> DataFrame:
+    """As materialize, but a table of one file a bucket of the key's hash, each in order, which later plans need not shuffle by the key.
+
+    df has a task for each bucket, in the order of the buckets' numbers.
+    """
+    spark, path, name = df.sparkSession, scratch_path(df.sparkSession, label), f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).sortBy(*order).saveAsTable(name)
+    stored = spark.table(name)
+    stored.scratch_path, stored.table_name = path, name
+    return stored
 
 
 def keyed(docs: DataFrame, whole: bool = False) -> DataFrame:

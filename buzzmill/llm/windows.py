@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buzzmill.llm.shared import BASE_A, BASE_B, mix, ranges, rolling, sliding_min
@@ -65,10 +65,14 @@ def segment_batch(keys: np.ndarray, found: list[tuple[np.ndarray, ...]]) -> pa.R
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["dup", "anchor", "seg", "row_key", "start", "n"])
 
 
+def dealt_by() -> Column:
+    """What rows of SEGMENTS are dealt to tasks by: equal anchors together; dups, which need no company, anywhere."""
+    return F.when(F.col("dup"), F.xxhash64("row_key", "start")).otherwise(F.col("anchor"))
+
+
 def in_order(rows: DataFrame) -> DataFrame:
-    """Equal anchors together and sorted; dups, which need no company, are spread evenly."""
-    deal = F.when(F.col("dup"), F.xxhash64("row_key", "start")).otherwise(F.col("anchor"))
-    return rows.repartition(deal).sortWithinPartitions("dup", "anchor", "seg", "row_key", "start")
+    """Equal anchors together and sorted; dups are spread evenly."""
+    return rows.repartition(dealt_by()).sortWithinPartitions("dup", "anchor", "seg", "row_key", "start")
 
 
 def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
