@@ -8,7 +8,6 @@ the source's threshold. Nothing is sorted by document. Thresholds are nested: a
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,20 +19,6 @@ HASH_BITS, LEVEL_BITS = 60, 12
 BROADCAST_ROWS = 100_000
 
 
-@dataclass
-class Budget:
-    """A source's words, target, whole passes, and the words left for the pass that ends at the threshold."""
-
-    source: str | None
-    source_size: int
-    target: float
-    passes: int
-    rest: int
-    prefix: int = 0
-    threshold: int = 0
-    share: int = 0
-
-
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -44,48 +29,53 @@ def hash60(doc_id: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
-def targets(sizes: dict[str | None, int], weights: Sequence[float], share: float, cap: float) -> dict[str | None, float]:
-    """share of all words by weight; a source stops at cap times its size and the others share the excess by weight."""
-    names = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
-    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
-    total, capped = share * sum(sizes.values()), set()
-    while True:
-        left = total - sum(cap * sizes[s] for s in capped)
-        free = sum(weight[s] for s in names if s not in capped)
-        level = left / free if free else 0.0
-        above = {s for s in names if s not in capped and weight[s] * level > cap * sizes[s]}
-        if not above:
-            return {s: cap * sizes[s] if s in capped else weight[s] * level for s in names}
-        capped |= above
-
-
-def _per_source(df: DataFrame, budgets: list[Budget], columns: list[str]) -> DataFrame:
-    spark = df.sparkSession
-    kinds = {"source": "string", "source_size": "long", "target": "double", "passes": "long", "rest": "long", "prefix": "long", "threshold": "long", "share": "long"}
-    table = spark.createDataFrame([[getattr(b, c) for c in columns] for b in budgets], ", ".join(f"{c} {kinds[c]}" for c in columns))
-    table = table.withColumnRenamed("source", "_source")
-    table = F.broadcast(table) if len(budgets) <= BROADCAST_ROWS else table
+def targets(sizes: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
+    """sizes (source, source_size) with target: share of all words by weight; a source stops at cap times its size and the others share the excess by weight.
+
+    Weights repeat over the sources by name, null last. In the order of what a source holds for its weight, a source is capped
+    if the level that the others would share without it is above its own; windows over one row a source find the last level that holds.
+    """
+    by_name, whole = Window.orderBy(F.asc_nulls_last("source")), Window.partitionBy()
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
+    rows = sizes.withColumn("weight", weight).withColumn("most", F.lit(float(cap)) * F.col("source_size"))
+    before = Window.orderBy(F.col("source_size").cast("double") / F.col("weight"), F.asc_nulls_last("source")).rowsBetween(Window.unboundedPreceding, -1)
+    left = F.lit(float(share)) * F.sum("source_size").over(whole) - F.coalesce(F.sum("most").over(before), F.lit(0.0))
+    level = left / (F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
+    rows = rows.withColumn("level", level).withColumn("water", F.max(F.when(F.col("weight") * F.col("level") <= F.col("most"), F.col("level"))).over(whole))
+    return rows.select("source", "source_size", F.coalesce(F.least("most", F.col("weight") * F.col("water")), "most").alias("target"))
+
+
+def _per_source(df: DataFrame, budgets: DataFrame, sources: int) -> DataFrame:
+    """df beside its source's row of budgets, which is broadcast where `sources` rows are few."""
+    table = budgets.withColumnRenamed("source", "_source")
+    table = F.broadcast(table) if sources <= BROADCAST_ROWS else table
     return df.join(table, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
 
-def thresholds(sized: DataFrame, budgets: list[Budget]) -> None:
-    """Set threshold and share of each budget: one aggregation a level, over the boundary buckets alone."""
-    open_ones = [b for b in budgets if b.rest > 0]
+def thresholds(sized: DataFrame, budgets: DataFrame, sources: int) -> DataFrame:
+    """budgets with threshold and share of each source: one aggregation a level, over the boundary buckets alone."""
+    budgets = budgets.select("*", *[F.lit(0).cast("long").alias(c) for c in ("prefix", "threshold", "share")])
     for level in range(1, HASH_BITS // LEVEL_BITS + 1):
-        if not open_ones:
-            return
         shift = HASH_BITS - LEVEL_BITS * level
-        inside = _per_source(sized, open_ones, ["source", "prefix", "rest"]).where(F.shiftright("h", shift + LEVEL_BITS) == F.col("prefix"))
+        open_ones = budgets.where("rest > 0")
+        if open_ones.isEmpty():
+            break
+        inside = _per_source(sized, open_ones.select("source", "prefix", "rest"), sources).where(F.shiftright("h", shift + LEVEL_BITS) == F.col("prefix"))
         histogram = inside.groupBy("source", "rest", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("size"), F.min("h").alias("low"), F.max("h").alias("high"), F.count("*").alias("n"))
         upto = F.sum("size").over(Window.partitionBy("source").orderBy("bucket"))
-        found = histogram.withColumn("upto", upto).where((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("size") < F.col("rest"))).select("source", "bucket", (F.col("rest") - F.col("upto") + F.col("size")).alias("rest"), "low", "high", "n")
-        at = {r["source"]: r for r in found.collect()}  # a row a source
-        for b in open_ones:
-            row = at[b.source]
-            b.prefix, b.rest = row["bucket"], row["rest"]
-            if row["low"] == row["high"]:
-                b.threshold, b.share, b.rest = row["low"], row["rest"] // row["n"], 0
-        open_ones = [b for b in open_ones if b.rest > 0]
+        found = histogram.withColumn("upto", upto).where((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("size") < F.col("rest")))
+        found = found.select(F.col("source").alias("_of"), "bucket", (F.col("rest") - F.col("upto") + F.col("size")).alias("left"), "low", "high", "n", F.lit(True).alias("hit"))
+        settled, hit = F.col("low") == F.col("high"), F.coalesce("hit", F.lit(False))
+        both = budgets.join(found, F.col("source").eqNullSafe(F.col("_of")), "left")
+        budgets = materialize(
+            both.select(
+                "source", "source_size", "target", "passes",
+                F.when(hit, F.when(settled, 0).otherwise(F.col("left"))).otherwise(F.col("rest")).cast("long").alias("rest"), F.when(hit, F.col("bucket")).otherwise(F.col("prefix")).alias("prefix"),
+                F.when(hit & settled, F.col("low")).otherwise(F.col("threshold")).alias("threshold"), F.when(hit & settled, F.expr("left div n")).otherwise(F.col("share")).alias("share"),
+            ),
+            "mix-budgets",
+        )
+    return budgets
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
@@ -96,9 +86,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     the first words that the budget still holds. So every source meets its target to a word, and none exceeds
     cap * size. Rows with equal id and text tie in their hash; at a threshold they share the rest evenly, which is
     short by fewer words than there are ties. Null text has size 0; null is a source of its own and comes last; an
-    empty table gives an empty result. Other columns of docs are ignored. One row a source reaches the driver.
+    empty table gives an empty result; a very long text is one row and counts like others. Other columns of docs are ignored. A
+    table of one row a source is worked out in one task; nothing of it reaches the driver.
     """
-    return _with_taken(sized(docs), plan(docs, weights, share, cap)).select("doc_id", "source", "h", "size", "source_size", "target", "taken")
+    return _with_taken(sized(docs), *plan(docs, weights, share, cap)).select("doc_id", "source", "h", "size", "source_size", "target", "taken")
 
 
 def mixed(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
@@ -109,7 +100,7 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
     """
     held = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "source", "text")
     held = held.select("doc", F.col("source").cast("string").alias("source"), hash60(F.col("doc_id"), F.col("text")).alias("h"), word_count(F.col("text")).alias("size"))
-    taken = _with_taken(held, plan(docs, weights, share, cap)).where("taken > 0")
+    taken = _with_taken(held, *plan(docs, weights, share, cap)).where("taken > 0")
     part = F.when(F.col("taken") % F.col("size") > 0, F.array(F.col("taken") % F.col("size"))).otherwise(F.array().cast("array<bigint>"))
     rows = taken.select("doc", "size", F.explode(F.concat(F.array_repeat("size", F.expr("cast(taken div size as int)")), part)).alias("words"))
     first = F.array_join(F.slice(F.array_remove(F.split("doc.text", r"[\x20\x09-\x0D]+"), ""), F.lit(1), F.col("words").cast("int")), " ")
@@ -122,22 +113,20 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), hash60(F.col("doc_id"), F.col("text")).alias("h"), word_count(F.col("text")).alias("size"))
 
 
-def plan(docs: DataFrame, weights: Sequence[float], share: float, cap: float) -> list[Budget]:
-    """The budget of every source with its threshold."""
+def plan(docs: DataFrame, weights: Sequence[float], share: float, cap: float) -> tuple[DataFrame, int]:
+    """The budget of every source with its threshold, one row each, and their number."""
     rows = materialize(sized(docs).drop("doc_id"), "mix-sizes")
-    sizes = {r["source"]: r["size"] for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()}
-    budgets = []
-    for source, target in targets(sizes, weights, share, cap).items():
-        words = int(target + 0.5)
-        passes = words // sizes[source] if sizes[source] else 0
-        budgets.append(Budget(source, sizes[source], float(target), passes, words - passes * sizes[source]))
-    thresholds(rows, budgets)
-    return budgets
+    aimed = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
+    aimed = aimed.withColumn("words", F.floor(F.col("target") + 0.5).cast("long"))
+    aimed = aimed.withColumn("passes", F.when(F.col("source_size") > 0, F.expr("words div source_size")).otherwise(F.lit(0).cast("long")))
+    budgets = materialize(aimed.select("source", "source_size", "target", "passes", (F.col("words") - F.col("passes") * F.col("source_size")).alias("rest")), "mix-budgets")
+    sources = budgets.count()
+    return thresholds(rows, budgets, sources), sources
 
 
-def _with_taken(rows: DataFrame, budgets: list[Budget]) -> DataFrame:
+def _with_taken(rows: DataFrame, budgets: DataFrame, sources: int) -> DataFrame:
     """rows (source, h, size) with source_size, target and taken."""
-    joined = _per_source(rows, budgets, ["source", "source_size", "target", "passes", "threshold", "share"])
+    joined = _per_source(rows, budgets.select("source", "source_size", "target", "passes", "threshold", "share"), sources)
     last = F.when(F.col("h") < F.col("threshold"), F.col("size")).when(F.col("h") == F.col("threshold"), F.least("share", "size")).otherwise(0)
     return joined.withColumn("taken", (F.col("passes") * F.col("size") + last).cast("long"))
 

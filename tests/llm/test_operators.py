@@ -189,7 +189,8 @@ def test_mixing(spark, docs, texts):
     assert (got["taken"] <= 2 * got["size"]).all() and len(got) == len(texts)
     for _, g in got.groupby(got.source.fillna("-")):
         assert abs(g.taken.sum() - g.target.iloc[0]) <= 1 + len(g)
-    assert mixing.targets({"a": 10, "b": 90, None: 0}, (3, 1, 2), 1.5, 2.0) == {"a": 20.0, "b": 130.0, None: 0.0}
+    held = docs.sparkSession.createDataFrame([("a", 10), ("b", 90), (None, 0)], "source string, source_size long")
+    assert {r["source"]: r["target"] for r in mixing.targets(held, (3, 1, 2), 1.5, 2.0).collect()} == {"a": 20.0, "b": 130.0, None: 0.0}
     mixed = mixing.mixed(docs)
     assert mixed.columns == docs.columns
     assert sum(len(WORDS.findall(r["text"])) for r in mixed.collect()) == got.taken.sum()
