@@ -42,16 +42,19 @@ def _abroad(blob: Column) -> Column:
 
 
 def brand_conditions(blob: Column) -> dict[str, Column]:
-    """For each brand whether lower-case, collapsed text names its cinemas at home."""
+    """For each brand whether lower-case, collapsed text names its cinemas at home.
+
+    A plain look for the brand's word comes first, so a text is read by patterns only for brands that it names.
+    """
     home, context = ~_abroad(blob), matches(blob, P.CINEMA_CONTEXT)
     word = lambda w: matches(blob, rf"\b{w}\b") & context
     return {
-        "glx": ~matches(blob, P.GLX_OTHERS) & (holds_any(blob, P.GLX_TERMS) | matches(blob, P.GLX_SITE)),
-        "cgv": matches(blob, P.CGV) & matches(blob, P.CGV_CINEMA) & home,
-        "lotte": (matches(blob, P.LOTTE_CINEMA) | holds_any(blob, P.LOTTE_BRANCHES)) & home,
-        "beta": ~matches(blob, P.BETA_OTHERS) & (matches(blob, P.BETA_CINEMA) | holds_any(blob, P.BETA_BRANCHES) | word("beta")) & home,
-        "bhd": (matches(blob, P.BHD_CINEMA) | word("bhd")) & home,
-        "cinestar": matches(blob, P.CINESTAR) & home,
+        "glx": (holds_any(blob, P.GLX_TERMS) | blob.contains("galaxycine") & matches(blob, P.GLX_SITE)) & ~matches(blob, P.GLX_OTHERS),
+        "cgv": blob.contains("cgv") & matches(blob, P.CGV) & matches(blob, P.CGV_CINEMA) & home,
+        "lotte": blob.contains("lotte") & (matches(blob, P.LOTTE_CINEMA) | holds_any(blob, P.LOTTE_BRANCHES)) & home,
+        "beta": blob.contains("beta") & (matches(blob, P.BETA_CINEMA) | holds_any(blob, P.BETA_BRANCHES) | word("beta")) & ~matches(blob, P.BETA_OTHERS) & home,
+        "bhd": blob.contains("bhd") & (matches(blob, P.BHD_CINEMA) | word("bhd")) & home,
+        "cinestar": blob.contains("cinestar") & matches(blob, P.CINESTAR) & home,
     }
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from buzzmill.functions.times import content_time
 from buzzmill.operators.ranks import first_of_keys, placed, running
 
 
@@ -21,6 +23,20 @@ def newest(rows: DataFrame, key: str, at: str, tie: str, n: int) -> DataFrame:
     return first_of_keys(rows, [key], [F.col(at).desc_nulls_last(), tie], "newest_rank").withColumn("in_final", F.col("newest_rank") <= n)
 
 
+# Fields of a record that may hold its time, in the order in which they count.
+TIME_FIELDS = ("created_time", "created_at", "published_at", "upload_date", "taken_at_timestamp", "timestamp", "content_timestamp")
+
+
+def record_time(rows: DataFrame, fields: Sequence[str] = TIME_FIELDS) -> Column:
+    """The first readable time of a record, of the fields that it has: seconds, milliseconds or ISO text; null if none."""
+    return F.coalesce(*[content_time(F.col(f).cast("string")) for f in fields if f in rows.columns], F.lit(None).cast("timestamp"))
+
+
+def select_newest(rows: DataFrame, n: int, tie: str, fields: Sequence[str] = TIME_FIELDS) -> DataFrame:
+    """The n records of the latest times, those without one last, ties by `tie`; none for n of 0 or less."""
+    return rows.orderBy(record_time(rows, fields).desc_nulls_last(), tie).limit(max(n, 0))
+
+
 @dataclass(frozen=True)
 class Limits:
     """When a keyword is left: after so many stale items in a row, so many stale ones, or so many items; 0 is no limit."""

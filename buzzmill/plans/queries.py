@@ -223,8 +223,12 @@ def newest_rank_final(spark, sf_dir):
 
 @query(f"{LOG} SELECT event_id, url, content_ts FROM l ORDER BY content_ts DESC NULLS LAST, event_id LIMIT 100")
 def select_newest(spark, sf_dir):
-    """The 100 newest items (a top-k report)."""
-    return crawl_log(spark, sf_dir).select("event_id", "url", "content_ts").orderBy(F.col("content_ts").desc_nulls_last(), "event_id").limit(100)
+    """The 100 newest items (a top-k report), whose times are in any of three fields, in seconds, milliseconds or as text."""
+    log, k = crawl_log(spark, sf_dir).select("event_id", "url", "content_ts"), F.col("event_id") % 3
+    at = F.unix_micros(F.col("content_ts").cast("timestamp"))
+    text = F.date_format(F.col("content_ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    rows = log.select("*", F.when(k == 0, text).when(k == 1, "soon").alias("created_at"), F.when(k > 0, text).otherwise("1").alias("timestamp"), F.when(at < 0, at).alias("taken_at_timestamp"))
+    return freshness.select_newest(rows, 100, "event_id").select("event_id", "url", "content_ts")
 
 
 @query(f"{LOG}, seen AS (SELECT DISTINCT url FROM l WHERE event_id % 3 = 0) SELECT DISTINCT url FROM l WHERE event_id % 3 <> 0 AND url NOT IN (SELECT url FROM seen)")

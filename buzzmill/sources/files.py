@@ -17,13 +17,8 @@ SHARE_DAYS = ("yyyy-MM-dd", "d/M/yyyy", "M/d/yyyy")
 
 
 def read_mention_files(spark: SparkSession, root: str, film: str | None = None, platforms: Sequence[str] | None = None, globs: Sequence[str] = MENTION_FILES) -> DataFrame:
-    """Records of the files below root whose names fit one of the globs, each file once; of one film's folder and known platforms if given."""
-    rows = read_records(spark, root)
-    name = F.element_at(F.split("file", "/"), -1)
-    fits = F.lit(False)
-    for g in globs:
-        fits = fits | name.like(g.replace("_", r"\_").replace("*", "%"))
-    rows = rows.where(fits).withColumn("film_slug", folder_slug(F.col("file")))
+    """Records of the files below root whose names fit one of the globs, each file once, others unopened; of one film's folder and known platforms if given."""
+    rows = read_records(spark, root, glob="{" + ",".join(globs) + "}").withColumn("film_slug", folder_slug(F.col("file")))
     rows = rows if film is None else rows.where(F.lower("film_slug") == film.lower())
     return rows if platforms is None else rows.where(F.col("platform").isin(*platforms))
 

@@ -46,16 +46,18 @@ def flat_comments(raw: str | None) -> list[tuple] | None:
     return out
 
 
-def read_records(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def read_records(spark: SparkSession, path: str, lines: bool = False, glob: str = "*") -> DataFrame:
     """Grouped post records from JSON arrays, {items|mentions|data: [...]} wrappers, or JSON lines; what is not JSON goes.
 
+    Of the files below path only those whose names fit glob are opened. sources.lines gives the lines that are no records.
+
     Raw crawls' names (id, message, ...) are taken too; comments are an array or {data: [...]}, replies follow theirs.
     `file` is the path that a record came from; a missing platform is taken from the folder below `processed`.
     """
     objects = lambda array: F.filter(F.from_json(array, "array<string>"), lambda x: x.startswith("{"))
     parsed = lambda texts: F.transform(texts, lambda x: F.from_json(x, RAW))
     schema = T.StructType([*RAW.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.option("multiLine", not lines).option("recursiveFileLookup", True).schema(schema).json(path).withColumn("file", F.col("_metadata.file_path"))
+    rows = spark.read.option("multiLine", not lines).option("recursiveFileLookup", True).option("pathGlobFilter", glob).schema(schema).json(path).withColumn("file", F.col("_metadata.file_path"))
     # an array with an element that is no object is given as unreadable: its objects stay
     own = F.when(F.col("_corrupt_record").isNull(), F.array(F.struct(*RAW.names))).otherwise(parsed(objects(F.col("_corrupt_record"))))
     rows = rows.select("file", F.explode(own).alias("r")).select("file", "r.*")
