@@ -108,7 +108,7 @@ def classify(docs: DataFrame, labels: DataFrame, kind: str = "quality") -> DataF
 
     Held-out rows never teach, nor do rows without an id or label, or whose labels disagree. Null and empty texts get
     the score of an empty text. Without rows of both classes every score is 0.5. Repeated ids are scored row by row;
-    extra columns are ignored.
+    extra columns are ignored. Statistics are ratios of whole texts, so a very long text is scored like others.
     """
     return _classified(docs.select("doc_id", "text", F.lit(0).cast("long").alias("text_hash")), labels, kind).drop("text_hash")
 
