@@ -1,5 +1,5 @@
 """plans of the mention engine."""
 
-from buzzmill.plans import cleaning, crawl, feeds, labels, pages, posts, queries, records, reports, streams, texts
+from buzzmill.plans import cleaning, crawl, feeds, labels, pages, posts, queries, records, reports, seeds, streams, texts
 
-__all__ = ["cleaning", "crawl", "feeds", "labels", "pages", "posts", "queries", "records", "reports", "streams", "texts"]
+__all__ = ["cleaning", "crawl", "feeds", "labels", "pages", "posts", "queries", "records", "reports", "seeds", "streams", "texts"]
