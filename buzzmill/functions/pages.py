@@ -13,7 +13,7 @@ from buzzmill.functions.times import compact_count
 
 # Lines of two sites that are no text of people.
 THREADS_NOISE = ("Thread", "Translate", "Top", "Hàng đầu", "View activity", "Xem hoạt động", "Pinned", "Tác giả", "Author", "·")
-THREADS_TOP = ("Top", "Hàng đầu")
+THREADS_TOP, THREADS_ACTIVITY = ("Top", "Hàng đầu"), ("View activity", "Xem hoạt động")
 _MENU = r"more posts from .*|meta|meta ai|about|blog|jobs|help|api|privacy|terms|locations|popular|instagram lite|threads|contact uploading(?: &| and) non-users"
 INSTAGRAM_SKIP = rf"(?iu)^(?:\d[\d.,]*\s+likes?|reply|see translation|view all .* replies?|liked by .*|{_MENU}|meta verified)$"
 INSTAGRAM_FOOTER = rf"(?iu)^(?:{_MENU}|english|afrikaans|العربية|čeština|dansk|deutsch)$"
@@ -71,6 +71,38 @@ def threads_comments(body: Column, post_id: Column) -> Column:
     return found(body, post_id)
 
 
+THREAD = "created_at string, post_text string, comments array<struct<external_id string, author string, created_at string, text string>>"
+# Menus of the site.
+THREADS_CHROME = r"(?i)messages\s+activity\s+profile|insights\s+saved\s+feeds|ghost\s+posts|edit\s+following|view\s+activity|new\s+thread|for\s+you"
+SHORTEST_PAGE = 5
+
+
+def thread_page(body: Column, html: Column, page: Column, post_id: Column) -> Column:
+    """Struct (created_at, post_text, comments) of a thread's page; null for pages of fewer than five lines, or of menus alone.
+
+    The post is the owner's block where the page has one; its time a written date of the source or text, else the block's own label.
+    A label that is relative alone is no publish time and is empty.
+    """
+
+    @F.pandas_udf(THREAD)
+    def found(bodies: pd.Series, sources: pd.Series, pages: pd.Series, ids: pd.Series) -> pd.DataFrame:
+        date, chrome = re.compile(THREADS_DATE), re.compile(THREADS_CHROME)
+        rows = []
+        for text, source, owner, of in zip(bodies, sources, pages, ids, strict=True):
+            page = scans.ThreadPage(text, frozenset(THREADS_NOISE), frozenset(THREADS_TOP), frozenset(THREADS_ACTIVITY), date, chrome)
+            label, told, comments = page.read(owner or "") if len(page.lines) >= SHORTEST_PAGE else ("", "", [])
+            if not comments and page.is_chrome(told):
+                rows.append((None, None, None))
+                continue
+            label = page.written_date(source or "") or label or page.label()
+            if re.fullmatch(r"(?i)\d+\s*[smhdw]", label):
+                label = ""
+            rows.append((label, told, [{"external_id": f"comment:{of}:{k}", "author": a, "created_at": t, "text": x} for k, (a, t, x) in enumerate(comments, 1)]))
+        return pd.DataFrame(rows, columns=["created_at", "post_text", "comments"], dtype=object)
+
+    return found(body, html, page, post_id)
+
+
 def date_label(body: Column) -> Column:
     """The date of a thread page's text: a slashed one, a line of its own before others, else a short relative one; null if none."""
     lines = F.slice(lines_of(body), 1, 40)

@@ -196,6 +196,100 @@ def threads(lines: Sequence[str], noise: frozenset[str], top: frozenset[str], da
     return out
 
 
+class ThreadPage:
+    """The lines of a thread's page: whose post it is, when and what it says, and the comments below it.
+
+    noise: lines of the site's own; top, activity: those above comments; date, any_date: patterns of a time and of a written date; chrome: of the
+    site's menus. A header is a name, lines of the site, at most one other line, and a time.
+    """
+
+    HEAD = 40
+
+    def __init__(self, body: str | None, noise: frozenset[str], top: frozenset[str], activity: frozenset[str], date: re.Pattern, chrome: re.Pattern):
+        self.body, self.lines, self.noise, self.top, self.marks, self.date, self.chrome = body or "", lines_of(body), noise, top, top | activity, date, chrome
+        # of each line the first from there on that is not the site's
+        self.after = [len(self.lines)] * (len(self.lines) + 1)
+        for k in range(len(self.lines) - 1, -1, -1):
+            self.after[k] = self.after[k + 1] if self.lines[k] in noise else k
+        self.names = [x.startswith("@") and " " not in x or re.fullmatch(r"[A-Za-z0-9._]+", x) is not None for x in self.lines]
+
+    def at(self, k: int) -> str:
+        return self.lines[k] if 0 <= k < len(self.lines) else ""
+
+    def header(self, k: int) -> tuple[str, int] | None:
+        """Time and place of the text of the header that begins at a line."""
+        if not self.names[k]:
+            return None
+        after = self.after[k + 1]
+        return next(((self.at(j), j + 1) for j in (after, after + 1) if self.date.search(self.at(j))), None)
+
+    def told(self, start: int, end: int) -> list[str]:
+        """Lines of text: neither the site's nor counts alone."""
+        return [x for x in self.lines[start:end] if x not in self.noise and not re.fullmatch(r"[\d./KMBkmb]+", x)]
+
+    def is_chrome(self, text: str) -> bool:
+        return not text or self.chrome.search(text) is not None
+
+    def read(self, page: str) -> tuple[str, str, list[tuple[str, str, str]]]:
+        """(label of its time, text, comments as name, time and text) of the page of `page`."""
+        owner = page.lstrip("@").casefold()
+        own = next((k for k, x in enumerate(self.lines) if owner and x.lstrip("@").casefold() == owner), -1)
+        others = lambda start: (k for k in range(start, len(self.lines)) if self.names[k] and self.lines[k].lstrip("@").casefold() != owner)
+        head = self.header(own) if own >= 0 else None
+        if own >= 0:
+            plain = lambda k: self.lines[k] not in self.noise and not re.fullmatch(r"[\d./KMBkmb]+", self.lines[k])
+            below = next((k for k in others(max(head[1] if head else own, own + 1)) if plain(k)), len(self.lines))
+        else:
+            below = next((k for k, x in enumerate(self.lines) if x in self.top), -1)
+            below = below if below >= 0 else next((k for k in range(4, len(self.lines) - 1) if self.header(k)), len(self.lines))
+        label, text = "", ""
+        if head:
+            end = next(others(head[1]), len(self.lines))
+            text = " ".join(self.told(head[1], end))
+            label = head[0]
+        if not head or self.is_chrome(text):
+            dated = next((k for k in (3, 4) if self.date.search(self.at(k))), None)
+            label, start = (self.at(dated), dated + 1) if dated is not None else ("", 3)
+            text = " ".join(self.told(start, below))
+        if self.is_chrome(text):
+            after = (self.at(k + 1) for k, x in enumerate(self.lines[:-1]) if self.date.search(x))
+            text = next((x for x in after if len(x) > 10 and not self.is_chrome(x)), text)
+        return label, text, self.comments(below, own)
+
+    def comments(self, start: int, own: int) -> list[tuple[str, str, str]]:
+        """Below the marks at `start`: from each header to the next, which is no line of the site nor part of another header."""
+        start = next((k for k in range(start, len(self.lines)) if self.lines[k] not in self.marks), len(self.lines))
+        heads = [(k, h) for k in range(start, len(self.lines)) if (own < 0 or k > own) and (h := self.header(k))]
+        out, at = [], start
+        kept = []
+        for k, h in heads:
+            if k >= at and (not kept or self.lines[k] not in self.noise):
+                kept.append((k, h))
+                at = h[1]
+        ends = [k for k, _ in kept[1:]] + [len(self.lines)]
+        for (k, (label, begin)), end in zip(kept, ends[: len(kept)], strict=True):
+            if told := " ".join(self.told(begin, end)):
+                out.append((self.lines[k], label, told))
+        return out
+
+    def written_date(self, html: str) -> str:
+        """A date of the page's source or text, then one of the text's lines; empty if none."""
+        blob = f"{html}\n{self.body}"
+        for pattern in (r"\b(\d{2}/\d{2}/\d{2,4})\b", r'(?i)aria-label="(\d{1,2}\s+th(?:áng|g)\s+\d{1,2}(?:[^"]*)?)"'):
+            if found := re.search(pattern, blob):
+                return found[1]
+        return ""
+
+    def label(self) -> str:
+        """A written date of the first lines, or of the text; else a short relative time."""
+        first = self.lines[: self.HEAD]
+        own = next((x for x in first if re.fullmatch(r"\d{1,2}/\d{1,2}/\d{2,4}", x)), None)
+        if found := own or (m := re.search(r"\b(\d{1,2}/\d{1,2}/\d{2,4})\b", self.body)) and m[1]:
+            return found
+        short = next((x for x in first if re.fullmatch(r"(?i)\d+[smhdw]", x)), None)
+        return short or ((m := re.search(r"(?i)\b(\d+[smhdw])\b", self.body)) and m[1]) or ""
+
+
 _QUOTED_OR_BRACE = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*(?:"|\\?$)|[{}]', re.DOTALL)
 
 

@@ -104,6 +104,29 @@ def legacy_posts(spark, sf_dir):
     return posts.legacy_posts(rows, "film").select("id", F.get("comments_", F.lit(0)).alias("first"), "post_text", F.date_format("created_at_comment", "yyyy-MM-dd HH:mm:ss").alias("latest"))
 
 
+# A page's text by lines (| parts them), and the label, text and comments of its post.
+THREAD_CASES = [
+    ("Thread|parent|2d|quoted words of the parent|owner|07/31/26|·|Tác giả|my post here|12|second line|anna|3h|first comment|4|ben|View activity|1d|second|line", "07/31/26", "my post here", "anna/3h/first comment,ben/1d/second line"),
+    ("a b|c d|e f|07/30/26|the post text|Top|anna|5h|hello there", "07/30/26", "the post text", "anna/5h/hello there"), ("owner|13h|only a relative time|1.2K views|x y", "", "only a relative time 1.2K views x y", ""),
+    ("one|two", None, None, None), ("a b|c d|e f|For you|New thread", None, None, None), ("owner|2d|For you|x y|q r|anna|1h|a comment of hers", "", "x y q r", "anna/1h/a comment of hers"),
+]
+
+
+@query(
+    f"""SELECT page_id, 'C' || page_id AS post_id, label, post_text, comments, CASE WHEN page_id % 2 = 0 THEN page_id END AS likes, CASE WHEN page_id % 2 = 0 THEN 7 END AS replies, CASE WHEN k = 2 THEN 1200 WHEN page_id % 2 = 0 THEN 99 END AS views
+FROM pages JOIN {values([c[1:] for c in THREAD_CASES], "label", "post_text", "comments")} ON k = page_id % {len(THREAD_CASES)} WHERE label IS NOT NULL AND page_id % 5 <> 0"""
+)
+def threads_posts(spark, sf_dir):
+    n = F.col("page_id").cast("string")
+    code = lambda n: F.concat(F.lit('{"code":"other","like_count":1} {"code":"C'), n, F.lit('","like_count":'), n, F.lit(',"fbid":"77'), n, F.lit('"} XDTTextPostAppMediaInfo:77'), n, F.lit(' {"direct_reply_count":7,"repost_count":3,"impression_count":99} '))
+    html = lambda n: F.when(F.col("page_id") % 2 == 0, code(n)).otherwise("")
+    d = _details(spark, sf_dir, html, lambda n: F.lit("x")).withColumn("raw_html", html(n))
+    d = d.withColumn("current_url", F.concat(F.lit("https://www.threads.net/@owner/post/C"), n, F.lit("?x"))).withColumn("linked_threads", F.array().cast("array<string>")).withColumn("body_text", F.translate(pick(THREAD_CASES, 0, "page_id"), "|", "\n"))
+    told = F.array_join(F.transform("comments", lambda c: F.concat_ws("/", c["author"], c["created_at"], c["text"])), ",")
+    out = posts.threads_posts(d)
+    return out.select(F.substring("post_id", 2, 20).cast("long").alias("page_id"), "post_id", F.col("post_created_at").alias("label"), "post_text", told.alias("comments"), F.col("stats.like_count").alias("likes"), F.col("stats.comment_count").alias("replies"), F.col("stats.view_count").alias("views"))
+
+
 EXAMPLES = [
     ("cgv", "", "CGV Korea", "stale_cgv_korea_foreign_removed"), ("glx", "", "hello", "keyword_only_false_positive_removed"), ("glx", "", "galaxy cinema jaipur", "unrelated_or_stale_untagged"), ("", "cgv", "CGV Menas Mall", "valid_cgv_menas_mall_remains"),
     ("cgv", "cgv", "cgv liberty citypoint", "valid_cgv_liberty_citypoint_remains"), ("cgv", "cgv", "cgv hà nội", "valid_cgv_vietnam_remains"), ("lotte", "lotte", "lotte cinema vietnam", "valid_lotte_vietnam_remains"), ("glx", "glx", "rạp galaxy", "valid_galaxy_vietnam_remains"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buzzmill.functions.cleaning import compact, engagement_prefix, place_author, place_chrome, place_review, place_title, safe_identifier
-from buzzmill.functions.pages import balanced_json, instagram_comments
+from buzzmill.functions.pages import balanced_json, counts_near, instagram_comments, thread_page, views_of
 from buzzmill.functions.records import post_id, post_url, script_json
 from buzzmill.functions.text import first_text, let
 from buzzmill.functions.times import ZONE, compact_count, content_time, media_date, not_crawl_clock, rating, relative
@@ -127,6 +127,31 @@ def instagram_posts(details: DataFrame) -> DataFrame:
     return rows.where(code.isNotNull()).select(F.lit("instagram").alias("platform"), code.alias("post_id"), F.coalesce(_found(html, owner), F.lit("")).alias("page_id"), F.coalesce(name, F.lit("")).alias("page_name"), F.col("_url").alias("post_url"), F.col("_at").alias("post_created_at"), F.coalesce("_e.text", F.lit("")).alias("post_text"), counts.alias("stats"), comments.alias("comments"))
 
 
+# A thread's address, and where its page holds the counts of a post.
+THREAD_URL = r"https://www\.threads\.(?:net|com)/@[^/]+/post/[^/?#]+"
+THREAD_OWNER, THREAD_CODE = r"https://www\.threads\.(?:net|com)/@([^/]+)/post/", r"/post/([^/?#]+)"
+THREAD_COUNTS = {"comment_count": "direct_reply_count", "repost_count": "repost_count", "quote_count": "quote_count", "view_count": "impression_count"}
+
+
+def threads_posts(details: DataFrame) -> DataFrame:
+    """Posts of details (current_url, linked_threads, body_text, raw_html, stale, coverage, freshness).
+
+    post_created_at is a label, empty where the page shows a relative time alone: counted from the import's clock it would be no
+    publish time. Likes stand near the post's code in the source, other counts near the post's number; views of the text come first.
+    """
+    address = _found(first_text(F.col("current_url"), F.get("linked_threads", F.lit(0))), THREAD_URL, 0)
+    rows = without_stale(details).withColumn("_url", F.coalesce(address, F.lit("")))
+    rows = rows.withColumn("_id", F.coalesce(_found(F.col("_url"), THREAD_CODE), F.lit(""))).withColumn("_page", F.coalesce(_found(F.col("_url"), THREAD_OWNER), F.lit("")))
+    html = F.coalesce("raw_html", F.lit(""))
+    rows = rows.withColumn("_t", thread_page(F.col("body_text"), html, F.col("_page"), F.col("_id"))).where(F.col("_t.comments").isNotNull())
+    near = counts_near(html, F.concat(F.lit('"code":"'), F.col("_id"), F.lit('"')), {"likes": "like_count", "number": "fbid"})
+    rows = rows.withColumn("_near", near)
+    more = counts_near(html, F.concat(F.lit("XDTTextPostAppMediaInfo:"), F.coalesce(F.col("_near.number").cast("string"), F.lit("-"))), THREAD_COUNTS, before=400, after=900)
+    rows = rows.withColumn("_more", more)
+    counts = F.struct(F.col("_near.likes").alias("like_count"), "_more.comment_count", "_more.repost_count", "_more.quote_count", F.coalesce(views_of(F.col("body_text")), F.col("_more.view_count")).alias("view_count"))
+    return rows.select(F.lit("threads").alias("platform"), F.col("_id").alias("post_id"), F.col("_page").alias("page_name"), F.col("_url").alias("post_url"), F.col("_t.created_at").alias("post_created_at"), F.col("_t.post_text").alias("post_text"), counts.alias("stats"), F.col("_t.comments").alias("comments"))
+
+
 # How a place's address holds its id.
 PLACE_ID = (r"(?i)[?&]cid=(\d+)", r"(?i)!1s0x([0-9a-f:]+)")
 REVIEW = "array<struct<external_id:string,author:string,text:string,created_at:string,created_at_label:string,rating_label:string>>"

@@ -82,3 +82,20 @@ def test_repeated_comments(spark):
     body = "\n".join(["owner", "2d", "caption", "anna", "3h", "same words", "anna", "3h", "Same Words", "anna", "4h", "same words"])
     got = spark.createDataFrame([(body,)], "body string").select(pages.instagram_comments(F.col("body"), F.lit("u")).alias("c")).first()["c"]
     assert [(c["author"], c["created_at_label"], c["text"], c["url"]) for c in got] == [("anna", "3h", "same words", "u#comment-1"), ("anna", "4h", "same words", "u#comment-2")]
+
+
+def test_thread_pages():
+    """Rules one by one, and a page of many lines."""
+    date, chrome = re.compile(pages.THREADS_DATE), re.compile(pages.THREADS_CHROME)
+    page = lambda text: scans.ThreadPage(text, frozenset(pages.THREADS_NOISE), frozenset(pages.THREADS_TOP), frozenset(pages.THREADS_ACTIVITY), date, chrome)
+    read = lambda lines, owner="": page("\n".join(lines)).read(owner)
+    assert read(["a b", "c d", "e f", "g h", "07/30/26", "text", "Top", "anna", "3h", "hi"]) == ("07/30/26", "text", [("anna", "3h", "hi")])
+    assert read(["a b", "c d", "e f", "g h i", "j k", "anna", "3h", "hi"]) == ("", "g h i j k", [("anna", "3h", "hi")])
+    assert read(["parent", "1d", "quoted", "@Owner", "Translate", "note of hers", "2d", "own text", "anna", "3h", "hi", "1.2K", "there"], "owner") == ("2d", "own text", [("anna", "3h", "hi there")])
+    assert read(["owner", "2d", "View activity", "x y", "07/30/26", "a long enough text here"], "owner")[1] == "x y a long enough text here"
+    assert page("x\nposted 7/3/2026 by\n5h").label() == "7/3/2026" and page("x\n5h\n07/03/26").label() == "07/03/26" and page("x\n5h").label() == "5h" and page("x y").label() == ""
+    assert page("seen").written_date('aria-label="3 tháng 7, 2026"') == "3 tháng 7, 2026" and page("07/31/26").written_date("") == "07/31/26"
+    assert page(None).lines == [] and page("\n \r\n").lines == []
+    lines = ["owner", "2d", "text", *["Top"] * 20_000, *[x for k in range(5000) for x in (f"name_{k}", "Tác giả", "3h", f"comment {k}")]]
+    began = time.process_time()
+    assert len(read(lines, "owner")[2]) == 5000 and time.process_time() - began < 3
