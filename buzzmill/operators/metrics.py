@@ -85,8 +85,9 @@ def daily_authors(mentions: DataFrame, links: DataFrame, keys: Sequence[str], fi
 
     Spam is left out; a blank author is one, null none.
     """
+    known = F.concat(F.lit("="), F.col("author_key"))  # a sketch passes over empty texts
     rows = on_days(mentions, first, last).where("not is_spam").withColumn("metric_date", business_day(F.col("occurred_at"))).join(links, "mention_id")
-    return rows.groupBy("metric_date", *keys, "platform_code").agg(F.hll_sketch_agg("author_key", SKETCH_BITS).alias("authors"))
+    return rows.groupBy("metric_date", *keys, "platform_code").agg(F.hll_sketch_agg(known, SKETCH_BITS).alias("authors"))
 
 
 def authors_over(daily: DataFrame, by: Sequence[str], first: str | None = None, last: str | None = None) -> DataFrame:
