@@ -72,7 +72,11 @@ class Block:
         need, radii = int(np.ceil(how.threshold * how.projections)), how.radii()
         norms = np.sqrt((queries * queries).sum(axis=1))
         centres = (queries / norms[:, None]) @ self.axes
-        edges = np.array([[[np.searchsorted(self.sorted[p], centres[:, p] - how.half * r), np.searchsorted(self.sorted[p], centres[:, p] + how.half * r, "right")] for p in range(how.projections)] for r in radii])
+        wide = how.half * np.array(radii)[:, None]
+        edges = np.empty((len(radii), how.projections, 2, len(queries)), np.int64)
+        for p, (row, centre) in enumerate(zip(self.sorted, centres.T, strict=True)):
+            edges[:, p, 0] = np.searchsorted(row, (centre - wide).ravel()).reshape(len(radii), -1)
+            edges[:, p, 1] = np.searchsorted(row, (centre + wide).ravel(), "right").reshape(len(radii), -1)
         found = []
         for j, query_id in enumerate(query_ids):
             counts, open_ = np.zeros(n, np.int64), self.ids != query_id
