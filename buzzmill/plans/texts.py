@@ -94,7 +94,7 @@ MARKET_CASES = [
 
 @query(expected(MARKET_CASES, "market"))
 def market_scope(spark, sf_dir):
-    """Phrases alone: prose in other languages would say something of its own. The length shows that texts were read."""
+    """Phrases alone: prose in other languages would say something of its own."""
     d = documents(spark, sf_dir)
     return d.select("doc_id", C.market(pick(MARKET_CASES, 0), pick(MARKET_CASES, 1), F.lit(None).cast("string"), pick(MARKET_CASES, 2)).alias("market"))
 
