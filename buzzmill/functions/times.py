@@ -128,6 +128,47 @@ def not_crawl_clock(at: Column, crawled: Column, seconds: int = 2) -> Column:
     return F.when(F.coalesce(F.abs(F.unix_timestamp(at) - F.unix_timestamp(crawled)) > seconds, F.lit(True)), at)
 
 
+# Short labels of a site's comments, in seconds; written dates of two others; how near the crawl's clock a time is no post's.
+SHORT_UNITS = {"s": 1, "m": 60, "h": 3600, "d": 86400, "w": 604800, "mo": 2592000, "y": 31536000}
+COMMENT_FORMATS = ("yyyy-MM-dd", "MMM d, yyyy", "d MMM yyyy")
+CRAWL_WINDOW = 900
+
+
+def comment_time(platform: Column, value: Column, label: Column, crawled: Column, posted: Column) -> Column:
+    """When a comment was written: its value unless that is the crawl's own clock, else its label before the crawl, or before the post's time where that is unknown.
+
+    tiktok has numbers and labels such as "3d" or "2 mo ago" alone; other platforms have written dates, and labels of any kind. Null where neither tells.
+    """
+    text, short = F.trim(F.coalesce(value, F.lit(""))), platform == "tiktok"
+    written = F.when(~short, F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in COMMENT_FORMATS]))
+    stated = F.coalesce(text.try_cast("timestamp"), F.when(short, content_time(text)), written)
+    stated = F.when(text.rlike(r"^\d+$") & ~short, F.lit(None)).otherwise(stated)
+    told, since = F.trim(F.coalesce(label, F.lit(""))), F.coalesce(crawled, posted)
+    bare = F.regexp_replace(F.regexp_replace(F.lower(told), r"\s", ""), "ago$", "")
+    seconds = F.element_at(F.create_map(*[F.lit(x) for kv in SHORT_UNITS.items() for x in kv]), F.regexp_extract(bare, r"^\d+(s|m|h|d|w|mo|y)$", 1))
+    brief = F.timestamp_seconds(F.unix_timestamp(since) - F.regexp_extract(bare, r"^(\d+)", 1).try_cast("long") * seconds)
+    longer = F.coalesce(media_date(told, since), relative(told, since))
+    return F.coalesce(not_crawl_clock(stated, crawled), F.when((told != "") & since.isNotNull(), F.when(short, F.when(bare.rlike(r"^\d+(?:s|m|h|d|w|mo|y)$"), brief)).otherwise(longer)))
+
+
+def published_choice(labels: list[Column], crawled: Column) -> Column:
+    """Struct (at, label) of a post's time: the first label that can be read and is not the crawl's own time.
+
+    A time within 900 s of the crawl counts only if its label has a year. Without any, at is null and label the first that is not blank.
+    """
+    def read(label: Column) -> Column:
+        return F.coalesce(label.try_cast("timestamp"), F.to_utc_timestamp(dated_label(label, crawled), ZONE), relative(label, crawled))
+
+    def kept(label: Column) -> Column:
+        near = F.abs(F.unix_timestamp(read(label)) - F.unix_timestamp(crawled)) <= CRAWL_WINDOW
+        good = read(label).isNotNull() & (~near | label.rlike(r"\b(?:19|20)\d{2}\b"))
+        return F.when(good, F.struct(read(label).alias("at"), label.alias("label")))
+
+    trimmed = [F.nullif(F.trim(c), F.lit("")) for c in labels]
+    none = F.struct(F.lit(None).cast("timestamp").alias("at"), F.coalesce(*trimmed, F.lit("")).alias("label"))
+    return F.coalesce(*[kept(c) for c in trimmed], none)
+
+
 # How news write dates, each kind with the order of day, month and year.
 NEWS_DATES = (
     (r"\b\d{1,2}[/.-]\d{1,2}[/.-]20\d{2}\b", (0, 1, 2)),

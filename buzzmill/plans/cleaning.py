@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from buzzmill.functions import cleaning as K
+from buzzmill.functions import times as D
 from buzzmill.operators import classify, crawl, imports
 from buzzmill.plans.labels import now
 from buzzmill.plans.queries import query
@@ -181,3 +182,32 @@ def import_comments(spark, sf_dir):
     m = imports.comment_mentions(rows, now())
     told = lambda k: F.try_element_at("metadata", F.lit(k)).alias(k)
     return m.select("external_id", F.col("author_key").alias("author"), "sentiment", F.array_join("brands", ",").alias("brands"), told("date_source"), told("rating"))
+
+
+#: Platform, value, label, time of the crawl, of the post, and the comment's time.
+COMMENT_TIMES = [
+    ("tiktok", "1725962400", "3d", "2026-09-10 12:00:00", "", "2024-09-10 10:00:00"), ("tiktok", "2026-09-10T12:00:01Z", "3d", "2026-09-10 12:00:00", "", "2026-09-07 12:00:00"), ("tiktok", "", "2 mo ago", "2026-09-10 12:00:00", "", "2026-07-12 12:00:00"),
+    ("tiktok", "", "3 days ago", "2026-09-10 12:00:00", "", None), ("tiktok", "", "1h", "", "2026-09-01 00:00:00", "2026-08-31 23:00:00"), ("tiktok", "", "1h", "", "", None), ("tiktok", "2026-09-01T00:00:00+07:00", "", "", "", "2026-08-31 17:00:00"),
+    ("youtube", "Sep 3, 2026", "", "2026-09-10 12:00:00", "", "2026-09-03 00:00:00"), ("youtube", "3 Sep 2026", "1 day ago", "2026-09-10 12:00:00", "", "2026-09-03 00:00:00"), ("youtube", "1725962400", "", "2026-09-10 12:00:00", "", None),
+    ("instagram", "2026-09-10T11:59:59Z", "", "2026-09-10 12:00:00", "", None), ("instagram", "soon", "", "2026-09-10 12:00:00", "2026-09-01 00:00:00", None),
+]
+
+
+@query(f"SELECT event_id, label::TIMESTAMP AS written FROM events JOIN {values([c[-1:] for c in COMMENT_TIMES], 'label')} ON k = event_id % {len(COMMENT_TIMES)}")
+def comment_times(spark, sf_dir):
+    of = lambda k: F.nullif(pick(COMMENT_TIMES, k, "event_id"), F.lit(""))
+    at = D.comment_time(of(0), of(1), of(2), of(3).try_cast("timestamp"), of(4).try_cast("timestamp"))
+    return table(spark, sf_dir, "events").select("event_id", at.cast("timestamp_ntz").alias("written"))
+
+
+#: Three labels of a post's time, in their order, and what is taken at 2026-09-10 12:00 UTC.
+PUBLISHED = [
+    ("July 19, 2026 at 10:10", "2026-07-01T00:00:00Z", "", "2026-07-19 03:10:00", "July 19, 2026 at 10:10"), ("", "2026-07-01T00:00:00Z", "x", "2026-07-01 00:00:00", "2026-07-01T00:00:00Z"), ("5 phút trước", "", "2026-08-01T01:00:00Z", "2026-08-01 01:00:00", "2026-08-01T01:00:00Z"),
+    ("5 phút trước", "", "", None, "5 phút trước"), ("", "", "2026-09-10T12:03:00Z", "2026-09-10 12:03:00", "2026-09-10T12:03:00Z"), ("sometime", " ", "", None, "sometime"), ("", "", "", None, ""), ("3 giờ trước", "2026-01-01T00:00:00Z", "", "2026-09-10 09:00:00", "3 giờ trước"),
+]
+
+
+@query(f"SELECT event_id, told::TIMESTAMP AS published, label FROM events JOIN {values([c[3:] for c in PUBLISHED], 'told', 'label')} ON k = event_id % {len(PUBLISHED)}")
+def published_times(spark, sf_dir):
+    found = D.published_choice([pick(PUBLISHED, k, "event_id") for k in range(3)], F.lit("2026-09-10 12:00:00").cast("timestamp"))
+    return table(spark, sf_dir, "events").withColumn("p", found).select("event_id", F.col("p.at").cast("timestamp_ntz").alias("published"), "p.label")

@@ -31,7 +31,7 @@ def _told(rows):
 
 @query(
     """SELECT 'v' || page_id AS post_id, 'owner' AS page_name, 'https://www.tiktok.com/@o/video/' || page_id AS post_url, '2024-09-10 10:00:00' AS created, 'a film' AS post_text, page_id AS views,
-  'comment:a-' || page_id || ',comment:b-' || page_id || CASE WHEN page_id % 2 = 0 THEN ',comment:c1' ELSE '' END AS ids, '2026-09-10 09:00:00,2026-09-10 12:00:00' || CASE WHEN page_id % 2 = 0 THEN ',2024-09-10 10:00:01' ELSE '' END AS times
+  'comment:a-' || page_id || ',comment:b-' || page_id || CASE WHEN page_id % 2 = 0 THEN ',comment:c1' ELSE '' END AS ids, '2026-09-10 09:00:00,-' || CASE WHEN page_id % 2 = 0 THEN ',2024-09-10 10:00:01' ELSE '' END AS times
 FROM pages WHERE page_id % 5 <> 0 AND page_id % 3 <> 0"""
 )
 def tiktok_posts(spark, sf_dir):
@@ -46,7 +46,7 @@ def tiktok_posts(spark, sf_dir):
 
 @query(
     """SELECT 'vid' || (page_id + 100000) AS post_id, CASE WHEN page_id % 3 <> 0 THEN 'channel' END AS page_name, 'https://www.youtube.com/watch?v=vid' || (page_id + 100000) AS post_url, CASE WHEN page_id % 3 <> 0 THEN '2024-09-10 00:00:00' END AS created,
-  CASE WHEN page_id % 3 <> 0 THEN 'about {it}' ELSE '' END AS post_text, CASE WHEN page_id % 3 <> 0 THEN page_id END AS views, 'comment:a-' || page_id || ',comment:b-' || page_id AS ids, '2026-09-10 09:00:00,2026-09-10 12:00:00' AS times FROM pages WHERE page_id % 5 <> 0"""
+  CASE WHEN page_id % 3 <> 0 THEN 'about {it}' ELSE '' END AS post_text, CASE WHEN page_id % 3 <> 0 THEN page_id END AS views, 'comment:a-' || page_id || ',comment:b-' || page_id AS ids, '2026-09-10 16:00:00,-' AS times FROM pages WHERE page_id % 5 <> 0"""
 )
 def youtube_posts(spark, sf_dir):
     video = lambda n: F.concat(F.lit("vid"), (F.col("page_id") + 100000).cast("string"))
@@ -58,7 +58,7 @@ def youtube_posts(spark, sf_dir):
 @query(
     """SELECT CASE WHEN page_id % 2 = 0 THEN 'Sc' || page_id ELSE 'Url' || page_id END AS post_id, CASE page_id % 3 WHEN 0 THEN 'alt' WHEN 1 THEN 'Og Name' ELSE 'owner_' || page_id END AS page_name, CASE page_id % 3 WHEN 0 THEN 'cap' ELSE 'og "text"' END AS post_text,
   CASE page_id % 3 WHEN 0 THEN 7 ELSE 1234 END AS likes, CASE page_id % 3 WHEN 0 THEN 9 ELSE 56 END AS comments, CASE page_id % 3 WHEN 0 THEN '2024-09-10 10:00:00' WHEN 1 THEN '2024-09-10 10:00:01' ELSE '2026-09-08 12:00:00' END AS created,
-  CASE WHEN page_id % 4 = 3 THEN 'body: first/2026-09-10 09:00:00' ELSE 'comment:a-' || page_id || ': hay/2026-09-10 09:00:00,comment:b-' || page_id || ': hay/-' END AS told FROM pages WHERE page_id % 5 <> 0"""
+  CASE WHEN page_id % 4 = 3 THEN 'body: first/2026-09-10 16:00:00' ELSE 'comment:a-' || page_id || ': hay/2026-09-10 16:00:00,comment:b-' || page_id || ': hay/-' END AS told FROM pages WHERE page_id % 5 <> 0"""
 )
 def instagram_posts(spark, sf_dir):
     """Every third page has data, one a description and times, and one the text's labels alone; every fourth has no crawled comments."""

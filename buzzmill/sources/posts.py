@@ -9,7 +9,7 @@ from buzzmill.functions.cleaning import compact, engagement_prefix, place_author
 from buzzmill.functions.pages import balanced_json, counts_near, instagram_comments, thread_page, views_of
 from buzzmill.functions.records import post_id, post_url, script_json
 from buzzmill.functions.text import first_text, let
-from buzzmill.functions.times import ZONE, compact_count, content_time, media_date, not_crawl_clock, rating, relative
+from buzzmill.functions.times import ZONE, comment_time, compact_count, content_time, media_date, not_crawl_clock, rating, relative
 from buzzmill.operators.crawl import without_stale
 from buzzmill.operators.tables import merge_first
 
@@ -26,10 +26,10 @@ def _address(url: Column, comment: Column) -> Column:
     return F.concat(url, F.when(url.contains("?"), "&").otherwise("?"), F.lit("comment_id="), F.regexp_replace(comment, "^comment:", ""))
 
 
-def _crawled(raw: Column, url: Column, crawled_at: Column) -> Column:
-    """Comments (CRAWLED) with an id and text; times from their value, else their label and the crawl's time, else that time."""
+def _crawled(platform: str, raw: Column, url: Column, crawled_at: Column, posted: Column) -> Column:
+    """Comments (CRAWLED) with an id and text; times by comment_time."""
     kept = F.filter(F.coalesce(raw, F.array().cast(CRAWLED)), lambda c: (F.coalesce(F.trim(c["external_id"]), F.lit("")) != "") & (F.coalesce(F.trim(c["text"]), F.lit("")) != ""))
-    at = lambda c: F.coalesce(content_time(c["created_at"]), relative(c["created_at_label"], crawled_at), crawled_at)
+    at = lambda c: comment_time(F.lit(platform), c["created_at"], c["created_at_label"], crawled_at, posted)
     row = lambda c: F.struct(c["external_id"].alias("external_id"), F.coalesce(c["author"], F.lit("")).alias("author"), F.trim(c["text"]).alias("text"), at(c).alias("created_at"), _address(url, c["external_id"]).alias("url"), F.coalesce(c["parent_comment_id"], F.lit("")).alias("parent_comment_id"))
     return F.transform(kept, row)
 
@@ -48,7 +48,7 @@ def tiktok_posts(details: DataFrame) -> DataFrame:
     listed = F.filter(F.coalesce(F.from_json(F.get_json_object("_data", f"{TIKTOK_DETAIL}.comments"), f"array<{TIKTOK_COMMENT}>"), F.array().cast(f"array<{TIKTOK_COMMENT}>")), lambda c: first_text(c["cid"], c["id"]).isNotNull())
     own = lambda c: F.concat(F.lit("comment:"), first_text(c["cid"], c["id"]))
     row = lambda c: F.struct(own(c).alias("external_id"), F.coalesce(first_text(c["user"]["unique_id"], c["user"]["nickname"], c["user"]["uid"]), F.lit("")).alias("author"), F.trim(c["text"]).alias("text"), content_time(c["createTime"]).alias("created_at"), _address(F.col("_url"), own(c)).alias("url"), F.coalesce(first_text(c["reply_id"], c["reply_comment_id"]), F.lit("")).alias("parent_comment_id"))
-    crawled = _crawled(F.col("crawled_comments"), F.col("_url"), content_time(F.col("crawled_at")))
+    crawled = _crawled("tiktok", F.col("crawled_comments"), F.col("_url"), content_time(F.col("crawled_at")), content_time(F.col("_item.createTime")))
     comments = let(F.struct(crawled.cast(f"array<{COMMENT}>").alias("a"), F.transform(listed, row).cast(f"array<{COMMENT}>").alias("b")), lambda x: merge_first(x["a"], x["b"], "external_id"))
     stats = F.col("_item.stats")
     counts = F.struct(stats["diggCount"].alias("like_count"), stats["commentCount"].alias("comment_count"), stats["playCount"].alias("view_count"), stats["shareCount"].alias("share_count"))
@@ -63,8 +63,8 @@ def youtube_posts(details: DataFrame) -> DataFrame:
     micro = "$.microformat.playerMicroformatRenderer"
     video, text = F.coalesce(get("$.videoDetails.videoId"), post_id(F.col("_url"))), first_text(get("$.videoDetails.shortDescription"), get(f"{micro}.description.simpleText"), get("$.videoDetails.title"))
     counts = F.struct(F.lit(None).cast("bigint").alias("like_count"), F.lit(None).cast("bigint").alias("comment_count"), compact_count(get("$.videoDetails.viewCount")).alias("view_count"), F.lit(None).cast("bigint").alias("share_count"))
-    comments = _crawled(F.col("crawled_comments"), F.col("_url"), content_time(F.col("crawled_at"))).cast(f"array<{COMMENT}>")
     at = content_time(F.coalesce(get(f"{micro}.publishDate"), get(f"{micro}.uploadDate")))
+    comments = _crawled("youtube", F.col("crawled_comments"), F.col("_url"), content_time(F.col("crawled_at")), at).cast(f"array<{COMMENT}>")
     return rows.where(video.isNotNull()).select(F.lit("youtube").alias("platform"), video.alias("post_id"), get("$.videoDetails.channelId").alias("page_id"), get("$.videoDetails.author").alias("page_name"), F.col("_url").alias("post_url"), at.alias("post_created_at"), F.coalesce(text, F.lit("")).alias("post_text"), counts.alias("stats"), comments.alias("comments"))
 
 
@@ -117,7 +117,7 @@ def instagram_posts(details: DataFrame) -> DataFrame:
     name = first_text(F.trim("_ld.author.alternateName"), F.trim(F.substring_index(_meta(html, "og:title"), " on Instagram", 1)), _found(html, owner, 2))
     rows = rows.withColumn("_at", at).withColumn("_own", instagram_comments(F.col("body_text"), F.col("_url")))
     kept = lambda c: (F.coalesce(F.trim(c["external_id"]), F.lit("")) != "") & (F.coalesce(F.trim(c["text"]), F.lit("")) != "")
-    when = lambda given, told: F.coalesce(not_crawl_clock(content_time(given), crawled), relative(told, F.coalesce(crawled, F.col("_at"))))
+    when = lambda given, told: comment_time(F.lit("instagram"), given, told, crawled, F.col("_at"))
     address = lambda c: F.concat(F.col("_url"), F.lit("#comment-"), F.regexp_replace(c["external_id"], "^comment:", ""))
     listed = F.filter(F.coalesce("crawled_comments", F.array().cast(CRAWLED)), kept)
     from_list = F.transform(listed, lambda c: F.struct(c["external_id"].alias("external_id"), F.coalesce(F.trim(c["author"]), F.lit("")).alias("author"), F.trim(c["text"]).alias("text"), when(c["created_at"], c["created_at_label"]).alias("created_at"), address(c).alias("url"), F.coalesce(c["parent_comment_id"], F.lit("")).alias("parent_comment_id")))
