@@ -22,13 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buzzmill.llm.shared import materialize, text_buffers
+from buzzmill.llm.shared import batch_rows, materialize, text_buffers
 
 WINDOW, OPEN, END_ID = 4096, 32, 2
 #: Tasks whose leftovers are merged by one task: 8 MB of ids at most.
 MERGED_TASKS = 512
-#: Distinct words that a worker remembers in each of two generations: some 70 MB each. Frequent words pass on to the next.
-CACHED_WORDS = 500_000
+#: Distinct words that a worker remembers in each of two generations: some 35 MB each. Frequent words pass on to the next.
+CACHED_WORDS = 250_000
+#: Documents handed to Python at once: a worker keeps the memory that its largest batch took.
+BATCH_DOCS = 2000
 #: A mark that ends a word but belongs to what stands before it: after neither letter, digit nor white space.
 BOUND = re.compile(rb"[.,](?<=[^a-z0-9\x20\x09-\x0D].)(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].)[\x20\n]", re.S)
 #: A word that is one id and part of no other.
@@ -222,7 +224,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = WINDOW, most_open: int = O
         return out.astype({"doc_id": "Int64"})
 
     packed = docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(task, f"{PIECES}, ids binary, task long")
-    packed = materialize(packed, "packed")
+    with batch_rows(docs.sparkSession, BATCH_DOCS):
+        packed = materialize(packed, "packed")
     names = [c.split()[0] for c in PIECES.split(", ")]
     merged = packed.where("ids is not null").groupBy(F.floor(F.col("task") / MERGED_TASKS).alias("part")).applyInPandas(merge, PIECES)
     return packed.where("ids is null").select(*names).unionByName(merged)
