@@ -27,8 +27,8 @@ from buzzmill.llm.shared import batch_rows, materialize, text_buffers
 WINDOW, OPEN, END_ID = 4096, 32, 2
 #: Tasks whose leftovers are merged by one task: 8 MB of ids at most.
 MERGED_TASKS = 512
-#: Distinct words that a worker remembers in each of two generations: some 35 MB each. Frequent words pass on to the next.
-CACHED_WORDS = 250_000
+#: Distinct words that a worker remembers in each of two generations: some 70 MB each. Frequent words pass on to the next.
+CACHED_WORDS = 500_000
 #: Documents handed to Python at once: a worker keeps the memory that its largest batch took.
 BATCH_DOCS = 2000
 #: A mark that ends a word but belongs to what stands before it: after neither letter, digit nor white space.
@@ -44,7 +44,8 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 class WordIds:
     """Ids of texts. If no rule of the tokenizer reaches across white space each word is encoded once; else whole texts are encoded."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_words: int = CACHED_WORDS):
+        self.cached_words = cached_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -71,7 +72,7 @@ class WordIds:
     def _learn(self, words: set[bytes]) -> None:
         """Encode unknown words, many in one text (each text costs some 20 microseconds), parted by a mark of one id of its own."""
         new = words.difference(self.known)
-        if len(self.known) + len(new) > CACHED_WORDS:
+        if len(self.known) + len(new) > self.cached_words:
             self.older, self.known = self.known, {}
             new = words
         self.known.update((w, self.older[w]) for w in new & self.older.keys())
@@ -87,7 +88,7 @@ class WordIds:
             self.known[word] = ids.tobytes()
 
 
-_encoders: dict[str, WordIds] = {}
+_encoders: dict[tuple[str, int], WordIds] = {}
 
 
 def plain(text: bytes) -> bytes:
@@ -100,16 +101,17 @@ def plain(text: bytes) -> bytes:
     return text.replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" .\n").replace(b",\n", b" ,\n")
 
 
-def encoded(texts: pa.Array, path: str) -> Iterator[bytes]:
+def encoded(texts: pa.Array, path: str, cached_words: int = CACHED_WORDS) -> Iterator[bytes]:
     """Ids of each text with the closing id, about 4 MB of text at a time."""
-    if path not in _encoders:
-        _encoders[path] = WordIds(path)
+    encode = _encoders.get((path, cached_words))
+    if encode is None:
+        encode = _encoders[path, cached_words] = WordIds(path, cached_words)
     data, offsets = text_buffers(texts)
     raw, end = data.tobytes(), END_ID.to_bytes(4, "little")
     at = 0
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (4 << 20), "right")) - 1)
-        for ids in _encoders[path]([raw[offsets[k] : offsets[k + 1]] for k in range(at, to)]):
+        for ids in encode([raw[offsets[k] : offsets[k + 1]] for k in range(at, to)]):
             yield ids + end
         at = to
 
@@ -194,20 +196,20 @@ def _batch(done: list[tuple], task: int, left: list = ()) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids", "task"])
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = WINDOW, most_open: int = OPEN) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = WINDOW, most_open: int = OPEN, cached_words: int = CACHED_WORDS) -> DataFrame:
     """One row a piece: doc_id, start and length of its ids, crc32 of them, the document's ids, sequence and offset in it.
 
     A null or empty text is the closing id alone. Every id is in one piece, so no row is dropped; equal and null ids of
     documents are carried as they are. An empty table gives no pieces. Other columns of docs are ignored.
     Very long texts are cut like others. A piece left over at a task's end carries its place there, so a rerun of the
-    same partitions merges leftovers in the same order. tokenizer is a path of any tokenizer file that every executor can read. A task holds most_open windows, whatever the size of its input.
+    same partitions merges leftovers in the same order. cached_words bounds what a worker remembers, and keeps after the job. tokenizer is a path of any tokenizer file that every executor can read. A task holds most_open windows, whatever the size of its input.
     """
 
     def task(batches):
         number = TaskContext.get().partitionId()
         packer = Packer(number << 40, size, most_open)
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1), tokenizer), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1), tokenizer, cached_words), strict=True):
                 packer.add(doc_id, 0, ids, len(ids) // 4)
             yield _batch(packer.done, number)
             packer.done = []
