@@ -30,8 +30,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token ids in sequences of 4096."""
-    return packing.pack(docs, tokenizer_path())
+    """Pieces of token ids in sequences of 4096. Workers remember fewer words than alone, as they keep the memory of all stages."""
+    return packing.pack(docs, tokenizer_path(), cached_words=250_000)
 
 
 STAGES = [("quality classifier", quality), ("n-gram Jaccard join", near_duplicates), ("PII", personal_data), ("mixing", mixture), ("packing", sequences)]
