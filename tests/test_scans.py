@@ -53,6 +53,30 @@ def seconds(f, *args):
     return time.process_time() - began
 
 
+def test_sentiment_reads_from_the_end(monkeypatch):
+    """Blocks of any size give the same clauses; 1 MB before the clause that tells is not folded, and folding 1 MB is quick."""
+    rng, parts = random.Random(7), [*P.GOOD[::3], *P.BAD[::3], "khong", "nhưng", "mà", ".", "…", "?!", "\n", "\u0301", "x"]
+    for size in (1, 5, 20):
+        monkeypatch.setattr(scans, "BLOCK", size, raising=False)
+        for _ in range(500):
+            text = "".join(rng.choice(parts) + rng.choice([" ", "  ", "", "\n"]) for _ in range(rng.randint(0, 20)))
+            assert FEELING(text) == plain_sentiment(text), text
+    assert seconds(FEELING, "phim Điện ảnh. " * 70_000 + "hay") < 0.5
+    assert seconds(FEELING, "phim Điện ảnh. " * 70_000) < 3 and scans.folded("Điện e\u0301중\u0301 #9") == "dien e #9"
+
+
+def test_film_sentiment_reads_from_the_end(spark):
+    """The last clause that tells decides, near the end or far from it; 4 MB before it cost no scan of every clause."""
+    far = "x. " * (2 * classify.LAST_STOPS)
+    cases = [("dở. hay", "positive"), (f"hay. dở. {far}", "negative"), (f"hay, {far}", "positive"), (f"{far}. mà ", "neutral"), (" nhưng ", "neutral"), ("", "neutral"), (None, "neutral"), ("hay...", "positive"), ("dở nhưng hay. x", "positive")]
+    got = spark.createDataFrame([(t,) for t, _ in cases], "t string").select(classify.film_sentiment(F.col("t")).alias("s")).collect()
+    assert [r["s"] for r in got] == [s for _, s in cases]
+    texts = spark.range(0, 40, 1, 1).select(F.concat(F.repeat(F.lit("phim mới ra, rạp gần nhà. "), 4000), F.lit("hay")).alias("t"))
+    began = time.time()
+    assert texts.where(classify.film_sentiment(F.col("t")) == "positive").count() == 40
+    assert time.time() - began < 6
+
+
 def test_long_texts_take_time_in_proportion():
     """100 KB with 10,000 hits, white space without end, an object of 1 MB, pages of 5,000 comments."""
     hit = scans.folded(P.GOOD[0])
