@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +18,8 @@ MAP_CHROME = r"drag to change|click to remove|messages\s+activity\s+profile"
 MAP_AGO = r"(?:(?:\d+|a|an)\s*(?:second|minute|hour|day|week|month|year)s?\s*ago|(?:\d+|một)\s*(?:giây|phút|giờ|ngày|tuần|tháng|năm)\s*trước)\s*"
 MAP_AUTHOR = r"^(?:local\s+guide\s*[·•]?\s*)?(?:\d[\d,]*\s+reviews?\s*[·•]?\s*)?(?:\d[\d,]*\s+photos?\s*)?"
 MAP_NOTES = (r"\s*(?:translated by google|đã dịch bằng google)\s*", r"\s*(?:see original|xem bản gốc)\s*")
+# Parts that the patterns above cannot do without.
+MAP_CHROME_HINTS, MAP_AGO_HINTS, MAP_NOTE_HINTS = ("drag to change", "to remove", "prof"), ("ago", "trước"), (("google",), ("ee or", "xem b"))
 MAP_ICONS = r"[\x{E000}-\x{F8FF}]"
 SHORTEST_REVIEW, FEW_LETTERS, LONG_CHROME = 12, 12, 40
 # Spam, buttons and page biographies in exports.
@@ -36,21 +41,34 @@ SAFE = (1 << 53) - 1
 
 def compact(text: Column) -> Column:
     """Runs of white space as one space, trimmed; null is empty."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), f"[{SPACE}]+", " "))
+    # single spaces stay as they are, and characters of ASCII words need one look
+    space, other = f"[[^!-~]&&[{SPACE}]]", f"[[^ -~]&&[{SPACE}]]"
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), f"{other}{space}*| {space}+", " "))
 
 
 def _without(text: Column, pattern: str, by: str = " ") -> Column:
     return F.regexp_replace(text, f"(?iu){pattern}", by)
 
 
-def place_chrome(text: Column) -> Column:
-    """Whether a text of a map's page is the page's own: nothing, its buttons and menus, or hardly any letters in much text."""
+def _holds(text: Column, hints: Sequence[str]) -> Column:
+    """Whether one of the hints is in a text of any case: what a slower pattern needs. Hints have no i, k or s, whose cases differ by engine."""
+    return let(F.lower(text), lambda t: reduce(lambda a, b: a | b, [t.contains(h) for h in hints]))
+
+
+def _unless(text: Column, hints: Sequence[str], pattern: str, by: str = " ") -> Column:
+    """_without, for texts that hold one of the hints."""
+    return let(text, lambda t: F.when(_holds(t, hints), _without(t, pattern, by)).otherwise(t))
 
-    def told(t: Column) -> Column:
-        few = (F.length(F.regexp_replace(t, r"\P{L}", "")) < FEW_LETTERS) & (F.length(t) > LONG_CHROME)
-        return (t == "") | t.rlike(f"(?iu){MAP_CHROME}") | (t.contains(" - Google Maps |") & t.contains("Search")) | few
 
-    return let(compact(text), told)
+def _chrome(t: Column) -> Column:
+    """place_chrome of a compact text."""
+    few = (F.length(t) > LONG_CHROME) & ~t.rlike(rf"^(?:\P{{L}}*+\p{{L}}){{{FEW_LETTERS}}}")
+    return (t == "") | few | (t.contains(" - Google Maps |") & t.contains("Search")) | (_holds(t, MAP_CHROME_HINTS) & t.rlike(f"(?iu){MAP_CHROME}"))
+
+
+def place_chrome(text: Column) -> Column:
+    """Whether a text of a map's page is the page's own: nothing, its buttons and menus, or hardly any letters in much text."""
+    return let(compact(text), _chrome)
 
 
 def place_title(title: Column) -> Column:
@@ -71,18 +89,22 @@ def place_review(text: Column) -> Column:
     """
 
     def body(t: Column) -> Column:
-        after = F.trim(F.regexp_extract(t, f"(?isu){MAP_AGO}(.*)$", 1))
-        own = F.when(F.length(after) >= SHORTEST_REVIEW, after).otherwise(F.trim(_without(t, MAP_AUTHOR, "")))
-        return F.when((t == "") | place_chrome(t), F.lit("")).otherwise(own)
+        after = F.when(_holds(t, MAP_AGO_HINTS), F.trim(F.regexp_extract(t, f"(?isu){MAP_AGO}(.*)$", 1))).otherwise(F.lit(""))
+        own = let(after, lambda a: F.when(F.length(a) >= SHORTEST_REVIEW, a).otherwise(F.trim(_without(t, MAP_AUTHOR, ""))))
+        return F.when(place_chrome(t), F.lit("")).otherwise(own)
+
+    def cut(t: Column) -> Column:
+        t = F.trim(_unless(t, ["more"], r"(?s)\s*(?:…\s*)?more.*$", ""))
+        return let(t, lambda x: F.when(x.contains("Like") | x.contains(" Share"), F.regexp_replace(x, r"(?s)(?:Like| Share).*$", "")).otherwise(x))
 
     def bare(t: Column) -> Column:
-        t = F.regexp_replace(F.trim(_without(t, r"(?s)\s*(?:…\s*)?more.*$", "")), r"(?s)(?:Like| Share).*$", "")
-        for note in MAP_NOTES:
-            t = _without(t, note)
+        for note, hints in zip(MAP_NOTES, MAP_NOTE_HINTS, strict=True):
+            t = _unless(t, hints, note)
         return compact(t)
 
-    kept = let(let(F.regexp_replace(compact(text), MAP_ICONS, " "), body), bare)
-    return let(kept, lambda t: F.when(place_chrome(t) | (F.length(t) < SHORTEST_REVIEW), F.lit("")).otherwise(t))
+    plain = let(compact(text), lambda t: F.when(t.rlike(MAP_ICONS), F.regexp_replace(t, MAP_ICONS, " ")).otherwise(t))
+    kept = let(let(let(plain, body), cut), bare)
+    return let(kept, lambda t: F.when((F.length(t) < SHORTEST_REVIEW) | _chrome(t), F.lit("")).otherwise(t))
 
 
 def export_text(text: Column) -> Column:

@@ -3,6 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from buzzmill.functions import cleaning
 from buzzmill.functions import text as X
 from buzzmill.functions import times as D
 from buzzmill.operators import freshness, tables
@@ -69,3 +70,15 @@ def test_stream_matches_batch(spark, tmp_path):
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.schema)
     upsert_batches(read_events(spark, str(tmp_path / "in"), schema), str(tmp_path / "state"), lambda df, _: seen.append(df.count())).awaitTermination()
     assert sum(seen) == batch.count()
+
+
+def test_place_review_reads_a_text_few_times(spark):
+    """The time of a card is looked for once; texts without a pattern's words, in any case, with icons or odd spaces, stay whole."""
+    assert str(cleaning.place_review(F.col("t"))).count("regexp_extract(") == 1
+    cases = [
+        ("phòng chiếu lớn, sạch", "phòng chiếu lớn, sạch"), ("A 2 TUẦN TRƯỚC phòng\u2003chiếu \t lớn  MORE x", "phòng chiếu lớn"), ("an hour ago short", "an hour ago short"), ("\ue000\ue001 room of the film \u00a0 is\x1c fine", "room of the film is fine"),
+        ("room is fine SEE ORIGINAL or not", "room is fine or not"), ("Click \u212a to remove this room", "Click \u212a to remove this room"), ("clic\u212a TO REMOVE this room", ""), ("me\u017f\u017fages  activity profile of room", ""), ("1234567890 " * 5 + "eleven char", ""),
+        ("a room, Tran\u017flated BY google, it is", "a room, , it is"), ("1234567890 " * 5 + "twelve chars.x", "1234567890 " * 5 + "twelve chars.x"), (None, ""), ("ten chars.", ""),
+    ]
+    got = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "k int, t string").select("k", cleaning.place_review(F.col("t")).alias("r")).collect()
+    assert {r["k"]: r["r"] for r in got} == {k: r for k, (_, r) in enumerate(cases)}
