@@ -1,55 +1,108 @@
-"""Which of many terms a text holds: an inverted index of the terms by the run of characters that the fewest texts have."""
+"""Which of many terms a text holds: terms and texts meet by runs of bytes that both choose by the same order, rare ones first."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from buzzmill.llm.shared import BASE_A, mix, only_keys, rolling, text_chunks
 from buzzmill.sources.scratch import stored
 
-#: Characters of an indexed run; a shorter term is indexed by itself.
-RUN = 5
+#: Spans of bytes, and the bytes of a run in them: a term is of the longest span that it fills. In each span a text chooses its first run.
+SPANS = {24: 8, 12: 6, 6: 4, 3: 3, 2: 2, 1: 1}
+#: Texts (about) whose runs are counted to tell rare ones, and the bits of their counters. Any counts give the same pairs.
+SAMPLE, SAMPLE_BITS = 4000, 20
 
 
-def _runs(text: Column, length: int) -> Column:
-    """The distinct runs of `length` characters of a text."""
-    whole = F.split(text, "")
-    letters = F.filter(whole, lambda c: c != "")
+def _hashes(data: np.ndarray, run: int) -> np.ndarray:
+    return mix(rolling(data, run, BASE_A) + np.uint64(run))
 
-    def of(found: Column) -> Column:
-        places = F.when(F.size(found) >= length, F.sequence(F.lit(0), F.size(found) - length)).otherwise(F.array().cast("array<int>"))
-        return F.array_distinct(F.transform(places, lambda k: F.concat(*[F.get(found, k + j) for j in range(length)])))
 
-    return F.get(F.transform(F.array(letters), of), F.lit(0))
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64((1 << SAMPLE_BITS) - 1)).astype(np.int64)
 
 
-def _exploded(rows: DataFrame, key: str, text: str, lengths: list[int]) -> DataFrame:
-    out = None
-    for n in lengths:
-        part = rows.select(key, F.explode(_runs(F.col(text), n)).alias("run"))
-        out = part if out is None else out.unionByName(part)
-    return out
+def _levels(texts: DataFrame, spans: list[int]) -> dict[int, np.ndarray]:
+    """16 times the logarithm of how many texts of a sample hold a run, by run length and hash: 1 MB a length."""
+    runs = sorted({SPANS[s] for s in spans})
+
+    def count(batches):
+        sums = {r: np.zeros(1 << SAMPLE_BITS, np.uint32) for r in runs}
+        for batch in batches:
+            for at, end, data, offsets in text_chunks(batch.column(0)):
+                for r in runs:
+                    hashes = _hashes(data, r)
+                    for k in range(end - at):
+                        sums[r][np.unique(_bucket(hashes[offsets[k] : max(offsets[k], offsets[k + 1] - r + 1)]))] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(runs, pa.int32()), pa.array([sums[r].tobytes() for r in runs], pa.binary())], ["run", "sums"])
+
+    share = min(1.0, SAMPLE / max(1, texts.count()))
+    found = stored(texts.select("_text").sample(share, seed=7), "sample").coalesce(2).mapInArrow(count, "run int, sums binary").collect()
+    total = {r: sum((np.frombuffer(x["sums"], np.uint32).astype(np.int64) for x in found if x["run"] == r), np.zeros(1 << SAMPLE_BITS, np.int64)) for r in runs}
+    return {r: np.minimum(16 * np.log2(total[r] + 1.0), 255).astype(np.uint8) for r in runs}
+
+
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of every `width` values in a row."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        values = np.minimum(values[:-step], values[step:])
+        done += step
+    return values
+
+
+def _chosen(rows: DataFrame, key: str, text: str, levels, spans: list[int], whole: bool) -> DataFrame:
+    """key and run: of each text's spans the least run, or (whole) of a term the least of all, in the order of level and hash."""
+    kind = rows.schema[key].dataType
+
+    def choose(batches):
+        for batch in batches:
+            keys, runs = [], []
+            for at, end, data, offsets in text_chunks(batch.column(1)):
+                sizes = np.diff(offsets)
+                for span in spans:
+                    run = SPANS[span]
+                    hashes = _hashes(data, run)
+                    order = (levels.value[run][_bucket(hashes)].astype(np.uint64) << np.uint64(56)) | (hashes >> np.uint64(8))
+                    least = order if whole else _least(order, span - run + 1)
+                    for k in np.flatnonzero(sizes >= span):
+                        a, b = offsets[k], offsets[k + 1]
+                        if whole and any(s > span and sizes[k] >= s for s in SPANS):  # of a longer span
+                            continue
+                        own = least[a : b - run + 1].min(keepdims=True) if whole else np.unique(least[a : b - span + 1])
+                        runs.append(own ^ np.uint64(span))
+                        keys.append(np.full(len(own), at + k))
+            at = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            made = np.concatenate(runs) if runs else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(made.view(np.int64), pa.int64())], [key, "run"])
+
+    return rows.select(key, text).mapInArrow(choose, f"{key} {kind.simpleString()}, run long")
 
 
 def matches(texts: DataFrame, key: str, text: str, terms: DataFrame, term_key: str, term: str) -> DataFrame:
     """Pairs (key, term_key) of texts and the terms that they hold as substrings.
 
-    texts and terms have unique keys. Each term is filed under its rarest run of RUN characters among the texts; a text's runs meet
-    the terms filed under them, and each candidate is looked for in the text. Everything is a join on equal values, so neither side
-    need be small. Null or empty terms are in no text, null texts hold nothing.
+    texts and terms have unique keys. A term is filed under the first of its runs in one order of all runs: rare ones in a sample
+    of texts first, then by hash. A text gives the first run of each of its spans of bytes, so wherever it holds a term that fills a span,
+    the term's run is among them: for terms of 24 bytes some ninth of all its runs. Each candidate is looked for in
+    the text. Everything is a join on equal values, so neither side need be small. Null or empty terms are in no text, null texts
+    hold nothing.
     """
     texts = texts.select(key, F.col(text).alias("_text")).where("_text <> ''")
-    terms = stored(terms.select(term_key, F.col(term).alias("_term")).where("_term <> ''").withColumn("_length", F.least(F.char_length("_term"), F.lit(RUN))), "terms")
-    lengths = sorted(r[0] for r in terms.select("_length").distinct().collect())  # RUN values at most
-    if not lengths:
+    terms = stored(terms.select(term_key, F.col(term).alias("_term")).where("_term <> ''"), "terms")
+    span = F.lit(None).cast("int")
+    for s in SPANS:
+        span = F.coalesce(span, F.when(F.octet_length("_term") >= s, s))
+    spans = sorted((r[0] for r in terms.select(span).distinct().collect()), reverse=True)  # one of SPANS each
+    if not spans:
         return texts.select(key, F.lit(None).cast(terms.schema[term_key].dataType).alias(term_key)).limit(0)
-    of_terms = None
-    for n in lengths:
-        part = terms.where(F.col("_length") == n).select(term_key, F.explode(_runs(F.col("_term"), n)).alias("run"))
-        of_terms = part if of_terms is None else of_terms.unionByName(part)
-    of_texts = stored(_exploded(texts, key, "_text", lengths).join(of_terms.select("run").distinct(), "run", "left_semi"), "runs")
-    spread = of_texts.groupBy("run").agg(F.count("*").alias("n"))
-    # a term with a run that no text has is in no text
-    filed = of_terms.join(spread, "run", "left").groupBy(term_key).agg(F.min_by("run", F.struct(F.coalesce("n", F.lit(0)), "run")).alias("run"))
-    candidates = of_texts.join(filed, "run").select(key, term_key).join(terms.select(term_key, "_term"), term_key)
+    levels = texts.sparkSession.sparkContext.broadcast(_levels(texts, spans))
+    filed = stored(_chosen(terms, term_key, "_term", levels, spans, True), "filed")
+    known = stored(filed.select("run", F.xxhash64("run", F.lit(1)).alias("other")).distinct(), "known")
+    of_texts = only_keys(_chosen(texts, key, "_text", levels, spans, False), known, "run")
+    of_texts = only_keys(of_texts.withColumn("other", F.xxhash64("run", F.lit(1))), known, "other").select(key, "run")
+    candidates = of_texts.join(filed, "run").select(key, term_key).join(terms, term_key)
     return candidates.join(texts, key).where(F.col("_text").contains(F.col("_term"))).select(key, term_key)

@@ -65,6 +65,37 @@ def test_terms_by_their_rarest_run(spark):
     assert term_index.matches(spark.createDataFrame(texts, "i long, t string"), "i", "t", spark.createDataFrame([], "k long, w string"), "k", "w").count() == 0
 
 
+def test_terms_of_every_length_and_few_runs(spark):
+    """Terms around each span's length, with characters of several bytes; a text gives a small part of its runs to terms of 24 bytes."""
+    rng = random.Random(4)
+    texts = [(k, "".join(rng.choice("abé😀 ") for _ in range(rng.randint(0, 200)))) for k in range(150)]
+    cut = lambda t, n: t[(a := rng.randrange(len(t) + 1)) : a + n]
+    terms = [(k, cut(rng.choice(texts)[1], n)) for k, n in enumerate([*range(0, 60)] * 6)] + [(k, "".join(rng.choice("abé") for _ in range(k % 30))) for k in range(1000, 1060)]
+    frame = lambda rows, names: spark.createDataFrame(rows, names)
+    got = term_index.matches(frame(texts, "i long, t string"), "i", "t", frame(terms, "k long, w string"), "k", "w")
+    assert sorted(map(tuple, got.collect())) == sorted((i, k) for i, t in texts for k, w in terms if t and w and w in t)
+    long_texts = [(k, " ".join(str(rng.random())[2:] for _ in range(300))) for k in range(20)]
+    texts = frame(long_texts, "i long, _text string")
+    levels = spark.sparkContext.broadcast(term_index._levels(texts, [24]))
+    given = term_index._chosen(texts, "i", "_text", levels, [24], False).count()
+    assert given < sum(len(t) for _, t in long_texts) / 7
+
+
+def test_campaign_counts_of_copies(spark):
+    """Counts are those of the pairs, for campaigns of one keyword or several; copies meet once, so 4,000 equal texts of 4,000 campaigns take no 16 million pairs."""
+    rng = random.Random(5)
+    words = ["xem phim", "rạp gần nhà", "#hay quá", "x", "", "vé", "vé rẻ hôm nay cho cả nhà mình"]
+    rows = [(k, rng.choice([None, "glx", "cgv"]), rng.choice([None, "", " ".join(rng.choice(words) for _ in range(4))])) for k in range(200)]
+    rules = [(rng.randrange(60), rng.choice([*words, None]), rng.choice(["running", "ended", "planned"]), rng.choice([None, "glx", "cgv", ""])) for _ in range(120)]
+    mentions, keywords = spark.createDataFrame(rows, "mention_id long, brand_slug string, content_text string"), spark.createDataFrame(rules, "campaign_id long, keyword string, status string, brand_slug string")
+    pairs = classify.campaign_matches(mentions, keywords, listed=10_000).groupBy("campaign_id").agg(F.count("*").alias("mentions"))
+    assert sorted(map(tuple, classify.campaign_counts(mentions, keywords).collect())) == sorted(map(tuple, pairs.collect()))
+    equal = spark.range(4000).select(F.col("id").alias("mention_id"), F.lit("glx").alias("brand_slug"), F.lit("rạp gần nhà mình hay quá").alias("content_text"))
+    many = spark.range(4000).select(F.col("id").alias("campaign_id"), F.lit("gần nhà").alias("keyword"), F.lit("running").alias("status"), F.lit(None).cast("string").alias("brand_slug"))
+    counts = classify.campaign_counts(equal, many)
+    assert counts.where("mentions = 4000").count() == 4000
+
+
 def test_campaigns_with_very_many_keywords(spark):
     """100,000 keywords are joined by equal values: no nested loop, and the rows of the list."""
     docs = spark.range(200).select(F.col("id").alias("mention_id"), F.when(F.col("id") % 2 == 0, "glx").alias("brand_slug"), F.concat(F.lit("Xem  phim "), F.sha1(F.col("id").cast("string")), F.lit(" hay")).alias("content_text"))
