@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows of links that one task sorts and compares.
+TASK_ROWS = 500_000
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], seq: str, latest: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
     """Rows by key after applying `new` in the order of seq.
 
@@ -25,9 +29,16 @@ def prune_and_upsert(old: DataFrame, fresh: DataFrame, keys: Sequence[str], in_s
     return old.where(~F.coalesce(in_scope, F.lit(False))).unionByName(fresh.where(in_scope))
 
 
+def _dealt(key: str, *tables: DataFrame) -> list[DataFrame]:
+    """Tables dealt by key to as many tasks as keep TASK_ROWS rows each; Spark by itself fills tasks by bytes, many millions of short rows."""
+    tasks = max(tables[0].sparkSession.sparkContext.defaultParallelism, *[-(-t.count() // TASK_ROWS) for t in tables])
+    return [t.repartition(tasks, key) for t in tables]
+
+
 def replace_links(old: DataFrame, new: DataFrame, touched: DataFrame, key: str) -> DataFrame:
-    """Links of touched keys are those of new; others stay."""
-    return old.join(touched.select(key).distinct(), key, "left_anti").unionByName(new.join(touched.select(key).distinct(), key, "left_semi")).distinct()
+    """Links of touched keys are those of new; others stay. Both sides have different keys, so each drops its own repeated links."""
+    old, new, touched = _dealt(key, old, new, touched.select(key))
+    return old.join(touched, key, "left_anti").distinct().unionByName(new.join(touched, key, "left_semi").distinct())
 
 
 def first_rows(rows: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column], n: int = 1) -> DataFrame:

@@ -82,3 +82,15 @@ def test_place_review_reads_a_text_few_times(spark):
     ]
     got = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "k int, t string").select("k", cleaning.place_review(F.col("t")).alias("r")).collect()
     assert {r["k"]: r["r"] for r in got} == {k: r for k, (_, r) in enumerate(cases)}
+
+
+def test_replace_links_deals_rows_by_number(spark, monkeypatch):
+    """Null keys stay, repeated links go, and a task gets few rows, whatever number there is."""
+    frame = lambda rows: spark.createDataFrame(rows, "k long, b string")
+    old, new = frame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (None, "c"), (3, None)]), frame([(1, "x"), (2, "y"), (2, "y"), (2, None), (None, "z")])
+    got = tables.replace_links(old, new, frame([(2, "t"), (2, "u"), (None, "t"), (9, "t")]), "k").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "a"), (None, "c"), (3, None), (2, "y"), (2, None)], key=str)
+    monkeypatch.setattr(tables, "TASK_ROWS", 500, raising=False)
+    many = spark.range(20_000).select(F.col("id").alias("k"), F.col("id").alias("b"))
+    sizes = [r["n"] for r in tables.replace_links(many, many, many.where("k % 2 = 0"), "k").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 800
