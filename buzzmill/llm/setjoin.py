@@ -368,15 +368,17 @@ def _joined(docs: DataFrame, percent: int, size: int) -> DataFrame:
     stars = materialize(_stars(spread_join(lists.drop("times"), tops, ["token"], "times", entries), percent), "stars")
     links = links.unionByName(_linked(against_heads(docs, stars, percent, size)))
     labels = components(links)
-    left, work = _open(lists.select(*LIST), labels)
-    release(lists, tops, stars)
+    # a list of up to PAIRED rows waits for the last pairing; only lists that may be written as differences are opened, each of them once
+    short = lists.where(F.col("times") <= PAIRED).select(*LIST)
+    left, _ = _open(lists.where(F.col("times") > PAIRED).select(*LIST), labels)
+    stored = [lists, left]
+    release(tops, stars)
     forget_shuffles(spark)
     for _ in range(ROUNDS):
-        long_ones = left.where(F.col("times") > PAIRED)
-        squared = long_ones.agg(F.sum("times")).first()[0] or 0
+        squared = left.agg(F.sum("times")).first()[0] or 0
         if not squared:
             break
-        pairs = _heads(long_ones)
+        pairs = _heads(left)
         if 2 * pairs.agg(F.sum("n")).first()[0] > squared:  # reading the sets once more costs more than pairing the rows
             release(pairs)
             break
@@ -384,17 +386,19 @@ def _joined(docs: DataFrame, percent: int, size: int) -> DataFrame:
         links = links.unionByName(_linked(deltas))
         labels = components(links)
         fresh = deltas.select(F.col("head").alias("space"), F.posexplode("tokens").alias("at", "token"), "row_key", "n", "d", "rest", "adj")
-        further, before = _open(left.where(F.col("times") <= PAIRED).select(*LIST).unionByName(fresh.select(*LIST)), labels), work
-        (further, work), smaller = further, further[1] < before
-        release(pairs, *([left] if smaller else [further]))
-        left = further if smaller else left
+        further, work = _open(fresh.select(*LIST), labels)
+        stored.append(further)
+        release(pairs)
         forget_shuffles(spark)
-        if work > 0.8 * before:  # differences are no rarer than what they replace
+        if work < squared:
+            short = short.unionByName(further.where(F.col("times") <= PAIRED).select(*LIST))
+            left = further.where(F.col("times") > PAIRED)
+        if work > 0.8 * squared:  # differences are no rarer than what they replace
             break
-    pairs = _pairs(left, labels, percent)
+    pairs = _pairs(short.unionByName(left.select(*LIST)), labels, percent)
     links = links.unionByName(_linked(against_heads(docs, pairs, percent, size)))
     labels = components(links)
-    release(left, pairs)
+    release(*stored, pairs)
 
     labels = labels.withColumnRenamed("row_key", "rep")
     aims = materialize(copies.groupBy("rep").agg(F.count("*").alias("times")).join(labels, "rep", "left").select("rep", "times", F.coalesce("comp", "rep").alias("comp")), "aims")
