@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from buzzmill.llm.shared import batch_rows, materialize, ranges, text_chunks
+from buzzmill.llm.shared import batch_rows, decoded_rows, materialize, ranges, text_chunks
 from buzzmill.operators.tables import first_rows
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -32,6 +32,8 @@ FOLDED = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() el
 BLOCK_DOCS, BLOCK_TERMS = 64, 100_000
 #: Blocks that a task sorts at once, and blocks an item scores in the first round.
 SORTED_BLOCKS, FIRST_BLOCKS = 64, 4
+#: Blocks that a task decodes at once: one takes some hundred KB, so that a file of the index does not fit a task.
+DECODED_BLOCKS = 16
 #: Terms of items (once an item) that a pass over the index answers together; its list, of some MB, goes to each task.
 PASS_TERMS = 100_000
 #: Constants of the score: a fixed value each.
@@ -274,9 +276,10 @@ def ranked(index: Index, items: DataFrame, k: int = 20) -> DataFrame:
     held = index.blocks.select(F.explode(F.arrays_zip("terms", "docs")).alias("t")).select(F.col("t.terms").alias("term"), F.col("t.docs").alias("docs"))
     df = held.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("docs").alias("df"))
     weight = F.floor(1000 * F.log(F.lit(2.0 * index.docs + 2) / (2.0 * F.col("df") + 1))).cast("long")
-    weighed = materialize(terms.join(df, "term").select("_item", "term", (weight * F.col("repeats")).alias("weight")), "weights")
+    with decoded_rows(spark, DECODED_BLOCKS):
+        weighed = materialize(terms.join(df, "term").select("_item", "term", (weight * F.col("repeats")).alias("weight")), "weights")
     found = [spark.createDataFrame([], "_item long, doc_id long, score long")]
-    with batch_rows(spark, SORTED_BLOCKS):
+    with batch_rows(spark, SORTED_BLOCKS), decoded_rows(spark, DECODED_BLOCKS):
         for part in _passes(weighed):
             first = first_rows(_first_blocks(index.blocks, part), ["_item"], [F.desc("bound"), "block"], FIRST_BLOCKS)
             # FIRST_BLOCKS rows an item of the pass at most
@@ -295,7 +298,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:
 
     A null or empty text, or one without terms, is never found and asks for nothing. Rows with equal or null ids are documents or
     items of their own; among equal scores a null id comes last. An empty table on either side gives no rows; other columns
-    are ignored. A very long text is one document of one block, and a task holds SORTED_BLOCKS blocks.
+    are ignored. A very long text is one document of one block, and a task holds SORTED_BLOCKS blocks, however long
+    the files of the index are.
     """
     return ranked(build(docs), items, k)
 

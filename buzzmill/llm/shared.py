@@ -115,6 +115,11 @@ def batch_rows(spark: SparkSession, rows: int):
     return settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(rows))
 
 
+def decoded_rows(spark: SparkSession, rows: int):
+    """Jobs run inside decode `rows` rows of a Parquet file at a time: for rows that are large each, of which Spark else holds 4,096 in every task."""
+    return settings(spark, spark__sql__parquet__columnarReaderBatchSize=str(rows))
+
+
 def materialize_buckets(df: DataFrame, label: str, buckets: int, key: str, order: list[str]) -> DataFrame:
     """As materialize, but a table of one file a bucket of the key's hash, each in order, which later plans need not shuffle by the key.
 

@@ -100,6 +100,30 @@ def test_search_skips_blocks(spark, monkeypatch):
     assert len(scored) <= 5
 
 
+def test_search_decodes_few_blocks_at_once(spark, monkeypatch):
+    """A task holds a few rows of a file of the index, not the 4,096 that Spark decodes at once by default: one row is a whole block."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" all")).alias("text")).coalesce(1)
+    index, batches = search.build(docs, 2), []
+
+    def seen(real):
+        def run(blocks, *rest):
+            plan = blocks._jdf.queryExecution().executedPlan()
+            blocks._jdf.queryExecution().toRdd().count()
+            while "ColumnarToRow" not in plan.getClass().getSimpleName():
+                plan = plan.finalPhysicalPlan() if "Adaptive" in plan.getClass().getSimpleName() else plan.children().head()
+            batches.append(plan.metrics().apply("numInputBatches").value())
+            return real(blocks, *rest)
+
+        return run
+
+    for name in ("_first_blocks", "_scored"):
+        monkeypatch.setattr(search, name, seen(getattr(search, name)))
+    got = search.ranked(index, spark.createDataFrame([(1, "w7")], "item_id long, text string")).collect()
+    assert [tuple(r)[:3] for r in got] == [(1, 1, 7)]
+    assert len(batches) == 3 and batches[0] >= 200 // 64 and batches[2] >= 200 // 64
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "4096"
+
+
 @pytest.fixture(scope="module")
 def library():
     import sentencepiece
