@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from buzzmill.operators import classify, imports, metrics, reports, term_index
@@ -96,6 +97,51 @@ def test_campaign_counts_of_copies(spark):
     assert counts.where("mentions = 4000").count() == 4000
 
 
+def test_terms_that_texts_hold(spark, monkeypatch):
+    """Lists of terms of any length, found in one look through pieces of texts; nearly nothing else passes the filters."""
+    rng = random.Random(6)
+    texts = [(k, "".join(rng.choice("abé😀 ") for _ in range(rng.randint(0, 600)))) for k in range(120)] + [(500, None), (501, ""), (502, "a")]
+    cut = lambda t, n: t[(a := rng.randrange(len(t) + 1)) : a + n]
+    terms = {cut(rng.choice(texts[:120])[1], n) for n in [*range(80), 150, 300, 500] * 6} | {"".join(rng.choice("abé") for _ in range(k % 70)) for k in range(140)} | {None}
+    monkeypatch.setattr(term_index, "CHUNK_BYTES", 100)
+    filters = term_index._filters(spark.createDataFrame([(w,) for w in terms], "w string"), "w")
+    for _, text in texts:
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        starts, sizes = term_index._windows(data, np.array([0, len(data)]), filters)
+        found = {bytes(data[a : a + n]) for a, n in zip(starts, sizes, strict=True)}
+        want = {w.encode() for w in terms if w and text and w in text}
+        assert want <= found and len(found) <= len(want) + 20
+    whole = term_index.held(spark.createDataFrame(texts, "i long, t string"), "t", spark.createDataFrame([(w,) for w in terms], "w string"), "w")
+    keys = spark.createDataFrame([(w,) for w in terms], "w string").select("w", term_index.window_key(F.col("w")).alias("key"))
+    got = whole.select("i", F.explode("held").alias("key")).join(keys, "key").select("i", "w").collect()
+    assert sorted(map(tuple, got)) == sorted((i, w) for i, t in texts for w in terms if t and w and w in t)
+
+
+def test_campaign_counts_leave_texts_where_they_are(spark, monkeypatch):
+    """Neither texts nor pairs of a text and a keyword are stored or shuffled, and passes over few keywords each give the same counts."""
+    rng = random.Random(7)
+    words = [f"từ{rng.randrange(10**6)}" for _ in range(300)]
+    rows = [(k, rng.choice([None, "glx", "cgv"]), " ".join(rng.choice(words) for _ in range(300))) for k in range(300)]
+    rules = [(k % 250, rng.choice(words) + " " * (k % 2) + rng.choice(words) * (k % 2), "running", rng.choice([None, "glx"])) for k in range(300)]
+    mentions, keywords = spark.createDataFrame(rows, "mention_id long, brand_slug string, content_text string"), spark.createDataFrame(rules, "campaign_id long, keyword string, status string, brand_slug string")
+    kept, real = [], classify.stored
+
+    def stored(df, label):
+        out = real(df, label)
+        kept.append((out.count(), out.columns))
+        return out
+
+    monkeypatch.setattr(classify, "stored", stored)
+    pairs = classify.campaign_matches(mentions, keywords).groupBy("campaign_id").agg(F.count("*").alias("mentions"))
+    want = sorted(map(tuple, pairs.collect()))
+    assert sum(n for _, n in want) > 3000
+    for size in (4_000_000, 40):
+        monkeypatch.setattr(classify, "PASS_KEYWORDS", size)
+        kept.clear()
+        assert sorted(map(tuple, classify.campaign_counts(mentions, keywords).collect())) == want
+        assert max(n for n, _ in kept) <= 300 and not any({"text", "mention_id", "again", "first"} & set(c) for _, c in kept)
+
+
 def test_campaigns_with_very_many_keywords(spark):
     """100,000 keywords are joined by equal values: no nested loop, and the rows of the list."""
     docs = spark.range(200).select(F.col("id").alias("mention_id"), F.when(F.col("id") % 2 == 0, "glx").alias("brand_slug"), F.concat(F.lit("Xem  phim "), F.sha1(F.col("id").cast("string")), F.lit(" hay")).alias("content_text"))
